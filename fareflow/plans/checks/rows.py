@@ -149,7 +149,7 @@ def percent_parse(t):
 
 
 def _rounded(ratio: str, digits: int) -> str:
-    return f"CAST(round(CAST({ratio} AS DECIMAL(30, 12)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({ratio} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
 
 
 @query(
