@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,7 +56,8 @@ def compact_date(text: Column | str) -> Column:
     return F.try_to_date(text, "yyyyMMdd")
 
 
-def month_days(start: Column, end: Column, without: Column | None = None) -> Column:
-    """Array of ``MM-dd`` texts of every day in [start, end], optionally without one."""
-    days = F.transform(F.sequence(start, end, F.expr("interval 1 day")), lambda d: F.date_format(d, "MM-dd"))
-    return days if without is None else F.array_remove(days, F.date_format(without, "MM-dd"))
+def month_days(start: date, end: date, without: date | None = None) -> list[str]:
+    """``MM-dd`` texts of every day in [start, end], optionally without one."""
+    days = [start + timedelta(days=i) for i in range((end - start).days + 1)]
+    texts = [d.strftime("%m-%d") for d in days]
+    return [x for x in texts if without is None or x != without.strftime("%m-%d")]

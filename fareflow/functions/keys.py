@@ -42,7 +42,7 @@ def parse_low_price(df: DataFrame, id_col: str = "id") -> DataFrame:
 
 def parse_list_fare(df: DataFrame, id_col: str = "orgPrice_id") -> DataFrame:
     names = _named(id_col, "org", "dst", "departDate")
-    names["departDate"] = F.try_to_date(names["departDate"], "yyyy-MM-dd")
+    names["departDate"] = names["departDate"].try_cast("date")
     return df.withColumns(names)
 
 
@@ -52,7 +52,7 @@ def parse_seat(df: DataFrame, id_col: str = "seatLeft_id") -> DataFrame:
 
 def parse_flight_info(df: DataFrame, id_col: str = "infoBase_id") -> DataFrame:
     names = _named(id_col, "org", "dst", "fn", "departDate")
-    names["departDate"] = F.try_to_date(names["departDate"], "yyyy-MM-dd")
+    names["departDate"] = names["departDate"].try_cast("date")
     return df.withColumns(names)
 
 
@@ -103,7 +103,7 @@ def resolve_depart_date(query: Column | str, month_day: Column | str, on_equal:
     seen = F.date_format(query, "MM-dd")
     rolls = seen > month_day if on_equal == "same" else seen >= month_day
     year = F.year(query) + F.when(rolls, 1).otherwise(0)
-    return F.try_to_date(F.concat_ws("-", year.cast("string"), month_day), "yyyy-MM-dd")
+    return F.concat_ws("-", year.cast("string"), month_day).try_cast("date")
 
 
 def resolve_symbolic(
@@ -122,7 +122,7 @@ def resolve_symbolic(
     described = df.withColumn("dateDesc", F.concat_ws("-", year.cast("string"), F.col(text)))
     joined = lookup_join(described, names.select("dateDesc", F.col("date").alias("_named")), ["dateDesc"], "left")
     return joined.withColumn(
-        out, F.coalesce("_named", F.try_to_date("dateDesc", "yyyy-MM-dd"))
+        out, F.coalesce("_named", F.col("dateDesc").try_cast("date"))
     ).drop("_named", "dateDesc")
 
 

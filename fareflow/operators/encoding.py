@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..context import materialize
 from . import windows
 from .hot import DEFAULT, HotPolicy
-from .joins import lookup_join
+from .joins import BROADCAST_ROWS
 
 
 def long_form(df: DataFrame, columns: list[str], as_type: str) -> DataFrame:
@@ -80,12 +80,16 @@ def attach_index(
     """Add the index of each column's value; a value not in the dictionary gives NULL.
 
     ``index`` should be a written table (see :func:`fareflow.sinks.write_dictionary`):
-    one lookup per column reads it again.
+    one lookup per column reads it again.  One count per feature decides which
+    of them are small enough to broadcast.
     """
+    type_ = index.schema["value"].dataType
+    sizes = {r["feature"]: r["count"] for r in index.groupBy("feature").count().collect()}  # one row per column
     for c in columns:
-        type_ = index.schema["value"].dataType
         dim = index.filter(F.col("feature") == c).select(F.col("value").alias("_value"), F.col("idx").alias(name(c)))
-        df = lookup_join(df, dim, F.col(c).cast(type_) == F.col("_value"), "left").drop("_value")
+        if sizes.get(c, 0) <= BROADCAST_ROWS:
+            dim = F.broadcast(dim)
+        df = df.join(dim, F.col(c).cast(type_) == F.col("_value"), "left").drop("_value")
         if default is not None:
             df = df.na.fill({name(c): default})
     return df
@@ -102,6 +106,6 @@ def encode(df: DataFrame, index: DataFrame, categorical: list[str], numeric: lis
     if numeric:
         slots = {r["feature"]: r["idx"] for r in index.filter(F.col("feature").isin(*numeric)).collect()}
         for c in numeric:  # one dictionary row per numeric column
-            out[f"{c}_idx"] = F.lit(slots[c])
+            out[f"{c}_idx"] = F.lit(slots[c]).cast("long")
             out[f"{c}_val"] = F.col(c).cast("double")
     return df.withColumns(out)

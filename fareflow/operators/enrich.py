@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..context import materialize
 from ..functions import fares, keys as ids
 from . import windows
 from .joins import lookup_join
@@ -92,9 +93,12 @@ def itinerary(
     """Distance, list fare, discount, seat load and schedule for priced itineraries.
 
     Rows without airport, list fare or schedule drop out; the seat load may be
-    missing.  The seat table is as long as the history itself, so that join is
-    left to Spark's shuffled join.
+    missing.  List fares and schedules boil long tables down to one row per
+    route, so they are written down before their size is looked at.  The seat
+    table is as long as the history itself: that join is left to Spark's
+    shuffled join.
     """
+    list_fare, info = materialize(list_fare, "list-fares"), materialize(info, "flight-info")
     priced = lookup_join(with_distance(df, airports), list_fare, ["fc", "org", "dst"])
     scheduled = lookup_join(
         priced.withColumn("discount", fares.discount("price", "orgPrice")), info, ["fn", "org", "dst"]

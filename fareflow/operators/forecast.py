@@ -82,7 +82,7 @@ def summary(predictions: DataFrame, compat: bool = False) -> DataFrame:
     Equal predictions resolve to the later date.  ``compat=True`` leaves the high
     price empty where the lowest row is also the highest.
     """
-    on_day = F.col("predictDate") == F.try_to_date(F.substring_index("_id", "_", -1), "yyyy-MM-dd")
+    on_day = F.col("predictDate") == F.substring_index("_id", "_", -1).try_cast("date")
     # Smallest prediction first, latest date among equals: the date counts backwards.
     day = F.unix_date("predictDate")
     best = predictions.groupBy("_id").agg(

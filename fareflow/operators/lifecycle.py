@@ -56,7 +56,7 @@ def purge_before(df: DataFrame, column: str | Column, day: date) -> DataFrame:
 
 def purge_departed(df: DataFrame, run_date: date, id_col: str = "_id") -> DataFrame:
     """Drop published results whose id ends in a date before the run date."""
-    return purge_before(df, F.try_to_date(F.substring_index(id_col, "_", -1), "yyyy-MM-dd"), run_date)
+    return purge_before(df, F.substring_index(id_col, "_", -1).try_cast("date"), run_date)
 
 
 #: Fixed value: the date inside a snapshot's name.

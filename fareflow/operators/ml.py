@@ -65,12 +65,13 @@ def price_pipeline(categories: list[str] = CATEGORIES, numbers: list[str] = NUMB
 
     A category first seen at prediction time gets its own slot.
     """
-    indexers = [StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="keep") for c in categories]
-    encoders = [OneHotEncoder(inputCol=f"{c}_index", outputCol=f"{c}_onehot", dropLast=False) for c in categories]
+    indexed, onehot = [f"{c}_index" for c in categories], [f"{c}_onehot" for c in categories]
+    indexer = StringIndexer(inputCols=categories, outputCols=indexed, handleInvalid="keep")
+    encoder = OneHotEncoder(inputCols=indexed, outputCols=onehot, dropLast=False)
     numeric = VectorAssembler(inputCols=numbers, outputCol="_numbers")
     scaler = StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True)
-    joined = VectorAssembler(inputCols=[f"{c}_onehot" for c in categories] + ["_scaled"], outputCol="features")
-    return Pipeline(stages=[*indexers, *encoders, numeric, scaler, joined])
+    joined = VectorAssembler(inputCols=[*onehot, "_scaled"], outputCol="features")
+    return Pipeline(stages=[indexer, encoder, numeric, scaler, joined])
 
 
 def fit_price_encoder(history: DataFrame, categories=CATEGORIES, numbers=NUMBERS) -> PipelineModel:

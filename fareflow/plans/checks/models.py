@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ...context import RunContext, work_dir
+from ...context import RunContext, materialize, work_dir
 from ...functions import fares
 from ...operators import labels, ml
 from .. import international
@@ -97,7 +97,8 @@ def _ranking_frame(t: Tables):
             "intervalDays": F.datediff("departDate", "queryDate").cast("double"),
         }
     )
-    return raw.withColumns(fares.buckets(fares.ANALYSIS_BUCKETS)).select("l_partkey", "departDate", *ml.RANKED, "trend")
+    frame = raw.withColumns(fares.buckets(fares.ANALYSIS_BUCKETS))
+    return materialize(frame.select("l_partkey", "departDate", *ml.RANKED, "trend"), "ranking")
 
 
 def _past(t: Tables):

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ... import sinks
 from ...context import work_dir
 from ...functions import keys as ids
-from ...schemas import MERGED_FARES
+from ...schemas import MERGED_FARES, schema
 from ...sources import documents, files
 from .registry import ITINERARIES_SQL, LOW_PRICES_SQL, RUN, RUN_SQL, Tables, itineraries, low_prices, query
 
@@ -52,7 +51,7 @@ def doc_latest(t):
 
 @query(
     "q_doc_seats",
-    """SELECT date_trunc('minute', ts)::VARCHAR[1:16] AS at, (event_id % 100) || '%' AS "seatLeft", 'U' || user_id AS "seatLeft_id" FROM events""",
+    """SELECT strftime(ts, '%Y-%m-%d %H:%M') AS at, (event_id % 100) || '%' AS "seatLeft", 'U' || user_id AS "seatLeft_id" FROM events""",
 )
 def doc_seats(t):
     at = F.date_format("ts", "yyyy-MM-dd HH:mm")
@@ -113,7 +112,7 @@ def flat_project(t):
 
 @query(
     "q_flight_docs",
-    f"""WITH {ITINERARIES_SQL} SELECT fn || '_' || {'l_orderkey'} AS "infoBase_id", lpad(l_linenumber::VARCHAR, 2, '0') || ':30' AS "departTime",
+    f"""WITH {ITINERARIES_SQL} SELECT fn || '_' || l_orderkey AS "infoBase_id", lpad(l_linenumber::VARCHAR, 2, '0') || ':30' AS "departTime",
   lpad((l_linenumber + 3)::VARCHAR, 2, '0') || ':30' AS "arriveTime",
   CASE l_returnflag WHEN 'A' THEN 'True' WHEN 'N' THEN 'False' ELSE 'None' END AS "isShare"
 FROM itineraries WHERE "departDate" >= {RUN_SQL} AND l_linenumber <> 7""",
@@ -226,11 +225,8 @@ def id_admission(t):
 
 def _key_sql(month_day: bool) -> str:
     shown = "'%m-%d'" if month_day else "'%Y-%m-%d'"
-    long = "UNION ALL SELECT id, strftime(d, '%Y-%m-%d') || 'T00', price + 1 FROM o" if not month_day else (
-        "UNION ALL SELECT id, strftime(d, '%Y-%m-%d') || 'T00', price + 1 FROM o"
-    )
     return f"""WITH o AS (SELECT 'K' || o_orderkey AS id, o_orderdate AS d, o_custkey AS price FROM orders)
-SELECT id AS "flineId", strftime(d, {shown}) AS "predictDate", price::VARCHAR AS price FROM (SELECT id, d, price FROM o) UNION ALL
+SELECT id AS "flineId", strftime(d, {shown}) AS "predictDate", price::VARCHAR AS price FROM o UNION ALL
 SELECT id, strftime(d, '%Y-%m-%d') || 'T00', (price + 1)::VARCHAR FROM o"""
 
 
@@ -255,7 +251,7 @@ def month_day_keys(t):
     return documents.dated_prices(_keyed_docs(t, "MM-dd"), month_day=True)
 
 
-_LINES = T.StructType.fromDDL("l_orderkey long, l_linenumber int, day date, price double, l_returnflag string")
+_LINES = schema(l_orderkey="long", l_linenumber="int", day="date", price="double", l_returnflag="string")
 _LINES_SQL = 'SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS day, l_extendedprice AS price, l_returnflag FROM lineitem'
 
 
@@ -283,8 +279,8 @@ def scan_csv_headerless(t):
     path = work_dir(t.spark, "landing")
     sinks.write_csv(landed, path, header=False)
     text = files.read_csv(t.spark, path, files.text_schema(MERGED_FARES), header=False)
-    schema = T.StructType.fromDDL("queryDate date, price int, fn string, departDate date, trend int")
-    return files.typed(text, schema)
+    wanted = schema(queryDate="date", price="int", fn="string", departDate="date", trend="int")
+    return files.typed(text, wanted)
 
 
 @query(
@@ -300,7 +296,7 @@ def typed_ingest(t):
         F.when(F.col("l_returnflag") == "R", "null").otherwise(F.col("l_extendedprice").cast("string")).alias("price"),
         F.when(F.col("l_linestatus") == "F", F.date_format("l_shipdate", "yyyy-MM-dd")).otherwise("n/a").alias("day"),
     )
-    return files.typed(text, T.StructType.fromDDL("l_orderkey long, l_linenumber int, price double, day date"))
+    return files.typed(text, schema(l_orderkey="long", l_linenumber="int", price="double", day="date"))
 
 
 @query("q_scan_documents", f"WITH {_TWO_DAYS_SQL} SELECT * FROM long")

@@ -60,8 +60,12 @@ def daily_history(yesterday: DataFrame, today: DataFrame) -> DataFrame:
 
 
 def feature_table(rows: DataFrame, holidays: DataFrame, policy: HotPolicy = DEFAULT) -> DataFrame:
-    """The model's columns for training and online rows together."""
-    built = features.build(rows, holiday_calendar.build(holidays))
+    """The model's columns for training and online rows together.
+
+    The string indexes read the built rows once more than the result does, so
+    the rows are written down before.
+    """
+    built = materialize(features.build(rows, holiday_calendar.build(holidays)), "built-rows")
     index = materialize(encoding.string_index(built, INDEXED, policy), "string-index")
     return encoding.attach_index(built, index, INDEXED, name=indexed_name).select(*MODEL_COLUMNS)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..context import RunContext, work_dir
+from ..context import RunContext, materialize, work_dir
 from ..operators import calendar as holiday_calendar
 from ..operators import features, forecast, ml
 from ..operators.hot import DEFAULT, HotPolicy
@@ -13,9 +13,12 @@ from ..operators.hot import DEFAULT, HotPolicy
 def history(
     raw: DataFrame, names: DataFrame, holidays: DataFrame, order: list[str], policy: HotPolicy = DEFAULT
 ) -> DataFrame:
-    """Feature history.  ``order`` names columns that break ties of equal departures."""
+    """Feature history.  ``order`` names columns that break ties of equal departures.
+
+    Written down once: encoder, model, grid and reference prices all read it.
+    """
     known = features.international(raw, names, holiday_calendar.build(holidays))
-    return features.international_history(known, order, policy)
+    return materialize(features.international_history(known, order, policy), "intl-history")
 
 
 def prediction_frame(past: DataFrame, holidays: DataFrame, run: RunContext, order: list[str]) -> DataFrame:

@@ -11,16 +11,27 @@ DAY_AFTER_HOLIDAY = 1001
 MAX_PRICE = 100_000
 
 
-def _schema(**fields: str) -> T.StructType:
-    return T.StructType([T.StructField(n, T.DataType.fromDDL(t)) for n, t in fields.items()])
-
-
-LOW_PRICE = _schema(queryDate="date", price="int", id="string", org="string", dst="string")
-LIST_FARE = _schema(orgPrice_id="string", fc="string", orgPrice="int")
-AIRPORT = _schema(Airport_code="string", latitude="double", longitude="double")
-SEAT_LEFT = _schema(queryDatetime="timestamp", seatLeft="string", seatLeft_id="string")
-FLIGHT_INFO = _schema(infoBase_id="string", departTime="string", arriveTime="string", isShare="string")
-HOLIDAYS = _schema(
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "long": T.LongType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def schema(**fields: str) -> T.StructType:
+    """Schema from ``name="type"`` pairs; needs no running session."""
+    return T.StructType([T.StructField(n, _TYPES[t]) for n, t in fields.items()])
+
+
+LOW_PRICE = schema(queryDate="date", price="int", id="string", org="string", dst="string")
+LIST_FARE = schema(orgPrice_id="string", fc="string", orgPrice="int")
+AIRPORT = schema(Airport_code="string", latitude="double", longitude="double")
+SEAT_LEFT = schema(queryDatetime="timestamp", seatLeft="string", seatLeft_id="string")
+FLIGHT_INFO = schema(infoBase_id="string", departTime="string", arriveTime="string", isShare="string")
+HOLIDAYS = schema(
     calday="string",
     calday_ln="string",
     festival="string",
@@ -28,11 +39,11 @@ HOLIDAYS = _schema(
     vacation_days="int",
     day_of_vacation="int",
 )
-NAMED_DATES = _schema(dateDesc="string", date="date")
-INTL_HISTORY = _schema(flineId="string", predictDate="date", price="int")
-INTL_AVG_PRICE = _schema(flineId="string", departDate="string", avgPrice="double")
-TICKET_HISTORY = _schema(queryDatetime="string", hasTicket="string", id="string")
-STATION = _schema(
+NAMED_DATES = schema(dateDesc="string", date="date")
+INTL_HISTORY = schema(flineId="string", predictDate="date", price="int")
+INTL_AVG_PRICE = schema(flineId="string", departDate="string", avgPrice="double")
+TICKET_HISTORY = schema(queryDatetime="string", hasTicket="string", id="string")
+STATION = schema(
     _id="string",
     jianpin="string",
     code="string",
@@ -46,7 +57,7 @@ STATION = _schema(
     site="string",
     distancesmap="string",
 )
-TRAIN_STOP = _schema(
+TRAIN_STOP = schema(
     tn="string",
     arriveTime="string",
     stationCode="string",

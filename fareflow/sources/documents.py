@@ -25,8 +25,17 @@ TICKET_FIELDS = ["_id", "ut", "noticket", "hasticket"]
 
 
 def parse(df: DataFrame, doc: str = "doc") -> DataFrame:
-    """Replace the JSON text by a map of texts; broken documents drop out."""
-    return df.withColumn(doc, F.from_json(doc, "map<string,string>")).filter(F.col(doc).isNotNull())
+    """Replace the JSON text by a map of texts, NULL for a broken document."""
+    return df.withColumn(doc, F.from_json(doc, "map<string,string>"))
+
+
+def parse_as(df: DataFrame, fields: str, doc: str = "doc") -> DataFrame:
+    """Columns of the JSON text by a struct definition.
+
+    The struct goes through ``inline``, so filters on its fields stay above it
+    and the text is parsed once.
+    """
+    return df.select(F.inline_outer(F.array(F.from_json(doc, f"struct<{fields}>"))))
 
 
 def field(name: str, doc: str = "doc") -> Column:
@@ -34,25 +43,39 @@ def field(name: str, doc: str = "doc") -> Column:
 
 
 def unpivot(
-    df: DataFrame, keep: dict[str, str], fixed: list[str], key: str, value: str, key_pattern: str | None = None, doc: str = "doc"
+    df: DataFrame,
+    keep: dict[str, str],
+    fixed: list[str],
+    key: str,
+    value: str,
+    key_pattern: str | None = None,
+    doc: str = "doc",
 ) -> DataFrame:
     """One row per dynamic key of a parsed document.
 
     ``keep`` maps fixed fields to output columns, ``fixed`` lists the fields that
-    are not entries, ``key_pattern`` admits keys that start like it.
+    are not entries, ``key_pattern`` admits keys that start like it.  A document
+    without entries gives no row.
     """
     carried = [field(src, doc).alias(out) for src, out in keep.items()]
-    rows = df.select(*carried, F.explode(doc).alias(key, value)).filter(~F.col(key).isin(*fixed))
+    # The outer form: for the inner one Spark adds a size filter that parses the
+    # text a second time.  The key filter drops its empty rows.
+    rows = df.select(*carried, F.explode_outer(doc).alias(key, value)).filter(~F.col(key).isin(*fixed))
     return rows if key_pattern is None else rows.filter(F.col(key).rlike(key_pattern))
 
 
+def since_day(df: DataFrame, since: date | None, doc: str = "doc") -> DataFrame:
+    """Documents whose ``date`` is that day or later; only this field is read."""
+    return df if since is None else df.filter(F.get_json_object(doc, "$.date") >= since.isoformat())
+
+
 def low_prices(df: DataFrame) -> DataFrame:
     """``queryDate, price, id, org, dst`` from low-price documents."""
     rows = unpivot(
         parse(df), {"_id": "id", "dairport": "org", "aairport": "dst"}, LOW_PRICE_FIELDS, "queryDate", "price"
     )
     return rows.select(
-        F.try_to_date("queryDate", "yyyy-MM-dd").alias("queryDate"),
+        F.col("queryDate").try_cast("date").alias("queryDate"),
         F.col("price").try_cast("int").alias("price"),
         "id",
         "org",
@@ -66,28 +89,27 @@ def list_fares(df: DataFrame, since: date | None = None) -> DataFrame:
     Carriers without a full economy price are skipped; ``since`` keeps documents
     dated that day or later.
     """
-    docs = parse(df)
-    if since is not None:
-        docs = docs.filter(field("date") >= since.isoformat())
-    rows = unpivot(docs, {"_id": "orgPrice_id"}, LIST_FARE_FIELDS, "fc", "_classes")
+    rows = unpivot(parse(since_day(df, since)), {"_id": "orgPrice_id"}, LIST_FARE_FIELDS, "fc", "_classes")
     price = F.get_json_object("_classes", "$.Y.price").try_cast("int")
     return rows.select("orgPrice_id", "fc", price.alias("orgPrice")).filter(F.col("orgPrice").isNotNull())
 
 
 def seat_snapshots(df: DataFrame) -> DataFrame:
     """``queryDatetime, seatLeft, seatLeft_id`` from the snapshot map in field ``fc``."""
-    docs = parse(df).select(field("_id").alias("seatLeft_id"), F.from_json(field("fc"), "map<string,string>").alias("_fc"))
-    rows = docs.select("seatLeft_id", F.explode("_fc").alias("_at", "seatLeft"))
-    return rows.select(F.try_to_timestamp("_at", F.lit("yyyy-MM-dd HH:mm")).alias("queryDatetime"), "seatLeft", "seatLeft_id")
+    docs = parse_as(df, "_id: string, fc: map<string,string>")
+    rows = docs.select(F.col("_id").alias("seatLeft_id"), F.explode_outer("fc").alias("_at", "seatLeft"))
+    return rows.filter(F.col("_at").isNotNull()).select(
+        F.col("_at").try_cast("timestamp").alias("queryDatetime"), "seatLeft", "seatLeft_id"
+    )
 
 
 def international_prices(df: DataFrame) -> DataFrame:
     """``flineId, predictDate, price`` from admitted international documents."""
-    docs = parse(df).filter(admitted(field("_id")))
-    rows = unpivot(docs, {"_id": "flineId"}, INTL_FIELDS, "predictDate", "price")
+    docs = df.filter(admitted(F.get_json_object("doc", "$._id")))
+    rows = unpivot(parse(docs), {"_id": "flineId"}, INTL_FIELDS, "predictDate", "price")
     return rows.select(
         "flineId",
-        F.try_to_date("predictDate", "yyyy-MM-dd").alias("predictDate"),
+        F.col("predictDate").try_cast("date").alias("predictDate"),
         F.col("price").try_cast("int").alias("price"),
     )
 
@@ -105,8 +127,10 @@ def ticket_history(df: DataFrame) -> DataFrame:
 
 
 def _flat(df: DataFrame, renamed: dict[str, str], schema) -> DataFrame:
-    docs = parse(df).select(*[field(src).alias(out) for out, src in renamed.items()])
-    return typed(docs, schema)
+    """Typed columns of flat documents; a document without an id is broken."""
+    docs = parse_as(df, ", ".join(f"`{src}`: string" for src in renamed.values()))
+    named = docs.select(*[F.col(src).alias(out) for out, src in renamed.items()])
+    return typed(named, schema).filter(F.col(next(iter(renamed))).isNotNull())
 
 
 def airports(df: DataFrame) -> DataFrame:
@@ -117,15 +141,13 @@ def airports(df: DataFrame) -> DataFrame:
 
 def flight_info(df: DataFrame, since: date | None = None) -> DataFrame:
     """``infoBase_id, departTime, arriveTime, isShare``; incomplete documents are skipped."""
-    if since is not None:
-        df = df.filter(F.get_json_object("doc", "$.date") >= since.isoformat())
     names = {
         "infoBase_id": "_id",
         "departTime": "origindeparttime",
         "arriveTime": "originarrivetime",
         "isShare": "isshare",
     }
-    info = _flat(df, names, FLIGHT_INFO).dropna(subset=["infoBase_id", "departTime", "arriveTime"])
+    info = _flat(since_day(df, since), names, FLIGHT_INFO).dropna(subset=["infoBase_id", "departTime", "arriveTime"])
     # JSON writes the flag in lower case, the landing files in title case.
     return info.withColumn("isShare", F.initcap(F.coalesce("isShare", F.lit("none"))))
 
@@ -136,11 +158,10 @@ def stations(df: DataFrame) -> DataFrame:
 
 def train_stops(df: DataFrame) -> DataFrame:
     """One row per stop of a train, numbered from 1 in travel order."""
-    shape = "struct<_id: string, array: array<struct<arriveTime: string, stationCode: string, departTime: string, stationName: string>>>"
-    docs = df.select(F.from_json("doc", shape).alias("d")).select("d._id", "d.array")
-    return docs.select(F.col("_id").alias("tn"), F.posexplode("array").alias("_pos", "_stop")).select(
-        "tn", "_stop.*", (F.col("_pos") + 1).alias("orderNum")
-    )
+    stop = "arriveTime: string, stationCode: string, departTime: string, stationName: string"
+    docs = parse_as(df, f"_id: string, array: array<struct<{stop}>>")
+    stops = docs.select(F.col("_id").alias("tn"), F.posexplode_outer("array").alias("_pos", "_stop"))
+    return stops.filter(F.col("_pos").isNotNull()).select("tn", "_stop.*", (F.col("_pos") + 1).alias("orderNum"))
 
 
 def latest_price(df: DataFrame) -> DataFrame:
@@ -148,13 +169,12 @@ def latest_price(df: DataFrame) -> DataFrame:
     return windows.latest(low_prices(df).dropna(), ["id"], ["queryDate"])
 
 
-def month_day_window(run_date: date, first: int, last: int, without_today: bool = False) -> Column:
-    """``MM-dd`` texts of run_date+first … run_date+last as an array literal."""
+def month_day_window(run_date: date, first: int, last: int, without_today: bool = False) -> list[str]:
+    """``MM-dd`` texts of run_date+first … run_date+last."""
     start, end = run_date + timedelta(days=first), run_date + timedelta(days=last)
-    skip = F.lit(run_date) if without_today else None
-    return dates.month_days(F.lit(start), F.lit(end), skip)
+    return dates.month_days(start, end, run_date if without_today else None)
 
 
-def departing(df: DataFrame, id_col: str, month_days: Column) -> DataFrame:
+def departing(df: DataFrame, id_col: str, month_days: list[str]) -> DataFrame:
     """Rows whose id ends in one of the month-days."""
-    return df.filter(F.array_contains(month_days, F.substring_index(id_col, "_", -1)))
+    return df.filter(F.substring_index(id_col, "_", -1).isin(*month_days))
