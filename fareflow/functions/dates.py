@@ -51,6 +51,15 @@ def hour_of(text: Column | str) -> Column:
     return F.substring_index(text, ":", 1).try_cast("int")
 
 
+def iso_date(text: Column | str) -> Column:
+    """A ``yyyy-MM-dd`` text as a date, anything else NULL.
+
+    The cast alone would also take ``2019`` or ``2019-3``.
+    """
+    text = F.col(text) if isinstance(text, str) else text
+    return F.when(F.length(text) == 10, text.try_cast("date"))
+
+
 def compact_date(text: Column | str) -> Column:
     """``yyyyMMdd`` text as a date."""
     return F.try_to_date(text, "yyyyMMdd")

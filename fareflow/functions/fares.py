@@ -37,7 +37,7 @@ def haversine_km(lon1, lat1, lon2, lat2) -> Column:
     lon1, lat1, lon2, lat2 = (F.radians(c) for c in (lon1, lat1, lon2, lat2))
     a = F.pow(F.sin((lat2 - lat1) / 2), 2) + F.cos(lat1) * F.cos(lat2) * F.pow(F.sin((lon2 - lon1) / 2), 2)
     # Rounding can push a of two antipodes a hair above 1, where asin is NaN.
-    return 2 * F.asin(F.sqrt(F.least(a, F.lit(1.0)))) * EARTH_RADIUS_KM
+    return 2 * F.asin(F.sqrt(F.when(a > 1, 1.0).otherwise(a))) * EARTH_RADIUS_KM
 
 
 def distance_km(lon1, lat1, lon2, lat2) -> Column:
@@ -62,12 +62,14 @@ def step_bucket(
 
     ``below`` puts one more bucket (-inf, low) in front, ``above`` one more
     [high, inf) at the end.  Without ``above`` the last bucket also takes
-    ``high``.  A value outside the range counts for the outermost bucket.
+    ``high``.  A value outside the range counts for the outermost bucket; a
+    missing value has no bucket.
     """
+    value = _c(value).cast("double")
     count = round((high - low) / step) + (1 if above else 0)
-    raw = F.floor((_c(value).cast("double") - F.lit(float(low))) / F.lit(float(step)))
+    raw = F.floor((value - F.lit(float(low))) / F.lit(float(step)))
     bounded = F.least(F.greatest(raw, F.lit(-1 if below else 0)), F.lit(count - 1))
-    return (bounded + (1 if below else 0)).cast("double")
+    return F.when(value.isNotNull() & ~F.isnan(value), (bounded + (1 if below else 0)).cast("double"))
 
 
 #: Bucket layouts of the trained models (low, high, step, below, above).

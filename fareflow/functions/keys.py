@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .dates import iso_date
+
 
 def part(id_col: Column | str, position: int) -> Column:
     """The 0-based ``position``-th part of an id, or NULL."""
@@ -42,7 +44,7 @@ def parse_low_price(df: DataFrame, id_col: str = "id") -> DataFrame:
 
 def parse_list_fare(df: DataFrame, id_col: str = "orgPrice_id") -> DataFrame:
     names = _named(id_col, "org", "dst", "departDate")
-    names["departDate"] = names["departDate"].try_cast("date")
+    names["departDate"] = iso_date(names["departDate"])
     return df.withColumns(names)
 
 
@@ -52,7 +54,7 @@ def parse_seat(df: DataFrame, id_col: str = "seatLeft_id") -> DataFrame:
 
 def parse_flight_info(df: DataFrame, id_col: str = "infoBase_id") -> DataFrame:
     names = _named(id_col, "org", "dst", "fn", "departDate")
-    names["departDate"] = names["departDate"].try_cast("date")
+    names["departDate"] = iso_date(names["departDate"])
     return df.withColumns(names)
 
 
@@ -103,7 +105,7 @@ def resolve_depart_date(query: Column | str, month_day: Column | str, on_equal:
     seen = F.date_format(query, "MM-dd")
     rolls = seen > month_day if on_equal == "same" else seen >= month_day
     year = F.year(query) + F.when(rolls, 1).otherwise(0)
-    return F.concat_ws("-", year.cast("string"), month_day).try_cast("date")
+    return iso_date(F.concat(year.cast("string"), F.lit("-"), month_day))
 
 
 def resolve_symbolic(
@@ -119,10 +121,10 @@ def resolve_symbolic(
 
     seen = F.date_format(query, "MM-dd")
     year = F.year(query) + F.when(F.col(text) > seen, 0).otherwise(1)
-    described = df.withColumn("dateDesc", F.concat_ws("-", year.cast("string"), F.col(text)))
+    described = df.withColumn("dateDesc", F.concat(year.cast("string"), F.lit("-"), F.col(text)))
     joined = lookup_join(described, names.select("dateDesc", F.col("date").alias("_named")), ["dateDesc"], "left")
     return joined.withColumn(
-        out, F.coalesce("_named", F.col("dateDesc").try_cast("date"))
+        out, F.coalesce("_named", iso_date("dateDesc"))
     ).drop("_named", "dateDesc")
 
 

@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import fares, keys as ids
+from ..functions import dates, fares, keys as ids
 from ..schemas import MAX_PRICE
 from . import hot as hot_groups
 from . import windows
@@ -82,7 +82,7 @@ def summary(predictions: DataFrame, compat: bool = False) -> DataFrame:
     Equal predictions resolve to the later date.  ``compat=True`` leaves the high
     price empty where the lowest row is also the highest.
     """
-    on_day = F.col("predictDate") == F.substring_index("_id", "_", -1).try_cast("date")
+    on_day = F.col("predictDate") == dates.iso_date(F.substring_index("_id", "_", -1))
     # Smallest prediction first, latest date among equals: the date counts backwards.
     day = F.unix_date("predictDate")
     best = predictions.groupBy("_id").agg(

@@ -7,6 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import compact_date, iso_date
 from . import windows
 from .joins import BROADCAST_ROWS
 
@@ -56,7 +57,7 @@ def purge_before(df: DataFrame, column: str | Column, day: date) -> DataFrame:
 
 def purge_departed(df: DataFrame, run_date: date, id_col: str = "_id") -> DataFrame:
     """Drop published results whose id ends in a date before the run date."""
-    return purge_before(df, F.substring_index(id_col, "_", -1).try_cast("date"), run_date)
+    return purge_before(df, iso_date(F.substring_index(id_col, "_", -1)), run_date)
 
 
 #: Fixed value: the date inside a snapshot's name.
@@ -70,5 +71,5 @@ def snapshot_name(name: str | Column, day: date) -> Column:
 
 def expired_snapshots(catalog: DataFrame, run_date: date, keep: int = 4, name: str = "name") -> DataFrame:
     """Catalog rows whose name carries a date at least ``keep`` days before the run."""
-    dated = F.try_to_date(F.regexp_extract(F.col(name), f"({SNAPSHOT_DATE})", 1), "yyyyMMdd")
+    dated = compact_date(F.regexp_extract(F.col(name), f"({SNAPSHOT_DATE})", 1))
     return catalog.filter(dated <= F.lit(run_date - timedelta(days=keep)))

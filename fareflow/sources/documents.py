@@ -75,7 +75,7 @@ def low_prices(df: DataFrame) -> DataFrame:
         parse(df), {"_id": "id", "dairport": "org", "aairport": "dst"}, LOW_PRICE_FIELDS, "queryDate", "price"
     )
     return rows.select(
-        F.col("queryDate").try_cast("date").alias("queryDate"),
+        dates.iso_date("queryDate").alias("queryDate"),
         F.col("price").try_cast("int").alias("price"),
         "id",
         "org",
@@ -109,7 +109,7 @@ def international_prices(df: DataFrame) -> DataFrame:
     rows = unpivot(parse(docs), {"_id": "flineId"}, INTL_FIELDS, "predictDate", "price")
     return rows.select(
         "flineId",
-        F.col("predictDate").try_cast("date").alias("predictDate"),
+        dates.iso_date("predictDate").alias("predictDate"),
         F.col("price").try_cast("int").alias("price"),
     )
 
