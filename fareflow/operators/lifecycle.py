@@ -7,6 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..context import materialize
 from ..functions.dates import compact_date, iso_date
 from . import windows
 from .joins import BROADCAST_ROWS
@@ -26,13 +27,18 @@ def _without(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
 
 def append(state: DataFrame, delta: DataFrame, on: list[str]) -> DataFrame:
     """History plus today's rows.  A key that is already there is replaced, so a
-    rerun of the same day changes nothing."""
-    return _without(state, delta, on).unionByName(delta.dropDuplicates(on), allowMissingColumns=True)
+    rerun of the same day changes nothing.
+
+    Today's rows are written down first: they are counted, taken out of the
+    history and added to it.
+    """
+    today = materialize(windows.latest(delta, on, []), "today")
+    return _without(state, today, on).unionByName(today, allowMissingColumns=True)
 
 
 def upsert_replace(base: DataFrame, updates: DataFrame, on: list[str], version: str) -> DataFrame:
     """Whole-record upsert: the update with the highest ``version`` replaces the record."""
-    newest = windows.latest(updates, on, [version])
+    newest = materialize(windows.latest(updates, on, [version]), "updates")
     return _without(base, newest, on).unionByName(newest.select(*base.columns))
 
 

@@ -50,19 +50,21 @@ def future_prices(
 
     normal = parts.normal
     if normal is not None:
-        normal = normal.withColumns(
-            {
-                "group_count": F.count(price).over(Window.partitionBy(*keys)),
-                **ahead(_latest_first(keys, order), skip),
-            }
-        )
+        # All three share one window and so one sort.
+        w = _latest_first(keys, order)
+        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        normal = normal.withColumns({"group_count": F.count(price).over(whole), **ahead(w, skip)})
     if parts.hot is None:
         return normal
 
     w = _latest_first([*keys, SEGMENT], parts.order)
     left = "_left"  # rows of the segment still ahead, 0 on its last row
     inside = parts.hot.withColumns(
-        {**ahead(w, skip), left: F.row_number().over(w) - 1, "_size": F.count("*").over(Window.partitionBy(*keys, SEGMENT))}
+        {
+            **ahead(w, skip),
+            left: F.row_number().over(w) - 1,
+            "_size": F.count("*").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+        }
     )
     first = F.col(left) == F.col("_size") - 1
     summary = inside.groupBy(*keys, SEGMENT).agg(
@@ -188,16 +190,20 @@ def latest(df: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
     A maximum over a struct combines before the shuffle, so a hot key costs one
     row per task.
     """
+    return _extreme(df, keys, by, F.max)
+
+
+def _extreme(df, keys, by, pick):
     rest = [c for c in df.columns if c not in keys and c not in by]
-    top = df.groupBy(*keys).agg(F.max(F.struct(*by, *rest)).alias("_top"))
-    return top.select(*keys, *[F.col(f"_top.{c}").alias(c) for c in by + rest]).select(*df.columns)
+    if not by + rest:
+        return df.distinct()
+    top = df.groupBy(*keys).agg(pick(F.struct(*by, *rest)).alias("_top"))
+    return top.select(*[F.col(c if c in keys else f"_top.{c}").alias(c) for c in df.columns])
 
 
 def earliest(df: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
     """One row per key: the smallest in ``by``, ties broken by the remaining columns."""
-    rest = [c for c in df.columns if c not in keys and c not in by]
-    top = df.groupBy(*keys).agg(F.min(F.struct(*by, *rest)).alias("_top"))
-    return top.select(*keys, *[F.col(f"_top.{c}").alias(c) for c in by + rest]).select(*df.columns)
+    return _extreme(df, keys, by, F.min)
 
 
 def latest_rows(df: DataFrame, keys: list[str], by: list[str], n: int) -> DataFrame:
