@@ -22,10 +22,23 @@ SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply :data:`SETTINGS` to a session and return it."""
+#: Shuffle data one task should get.
+BYTES_PER_TASK = 256 * 1024 * 1024
+
+
+def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Apply :data:`SETTINGS` to a session and return it.
+
+    ``shuffle_bytes``, the largest amount one shuffle will move, sizes the
+    shuffle for it: shuffles start with that many partitions and AQE joins the
+    small ones.  Without it the session's own setting stays.
+    """
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
+    if shuffle_bytes is not None:
+        tasks = max(spark.sparkContext.defaultParallelism, -(-shuffle_bytes // BYTES_PER_TASK))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(min(tasks, 100_000)))
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(BYTES_PER_TASK))
     return spark
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import compact_date
 from ..schemas import DAY_AFTER_HOLIDAY, DAY_BEFORE_HOLIDAY, MISSING
-from .joins import lookup_join
+from .joins import lookup_join, sized
 
 
 def build(holidays: DataFrame) -> DataFrame:
@@ -60,8 +60,19 @@ def build(holidays: DataFrame) -> DataFrame:
     )
 
 
-def attach(df: DataFrame, calendar: DataFrame, date_col: str, prefix: str) -> DataFrame:
-    """Left-join the calendar on ``date_col``; absent days get the missing-value marks."""
+def attach(df: DataFrame, calendar: DataFrame, prefixes: dict[str, str]) -> DataFrame:
+    """Left-join the calendar on each date column; absent days get the missing-value marks.
+
+    ``prefixes`` maps a date column to the prefix of its calendar columns, for
+    instance ``{"departDate": "depart", "queryDate": "query"}``.
+    """
+    calendar = sized(calendar)
+    for date_col, prefix in prefixes.items():
+        df = _attach_one(df, calendar, date_col, prefix)
+    return df
+
+
+def _attach_one(df: DataFrame, calendar: DataFrame, date_col: str, prefix: str) -> DataFrame:
     dim = calendar.select(
         F.col("date").alias("_date"),
         F.col("calday_ln").alias(f"{prefix}_calday_ln"),
@@ -71,7 +82,7 @@ def attach(df: DataFrame, calendar: DataFrame, date_col: str, prefix: str) -> Da
         F.col("day_of_vacation").alias(f"{prefix}_dayofvacation"),
         F.col("day_of_vacation_extend").alias(f"{prefix}_dayofvacation_extend"),
     )
-    joined = lookup_join(df, dim, F.col(date_col) == F.col("_date"), "left").drop("_date")
+    joined = df.join(dim, F.col(date_col) == F.col("_date"), "left").drop("_date")
     numbers = ["vacationDays", "dayofvacation", "dayofvacation_extend"]
     return joined.withColumns(
         {

@@ -84,7 +84,8 @@ def attach_index(
     of them are small enough to broadcast.
     """
     type_ = index.schema["value"].dataType
-    sizes = {r["feature"]: r["count"] for r in index.groupBy("feature").count().collect()}  # one row per column
+    # One row per column.
+    sizes = {r["feature"]: r["count"] for r in index.groupBy("feature").count().collect()}
     for c in columns:
         dim = index.filter(F.col("feature") == c).select(F.col("value").alias("_value"), F.col("idx").alias(name(c)))
         if sizes.get(c, 0) <= BROADCAST_ROWS:

@@ -49,11 +49,15 @@ def build(df: DataFrame, calendar: DataFrame) -> DataFrame:
             "arriveTime": dates.hour_of("arriveTime"),
         }
     ).na.fill({"seatLeft": float(MISSING)})
-    for date_col, prefix in (("departDate", "depart"), ("queryDate", "query")):
-        df = holiday_calendar.attach(df, calendar, date_col, prefix)
-        df = df.withColumns(dates.date_parts(date_col, prefix))
-    df = df.withColumns(dates.lead_times("departDate", "queryDate"))
-    return df.withColumns(fares.buckets(fares.MODEL_BUCKETS))
+    df = holiday_calendar.attach(df, calendar, {"departDate": "depart", "queryDate": "query"})
+    return df.withColumns(
+        {
+            **dates.date_parts("departDate", "depart"),
+            **dates.date_parts("queryDate", "query"),
+            **dates.lead_times("departDate", "queryDate"),
+            **fares.buckets(fares.MODEL_BUCKETS),
+        }
+    )
 
 
 def international(
@@ -79,12 +83,13 @@ def international_dates(df: DataFrame) -> DataFrame:
     return df.withColumns({**parts, **dates.lead_times("departDate", "predictDate")})
 
 
-def international_history(df: DataFrame, order: list[str], policy: HotPolicy = DEFAULT) -> DataFrame:
+def international_history(
+    df: DataFrame, order: list[str], policy: HotPolicy = DEFAULT, bound: DataFrame | None = None
+) -> DataFrame:
     """Date columns plus the mean price of the four departures before, per lead time."""
     dated = international_dates(df)
-    return windows.trailing_mean(
-        dated, ["flineId_noDate", "intervalDays"], ["departDate", *order], "price", rows=4, policy=policy
-    )
+    key, by = ["flineId_noDate", "intervalDays"], ["departDate", *order]
+    return windows.trailing_mean(dated, key, by, "price", rows=4, policy=policy, bound=bound)
 
 
 def split(df: DataFrame, run_date: date, depart: str = "departDate") -> tuple[DataFrame, DataFrame]:

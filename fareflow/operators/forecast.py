@@ -125,13 +125,14 @@ def series(
     order: list[str],
     value: str,
     policy: HotPolicy = DEFAULT,
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Ordered array of (order columns, value) per key, as ``part, content``.
 
     An ordinary key has one part, 0.  A hot key is delivered in several parts,
     each of a size one task can hold; joined by ``part`` they are its series.
     """
-    parts = hot_groups.split(df, keys, order, policy)
+    parts = hot_groups.split(df, keys, order, policy, bound)
     content = F.array_sort(F.collect_list(F.struct(*order, value))).alias("content")
 
     normal = parts.normal

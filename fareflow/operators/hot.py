@@ -7,8 +7,7 @@ cut into *segments*: consecutive pieces of the group's order, each small enough
 for one task.  An operator then works inside (keys, segment) and brings over
 from the neighbouring segments a summary of one row per segment.
 
-Everything that is broadcast or collected here is bounded by ``max_segments``:
-fewer than that many groups can hold more than 1/max_segments of the rows.
+Everything that is broadcast or collected here is bounded by ``max_segments``.
 """
 
 from __future__ import annotations
@@ -44,30 +43,33 @@ class Parts:
     order: list[str]
 
 
-def split(df: DataFrame, keys: list[str], order: list[str], policy: HotPolicy = DEFAULT) -> Parts:
+def split(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    policy: HotPolicy = DEFAULT,
+    bound: DataFrame | None = None,
+) -> Parts:
     """Separate the hot groups of ``df`` and cut them into segments.
 
-    Costs one count; on tables larger than ``rows_per_task`` also a count per
-    key.  Only where a hot group exists are its rows range-partitioned by
+    ``bound`` is a table with at least as many rows that is cheaper to count,
+    such as the scan ``df`` was made from.  A table that fits one task needs no
+    more than that count.  A larger one is counted per key, combined before the
+    shuffle.  Only where a hot group exists are its rows range-partitioned by
     (keys, order) and written to the shared work folder with their segment
     number, so that a lost executor cannot shift a segment border later.
     With no ``keys`` the whole table is the group.
     """
-    total = df.count()
+    total = (df if bound is None else bound).count()
     if total <= policy.rows_per_task:
         return Parts(df, None, order)
-    limit = max(policy.rows_per_task, total // policy.max_segments)
-    spark = df.sparkSession
     if keys:
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
-        hot_rows = counts.collect()  # fewer than max_segments rows, see above
-        if not hot_rows:
+        heat, size = _hot_keys(df, keys, policy)
+        if heat is None:
             return Parts(df, None, order)
-        heat = spark.createDataFrame(hot_rows, counts.schema)
         match = [df[k].eqNullSafe(heat[k]) for k in keys]
         normal = df.join(F.broadcast(heat), match, "left_anti")
-        hot = df.join(F.broadcast(heat.drop("_n")), match, "left_semi")
-        size = sum(r["_n"] for r in hot_rows)
+        hot = df.join(F.broadcast(heat), match, "left_semi")
     else:
         normal, hot, size = None, df, total
     pieces = min(policy.max_segments, max(2, -(-size // policy.rows_per_task)))
@@ -79,6 +81,20 @@ def split(df: DataFrame, keys: list[str], order: list[str], policy: HotPolicy =
     return Parts(normal, materialize(cut, "segments"), [*order, TIE])
 
 
+def _hot_keys(df: DataFrame, keys: list[str], policy: HotPolicy) -> tuple[DataFrame | None, int]:
+    """The largest groups above ``rows_per_task``, and how many rows they hold.
+
+    At most ``max_segments`` of them: a group that is not among them holds less
+    than 1/max_segments of the table, a fair share for one task.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > policy.rows_per_task)
+    largest = counts.orderBy(F.desc("_n")).limit(policy.max_segments).collect()
+    if not largest:
+        return None, 0
+    heat = df.sparkSession.createDataFrame(largest, counts.schema).drop("_n")
+    return heat, sum(r["_n"] for r in largest)
+
+
 def attach(rows: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
     """Join a table of one row per segment, at most max_segments in all, to the segments' rows."""
     names = {k: f"_on{i}" for i, k in enumerate([*keys, SEGMENT])}

@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 
 
-def lookup_join(
-    df: DataFrame, dim: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Join ``df`` to a dimension, broadcasting it only when a count proves it small.
+def sized(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The dimension, marked for broadcast if a count proves it small.
 
     A dimension made by a groupBy has no useful size estimate, so Catalyst would
-    shuffle the large side for it.  Beyond ``max_rows`` the join stays without a
-    hint: a shuffled join whose hot keys AQE splits.
+    shuffle the large side for it.  Beyond ``max_rows`` it stays without a hint:
+    then it takes a shuffled join, whose hot keys AQE splits.
     """
-    if dim.count() <= max_rows:
-        dim = F.broadcast(dim)
-    return df.join(dim, on, how)
+    return F.broadcast(dim) if dim.count() <= max_rows else dim
+
+
+def lookup_join(
+    df: DataFrame, dim: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Join ``df`` to a dimension of checked size, see :func:`sized`."""
+    return df.join(sized(dim, max_rows), on, how)

@@ -1,4 +1,7 @@
-"""Price-drop labels over an itinerary's price history."""
+"""Price-drop labels over an itinerary's price history.
+
+``policy`` and ``bound`` are those of :mod:`fareflow.operators.windows`.
+"""
 
 from __future__ import annotations
 
@@ -9,8 +12,8 @@ from . import windows
 from .hot import DEFAULT, HotPolicy
 
 
-def _labelled(df, keys, order, price, min_group, skip, policy):
-    seen = windows.future_prices(df, keys, order, price, skip=skip, policy=policy)
+def _labelled(df, keys, order, price, min_group, skip, policy, bound):
+    seen = windows.future_prices(df, keys, order, price, skip=skip, policy=policy, bound=bound)
     return seen.filter(F.col("group_count") >= min_group).drop("group_count")
 
 
@@ -22,6 +25,7 @@ def trend(
     min_group: int = 15,
     drop_ratio: float = 0.96,
     policy: HotPolicy = DEFAULT,
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Label 1 where waiting pays: the lowest price from two rows ahead is at most
     ``drop_ratio`` of the next row's price.
@@ -31,7 +35,7 @@ def trend(
     """
     ratio = F.try_divide(F.col("futureMinPrice").cast("double"), F.col("nextQueryPrice").cast("double"))
     return (
-        _labelled(df, keys, order, price, min_group, 2, policy)
+        _labelled(df, keys, order, price, min_group, 2, policy, bound)
         .dropna(subset=["futureMinPrice", "nextQueryPrice"])
         .withColumn("trend", ratio.between(0, drop_ratio).cast("int"))
         .drop("nextQueryPrice")
@@ -52,6 +56,7 @@ def trend_own_price(
     min_group: int = 15,
     drop: float = 0.04,
     policy: HotPolicy = DEFAULT,
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Older label: 1 where the future minimum is more than ``drop`` below the own price.
 
@@ -59,7 +64,7 @@ def trend_own_price(
     """
     rate = own_price_drop(price)
     return (
-        _labelled(df, keys, order, price, min_group, 2, policy)
+        _labelled(df, keys, order, price, min_group, 2, policy, bound)
         .withColumn("trend", (rate > drop).cast("int"))
         .drop("nextQueryPrice")
     )
@@ -73,6 +78,7 @@ def trend3(
     min_group: int = 15,
     band: float = 0.1,
     policy: HotPolicy = DEFAULT,
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Three classes against the minimum from one row ahead: 2 falls, 0 flat, 1 rises.
 
@@ -80,7 +86,7 @@ def trend3(
     """
     rate = own_price_drop(price)
     return (
-        _labelled(df, keys, order, price, min_group, 1, policy)
+        _labelled(df, keys, order, price, min_group, 1, policy, bound)
         .dropna(subset=["futureMinPrice"])
         .withColumn("trend", F.when(rate > band, 2).when(F.abs(rate) <= band, 0).when(rate.isNotNull(), 1))
         .drop("nextQueryPrice")

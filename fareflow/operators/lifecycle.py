@@ -7,6 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import sinks
 from ..context import materialize
 from ..functions.dates import compact_date, iso_date
 from . import windows
@@ -36,6 +37,26 @@ def append(state: DataFrame, delta: DataFrame, on: list[str]) -> DataFrame:
     return _without(state, today, on).unionByName(today, allowMissingColumns=True)
 
 
+#: More days than this in one delta mean a rebuild, not a daily append.
+MAX_DAYS = 1_000
+
+
+def append_stored(path: str, delta: DataFrame, on: list[str], day: str) -> None:
+    """:func:`append` to a stored history partitioned by ``day``.
+
+    Only the days the delta brings are read, merged and replaced; the rest of the
+    history is not touched.  The merged days are written down before they replace
+    what they were made of, so a lost run can be repeated.
+    """
+    spark = delta.sparkSession
+    days = [r[0] for r in delta.select(day).distinct().limit(MAX_DAYS + 1).collect()]
+    if len(days) > MAX_DAYS:
+        raise ValueError(f"the delta brings more than {MAX_DAYS} days")
+    touched = spark.read.schema(delta.schema).parquet(path).filter(F.col(day).isin(*days))
+    merged = materialize(append(touched, delta, on), "merged-days")
+    sinks.write_parquet(merged, path, partition_by=[day])
+
+
 def upsert_replace(base: DataFrame, updates: DataFrame, on: list[str], version: str) -> DataFrame:
     """Whole-record upsert: the update with the highest ``version`` replaces the record."""
     newest = materialize(windows.latest(updates, on, [version]), "updates")

@@ -3,6 +3,7 @@
 Each function is the usual one-shuffle window for ordinary groups.  Hot groups
 take the segmented way of :mod:`fareflow.operators.hot` and give the same rows.
 ``order`` names columns sorted ascending; give enough of them for a total order.
+``bound`` is a table at least as long as ``df`` that is cheaper to count.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ def future_prices(
     price: str,
     skip: int = 2,
     policy: HotPolicy = DEFAULT,
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``group_count``, ``futureMinPrice`` and ``nextQueryPrice``.
 
@@ -40,7 +42,7 @@ def future_prices(
     """
     if skip not in (1, 2):
         raise ValueError("skip must be 1 or 2")
-    parts = hot_groups.split(df, keys, order, policy)
+    parts = hot_groups.split(df, keys, order, policy, bound)
 
     def ahead(w, first: int) -> dict[str, Column]:
         return {
@@ -105,9 +107,10 @@ def trailing_mean(
     rows: int = 4,
     out: str = "preceding3day_price",
     policy: HotPolicy = DEFAULT,
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Mean of the ``rows`` rows before each row; the row's own value where there are none."""
-    parts = hot_groups.split(df, keys, order, policy)
+    parts = hot_groups.split(df, keys, order, policy, bound)
 
     def mean(over_keys, by):
         w = Window.partitionBy(*over_keys).orderBy(*by).rowsBetween(-rows, -1)

@@ -33,8 +33,7 @@ FROM itineraries LEFT JOIN calendar d ON d.date = "departDate" LEFT JOIN calenda
 def calendar_features(t):
     calendar = holiday_calendar.build(holidays(t))
     rows = itineraries(t).select(*_LINE, "departDate", "queryDate")
-    rows = holiday_calendar.attach(rows, calendar, "departDate", "depart")
-    return holiday_calendar.attach(rows, calendar, "queryDate", "query")
+    return holiday_calendar.attach(rows, calendar, {"departDate": "depart", "queryDate": "query"})
 
 
 _INTL_COLUMNS = '"flineId_noDate", org, dst, "isReturn_type", "isDirect_type", "predictDate", "departDate", price'
@@ -60,6 +59,7 @@ SELECT *, round(coalesce(avg(price) OVER ({_ROUTE_DAY} ROWS BETWEEN 4 PRECEDING
 FROM dated""",
 )
 def intl_history_features(t):
-    known = features.international(intl_history(t), named_dates(t), holiday_calendar.build(holidays(t)))
-    past = features.international_history(known, _LINE)
+    raw = intl_history(t)
+    known = features.international(raw, named_dates(t), holiday_calendar.build(holidays(t)))
+    past = features.international_history(known, _LINE, bound=raw)
     return past.withColumn("preceding3day_price", F.round("preceding3day_price", 4))

@@ -168,7 +168,7 @@ labelled AS (
 def feature_table(t):
     """History of parts instead of itineraries: those are long enough to label."""
     rows = features.within_lead(itineraries(t)).withColumn("city_code", F.concat_ws("_", "org", "dst"))
-    labelled = labels.trend(rows, ["l_partkey"], ["departDate", "l_orderkey", "l_linenumber"])
+    labelled = labels.trend(rows, ["l_partkey"], ["departDate", "l_orderkey", "l_linenumber"], bound=t.lineitem)
     run = RUN.run_date
     enriched = enrich.itinerary(
         labelled,

@@ -39,6 +39,25 @@ def incremental_union(t):
     return lifecycle.append(once, delta, ["o_orderkey"])
 
 
+@query(
+    "q_incremental_stored",
+    f"""WITH {_ORDERS_SQL}, h AS (SELECT * EXCLUDE (day), date_trunc('month', day)::DATE AS day FROM o WHERE day < {RUN_SQL})
+SELECT o_orderkey, o_orderstatus, day, CASE WHEN day >= {RUN_SQL} - 100 AND o_orderstatus = 'F' THEN price + 1 ELSE price END AS price FROM h""",
+)
+def incremental_stored(t):
+    """The same on a stored history of months: a delta rewrites the months it brings."""
+    orders, run = _orders(t).withColumn("day", F.trunc("day", "month")), F.lit(RUN.run_date)
+    past = _orders(t).filter(F.col("day") < run).select("o_orderkey")
+    known = orders.join(past, "o_orderkey", "left_semi")
+    recent = known.filter(F.col("day") >= F.date_sub(run, 100))
+    path = work_dir(t.spark, "history")
+    sinks.write_parquet(known.filter(F.col("day") < F.date_sub(run, 50)), path, partition_by=["day"])
+    lifecycle.append_stored(path, recent, ["o_orderkey"], "day")
+    closed = recent.filter(F.col("o_orderstatus") == "F").withColumn("price", F.col("price") + 1)
+    lifecycle.append_stored(path, closed, ["o_orderkey"], "day")
+    return t.spark.read.schema(orders.schema).parquet(path).select(*orders.columns)
+
+
 # Updates: one per order line, the newest ship date wins; not every order has one,
 # and the field to set is empty for open lines.
 _UPDATES_SQL = f"""{_ORDERS_SQL}, lines AS (

@@ -44,7 +44,12 @@ def training_rows(
     """Labelled, enriched history of departed itineraries."""
     history = features.domestic_history(low_prices, run.run_date)
     labelled = labels.trend(
-        history, ["fn", "city_code", "departDate"], ["queryDate"], min_group=min_group, policy=policy
+        history,
+        ["fn", "city_code", "departDate"],
+        ["queryDate"],
+        min_group=min_group,
+        policy=policy,
+        bound=low_prices,
     )
     return _enriched(labelled, dims, run.run_date)
 
@@ -62,10 +67,12 @@ def daily_history(yesterday: DataFrame, today: DataFrame) -> DataFrame:
 def feature_table(rows: DataFrame, holidays: DataFrame, policy: HotPolicy = DEFAULT) -> DataFrame:
     """The model's columns for training and online rows together.
 
-    The string indexes read the built rows once more than the result does, so
-    the rows are written down before.
+    The string indexes need a pass over the built rows before the result can
+    read them, so what both need is written down in between.
     """
-    built = materialize(features.build(rows, holiday_calendar.build(holidays)), "built-rows")
+    built = features.build(rows, holiday_calendar.build(holidays))
+    needed = [c for c in MODEL_COLUMNS if c in built.columns]
+    built = materialize(built.select(*needed, *[c for c in INDEXED if c not in needed]), "built-rows")
     index = materialize(encoding.string_index(built, INDEXED, policy), "string-index")
     return encoding.attach_index(built, index, INDEXED, name=indexed_name).select(*MODEL_COLUMNS)
 

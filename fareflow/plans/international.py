@@ -18,7 +18,7 @@ def history(
     Written down once: encoder, model, grid and reference prices all read it.
     """
     known = features.international(raw, names, holiday_calendar.build(holidays))
-    return materialize(features.international_history(known, order, policy), "intl-history")
+    return materialize(features.international_history(known, order, policy, bound=raw), "intl-history")
 
 
 def prediction_frame(past: DataFrame, holidays: DataFrame, run: RunContext, order: list[str]) -> DataFrame:

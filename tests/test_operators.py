@@ -67,7 +67,7 @@ def test_calendar_marks_both_sides_of_every_run(spark):
 
 def test_calendar_columns(spark):
     df = spark.createDataFrame([(date(2019, 10, 1),), (date(2019, 11, 1),), (date(2019, 6, 1),)], "d date")
-    got = {r["d"].month: r for r in calendar.attach(df, calendar.build(holidays(spark)), "d", "depart").collect()}
+    got = {r["d"].month: r for r in calendar.attach(df, calendar.build(holidays(spark)), {"d": "depart"}).collect()}
     assert (got[10]["depart_isFestival"], got[10]["depart_isVacation"], got[10]["depart_vacationDays"]) == (1, 1, 10)
     assert (got[11]["depart_isFestival"], got[11]["depart_isVacation"], got[11]["depart_dayofvacation"]) == (1, 0, -999)
     assert (got[6]["depart_festival"], got[6]["depart_dayofvacation_extend"]) == ("-999", -999)
