@@ -120,7 +120,10 @@ def sample_to(df: DataFrame, target: int, seed: int) -> DataFrame:
 
 
 def sample_exactly(df: DataFrame, n: int, seed: int) -> DataFrame:
-    """``n`` random rows: every task keeps its own ``n`` first, then they are merged."""
+    """``n`` random rows, for an ``n`` one task can hold.
+
+    Every task keeps its own ``n`` first, then they are merged.
+    """
     return df.orderBy(F.rand(seed)).limit(n)
 
 

@@ -17,7 +17,7 @@ from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Columns of the international price model.
+#: Columns of the international price model.
 CATEGORIES = ["org", "dst", "isReturn_type", "isDirect_type", "departYear", "is_vacation", "vacation_days", "day_of_vacation"]
 NUMBERS = [
     "departMonth",
@@ -31,7 +31,7 @@ NUMBERS = [
     "intervalQuarters",
     "preceding3day_price",
 ]
-#: Columns the chi-square ranking looks at.
+#: Columns the chi-square ranking looks at.
 RANKED = [
     "fnHashBucket",
     "fcHashBucket",

@@ -213,7 +213,7 @@ def latest_rows(df: DataFrame, keys: list[str], by: list[str], n: int) -> DataFr
     """The ``n`` latest rows per key.
 
     Spark keeps only ``n`` rows per key and task before the shuffle
-    (WindowGroupLimit), so a hot key stays small.
+    (WindowGroupLimit, for ``n`` up to 1000), so a hot key stays small.
     """
     rank = F.row_number().over(_latest_first(keys, by))
     return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")

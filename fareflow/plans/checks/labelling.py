@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...operators import enrich, forecast, labels, windows
+from ...operators.hot import HotPolicy
 from .registry import HISTORY_KEYS, HISTORY_ORDER, HISTORY_SQL, RUN, RUN_SQL, history, query
 
 _ORDER = "PARTITION BY l_partkey ORDER BY day, l_orderkey, l_linenumber"
@@ -61,6 +62,68 @@ def trailing_mean(t):
     return seen.select("l_partkey", *HISTORY_ORDER, F.round("preceding3day_price", 4).alias("preceding3day_price"))
 
 
+# --- hot keys: all returned lines, a third of the table, are one key -------------------
+
+#: Small enough that this key is cut into segments at every scale factor.
+_SMALL_TASKS = HotPolicy(rows_per_task=1_500)
+_HOT_ORDER = ["day", "l_orderkey", "l_linenumber", "l_partkey"]
+_HOT_SQL = """history AS (
+  SELECT CASE WHEN l_returnflag = 'R' THEN -1 ELSE l_partkey END AS series, CAST(l_shipdate AS DATE) AS day, l_orderkey, l_linenumber, l_partkey,
+    l_extendedprice AS price FROM lineitem)"""
+_HOT_WINDOW = "PARTITION BY series ORDER BY day, l_orderkey, l_linenumber, l_partkey"
+
+
+def _hot_history(t):
+    series = F.when(F.col("l_returnflag") == "R", F.lit(-1)).otherwise(F.col("l_partkey")).alias("series")
+    return t.lineitem.select(
+        series, F.to_date("l_shipdate").alias("day"), "l_orderkey", "l_linenumber", "l_partkey", F.col("l_extendedprice").alias("price")
+    )
+
+
+@query(
+    "q_trend_label_hot_key",
+    f"""WITH {_HOT_SQL}, seen AS (
+  SELECT *, count(price) OVER (PARTITION BY series) AS n, lead(price) OVER ({_HOT_WINDOW}) AS nxt,
+    min(price) OVER ({_HOT_WINDOW} ROWS BETWEEN 2 FOLLOWING AND UNBOUNDED FOLLOWING) AS "futureMinPrice"
+  FROM history)
+SELECT series, day, l_orderkey, l_linenumber, l_partkey, price, "futureMinPrice",
+  CAST("futureMinPrice" / nxt BETWEEN 0 AND 0.96 AS INT) AS trend
+FROM seen WHERE n >= 15 AND "futureMinPrice" IS NOT NULL""",
+)
+def trend_label_hot_key(t):
+    return labels.trend(_hot_history(t), ["series"], _HOT_ORDER, policy=_SMALL_TASKS)
+
+
+@query(
+    "q_trailing_mean_hot_key",
+    f"""WITH {_HOT_SQL}
+SELECT series, day, l_orderkey, l_linenumber, l_partkey, row_number() OVER ({_HOT_WINDOW}) - 1 AS position,
+  round(coalesce(avg(price) OVER ({_HOT_WINDOW} ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING), price), 4) AS preceding3day_price
+FROM history""",
+)
+def trailing_mean_hot_key(t):
+    seen = windows.trailing_mean(_hot_history(t), ["series"], _HOT_ORDER, "price", policy=_SMALL_TASKS)
+    numbered = windows.position(seen, ["series"], _HOT_ORDER, "position", _SMALL_TASKS)
+    mean = F.round("preceding3day_price", 4).alias("preceding3day_price")
+    return numbered.select("series", *_HOT_ORDER, "position", mean)
+
+
+@query(
+    "q_collect_series_hot_key",
+    f"""WITH {_HOT_SQL} SELECT series, count(*) AS entries, round(sum(price), 2) AS total, min(day) AS first_day, max(day) AS last_day
+FROM history GROUP BY series""",
+)
+def collect_series_hot_key(t):
+    """The parts of every series add up, and no part is larger than a task may hold."""
+    parts = forecast.series(_hot_history(t), ["series"], _HOT_ORDER, "price", _SMALL_TASKS)
+    return parts.groupBy("series").agg(
+        F.sum(F.size("content")).alias("entries"),
+        F.round(F.sum(F.aggregate("content", F.lit(0.0), lambda a, x: a + x["price"])), 2).alias("total"),
+        F.min(F.get("content", F.lit(0))["day"]).alias("first_day"),
+        F.max(F.element_at("content", -1)["day"]).alias("last_day"),
+    )
+
+
 @query(
     "q_last_of_day",
     """SELECT user_id, CAST(ts AS DATE) AS "queryDate", max_by(event_id, ts) AS event_id, max_by(value, ts) AS value

@@ -26,6 +26,7 @@ def schema(**fields: str) -> T.StructType:
     return T.StructType([T.StructField(n, _TYPES[t]) for n, t in fields.items()])
 
 
+# Field names of the landing files and documents.
 LOW_PRICE = schema(queryDate="date", price="int", id="string", org="string", dst="string")
 LIST_FARE = schema(orgPrice_id="string", fc="string", orgPrice="int")
 AIRPORT = schema(Airport_code="string", latitude="double", longitude="double")
@@ -65,7 +66,7 @@ TRAIN_STOP = schema(
     stationName="string",
     orderNum="int",
 )
-#: Header-less landing file: every field is text, see ``sources.files.typed``.
+#: The header-less landing file; every field is text, see ``sources.files.typed``.
 MERGED_FARES = [
     "queryDate",
     "price",
@@ -86,11 +87,11 @@ MERGED_FARES = [
     "isShare",
 ]
 
-#: Columns that identify a sample, and its label.
+#: Columns that identify a sample, and its label.
 BASE_COLUMNS = ["fn", "city_code", "departDate", "queryDate"]
 LABEL = "trend"
 
-#: Columns replaced by an index, and what the index column is called.
+#: Columns replaced by an index, and what the index column is called.
 INDEXED = ["fn", "fc", "org", "dst", "depart_festival", "query_festival"]
 
 
