@@ -102,8 +102,10 @@ def resolve_depart_date(query: Column | str, month_day: Column | str, on_equal:
         raise ValueError("on_equal must be 'same' or 'next'")
     query = F.col(query) if isinstance(query, str) else query
     month_day = F.col(month_day) if isinstance(month_day, str) else month_day
-    seen = F.date_format(query, "MM-dd")
-    rolls = seen > month_day if on_equal == "same" else seen >= month_day
+    # Compared as numbers: formatting the query date would cost more than all the rest.
+    seen = F.month(query) * 100 + F.dayofmonth(query)
+    wanted = F.concat(F.substring(month_day, 1, 2), F.substring(month_day, 4, 2)).try_cast("int")
+    rolls = seen > wanted if on_equal == "same" else seen >= wanted
     year = F.year(query) + F.when(rolls, 1).otherwise(0)
     return iso_date(F.concat(year.cast("string"), F.lit("-"), month_day))
 
