@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from dataclasses import dataclass
 from datetime import date, timedelta
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,8 +18,6 @@ SETTINGS = {
     # Split hot join keys even where the split costs one more exchange afterwards.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Lets a dated write replace only the partitions it carries.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -42,6 +41,12 @@ def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSes
     return spark
 
 
+@cache
+def _local_root() -> str:
+    """One temporary folder per process, for local sessions without a shared one."""
+    return tempfile.mkdtemp(prefix="fareflow-")
+
+
 def work_dir(spark: SparkSession, purpose: str = "run") -> str:
     """A fresh folder for intermediate tables that every executor can reach.
 
@@ -52,8 +57,7 @@ def work_dir(spark: SparkSession, purpose: str = "run") -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="fareflow-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/fareflow-{purpose}-{uuid.uuid4().hex}"
 
 

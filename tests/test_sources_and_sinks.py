@@ -1,5 +1,6 @@
 import json
 from datetime import date, datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,6 +120,16 @@ def test_work_dir(spark):
     assert RunContext.of("2019-03-01").yesterday == date(2019, 2, 28)
 
 
+def test_only_a_local_session_falls_back_to_a_temporary_folder():
+    def session(master):
+        conf = SimpleNamespace(get=lambda name, default: default)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert "fareflow-" in work_dir(session("local[2]"))
+    with pytest.raises(RuntimeError):
+        work_dir(session("yarn"))
+
+
 @pytest.mark.parametrize("names", [schemas.FEATURE_COLUMNS, schemas.MODEL_COLUMNS])
 def test_column_lists(names):
     assert len(names) == len(set(names)) and len(schemas.MODEL_COLUMNS) == 45
