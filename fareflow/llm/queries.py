@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, pieces, simhash, tokens
+from . import packing, pieces, simhash, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+#: A document is toxic from this score on.
+TOXIC = 0.7
+
+
 def query(fn: Callable[[SparkSession, str], DataFrame]):
     QUERIES[fn.__name__] = fn
     return fn
@@ -29,6 +33,28 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def _held_out():
+    """Documents whose labels nothing may be learnt from."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """Fitted on a bounded sample of the labelled documents outside the held-out third."""
+    labels = _table(spark, sf_dir, "labels").filter(~_held_out()).select("doc_id", F.col("toxic").alias("label"))
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.fit(*toxicity.sample(documents.join(labels, "doc_id")))
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability that a document is toxic."""
+    documents = _table(spark, sf_dir, "documents")
+    found = toxicity.score(documents, toxicity_model(spark, sf_dir))
+    return found.select(
+        "doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted")
+    )
+
+
 @query
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
