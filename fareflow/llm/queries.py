@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, pieces, simhash, tokens, toxicity
+from . import lines, packing, pieces, simhash, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -68,6 +68,25 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines of 40 code points that 5 documents share, but for the last of them."""
+    found = lines.drop_repeated(_table(spark, sf_dir, "documents"), min_chars=40, min_docs=5)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+_BLANKS = " || ".join(f"chr({ord(c)})" for c in lines.BLANKS)
+ORACLE["op7_line_dedup"] = f"""
+WITH texts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+numbered AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS i FROM texts),
+keyed AS (SELECT *, translate(trim(line, {_BLANKS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM numbered),
+frequent AS (SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+marked AS (SELECT a.doc_id, a.i, a.line, coalesce(a.doc_id <> f.keeper, false) AS gone FROM keyed a LEFT JOIN frequent f ON a.k = f.k)
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(gone AS INT)) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id"""
+
+
 @query
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again: number and hash of the ids, digest of the text that came back."""
