@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, packing, pieces, simhash, tokens, toxicity
+from . import imatch, lines, packing, pieces, simhash, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -87,6 +87,12 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(gone AS INT)) AS BIGINT) AS n_
 FROM marked GROUP BY doc_id"""
 
 
+@query
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I-Match fingerprints of every document and of its edited text."""
+    return imatch.compare_with_edited(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again: number and hash of the ids, digest of the text that came back."""
