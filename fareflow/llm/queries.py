@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import imatch, lines, packing, pieces, simhash, tokens, toxicity
+from . import imatch, lines, neighbours, packing, pieces, simhash, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -102,3 +102,9 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(
         "doc_id", F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"), F.sha2("text", 256).alias("text_sha256")
     )
+
+
+@query
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth."""
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("_id") % 50 == 0, k=5)
