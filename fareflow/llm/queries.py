@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import imatch, lines, neighbours, packing, pieces, simhash, tokens, toxicity
+from . import imatch, lines, neighbours, packing, pieces, shards, simhash, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -68,6 +68,12 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document; a shard holds at most 8 MiB of text."""
+    return shards.assign(_table(spark, sf_dir, "documents"), max_bytes=8 << 20)
+
+
 @query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the lines of 40 code points that 5 documents share, but for the last of them."""
