@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import imatch, lines, neighbours, packing, pieces, shards, simhash, tokens, toxicity
+from . import imatch, lines, neighbours, packing, passages, pieces, shards, simhash, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -68,6 +68,13 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages that a document shares with one of smaller id: first word, number of words, that document."""
+    found = passages.repeated(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "first", "words", "first_doc_id")
+
+
 @query
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard of every document; a shard holds at most 8 MiB of text."""
