@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -36,7 +37,7 @@ def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSes
         spark.conf.set(name, value)
     if shuffle_bytes is not None:
         tasks = max(spark.sparkContext.defaultParallelism, -(-shuffle_bytes // BYTES_PER_TASK))
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(min(tasks, 100_000)))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(tasks))
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(BYTES_PER_TASK))
     return spark
 
@@ -50,15 +51,29 @@ def _local_root() -> str:
 def work_dir(spark: SparkSession, purpose: str = "run") -> str:
     """A fresh folder for intermediate tables that every executor can reach.
 
-    The parent is ``spark.checkpoint.dir``.  Only a local-mode session may fall
-    back to a temporary folder, because only there is it shared by all tasks.
+    The parent is the application's own folder in ``spark.checkpoint.dir``.  Only
+    a session whose tasks run inside the driver may fall back to a temporary
+    folder, because only there do all tasks share it.
     """
+    return f"{_own_root(spark)}/fareflow-{purpose}-{uuid.uuid4().hex}"
+
+
+def _own_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = _local_root()
-    return f"{root.rstrip('/')}/fareflow-{purpose}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/fareflow-{spark.sparkContext.applicationId}"
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application, at the end of a job.
+
+    Results that were not written elsewhere cannot be read afterwards.
+    """
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_root(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:

@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 EARTH_RADIUS_KM = 6371
 
 
+
+def whole_number(text: Column | str, kind="int") -> Column:
+    """A number in a text, cut to a whole one: ``560`` and ``560.0`` alike; NULL for other texts."""
+    c = F.col(text) if isinstance(text, str) else text
+    return F.coalesce(c.try_cast(kind), c.try_cast("double").try_cast(kind))
+
+
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

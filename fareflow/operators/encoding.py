@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..context import materialize
 from . import windows
 from .hot import DEFAULT, HotPolicy
-from .joins import BROADCAST_ROWS
+from .joins import sized
 
 
 def long_form(df: DataFrame, columns: list[str], as_type: str) -> DataFrame:
@@ -80,17 +80,13 @@ def attach_index(
     """Add the index of each column's value; a value not in the dictionary gives NULL.
 
     ``index`` should be a written table (see :func:`fareflow.sinks.write_dictionary`):
-    one lookup per column reads it again.  One count per feature decides which
-    of them are small enough to broadcast.
+    one lookup per column reads it again.  Each column's part is measured to see
+    whether it can be broadcast.
     """
     type_ = index.schema["value"].dataType
-    # One row per column.
-    sizes = {r["feature"]: r["count"] for r in index.groupBy("feature").count().collect()}
     for c in columns:
         dim = index.filter(F.col("feature") == c).select(F.col("value").alias("_value"), F.col("idx").alias(name(c)))
-        if sizes.get(c, 0) <= BROADCAST_ROWS:
-            dim = F.broadcast(dim)
-        df = df.join(dim, F.col(c).cast(type_) == F.col("_value"), "left").drop("_value")
+        df = df.join(sized(dim), F.col(c).cast(type_) == F.col("_value"), "left").drop("_value")
         if default is not None:
             df = df.na.fill({name(c): default})
     return df

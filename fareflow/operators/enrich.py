@@ -58,33 +58,28 @@ def with_distance(df: DataFrame, airports: DataFrame, org: str = "org", dst: str
 
 
 def list_fares(raw: DataFrame, run_date: date, max_days: int | None = None) -> DataFrame:
-    """``fc, org, dst → orgPrice`` from the next departure that has a list fare."""
-    parsed = ids.parse_list_fare(raw).select("fc", "org", "dst", "departDate", F.col("orgPrice").cast("int"))
-    return nearest_future(parsed, ["fc", "org", "dst"], "departDate", run_date, max_days).drop("departDate").dropna()
+    """``fc, org, dst → orgPrice`` from the next departure that has a list fare.
+
+    Incomplete records drop out before the next one is looked for.
+    """
+    parsed = ids.parse_list_fare(raw).select("fc", "org", "dst", "departDate", F.col("orgPrice").cast("int")).dropna()
+    return nearest_future(parsed, ["fc", "org", "dst"], "departDate", run_date, max_days).drop("departDate")
 
 
 def seat_loads(raw: DataFrame) -> DataFrame:
-    """``fn, org, dst, departDate, queryDate → seatLeft`` from each day's last snapshot."""
-    last = ids.parse_seat(last_of_day(raw, ["seatLeft_id"], "queryDatetime"))
-    return last.select(
-        "fn",
-        "org",
-        "dst",
-        ids.resolve_depart_date("queryDate", "depart_md").alias("departDate"),
-        "queryDate",
-        fares.percent("seatLeft").alias("seatLeft"),
-    ).dropna()
+    """``fn, org, dst, departDate, queryDate → seatLeft`` from each day's last complete snapshot."""
+    complete = raw.dropna(subset=["seatLeft_id", "queryDatetime", "seatLeft"])
+    last = ids.parse_seat(last_of_day(complete, ["seatLeft_id"], "queryDatetime"))
+    columns = {"departDate": ids.resolve_depart_date("queryDate", "depart_md"), "seatLeft": fares.percent("seatLeft")}
+    return ids.once(last, columns).select("fn", "org", "dst", "departDate", "queryDate", "seatLeft").dropna()
 
 
 def flight_info(raw: DataFrame, run_date: date, max_days: int | None = None) -> DataFrame:
-    """``fn, org, dst → departTime, arriveTime, isShare`` of the next departure."""
+    """``fn, org, dst → departTime, arriveTime, isShare`` of the next departure that has all of them."""
     parsed = ids.parse_flight_info(raw).select(
-        "fn", "org", "dst", "departDate", "departTime", "arriveTime", (F.col("isShare") == "True").alias("isShare")
+        "fn", "org", "dst", "departDate", "departTime", "arriveTime", (F.col("isShare") == "True").cast("int").alias("isShare")
     )
-    # A missing flag counts as not shared.
-    shared = F.coalesce(F.col("isShare"), F.lit(False)).cast("int")
-    near = nearest_future(parsed.withColumn("isShare", shared), ["fn", "org", "dst"], "departDate", run_date, max_days)
-    return near.drop("departDate").dropna()
+    return nearest_future(parsed.dropna(), ["fn", "org", "dst"], "departDate", run_date, max_days).drop("departDate")
 
 
 def itinerary(

@@ -26,15 +26,15 @@ def within_lead(df: DataFrame, depart: str = "departDate", query: str = "queryDa
 
 def look_back(df: DataFrame, days: int, depart: str = "departDate", query: str = "predictDate") -> DataFrame:
     """Records queried in (departure - days, departure]."""
-    return df.filter((F.col(query) > F.date_sub(depart, days)) & (F.col(query) <= F.col(depart)))
+    ahead = F.datediff(depart, query)
+    return df.filter((ahead >= 0) & (ahead < days))
 
 
 def domestic_history(raw: DataFrame, run_date: date, under_days: int = 100, max_lead: int = 30) -> DataFrame:
     """Departed itineraries from raw low prices: sane, fresh, keyed, dated."""
     clean = fresh(raw.dropna().filter(fares.sane_price("price", MAX_PRICE)), run_date, under_days=under_days)
-    dated = ids.parse_low_price(clean).withColumn(
-        "departDate", ids.resolve_depart_date("queryDate", "depart_md", on_equal="same")
-    )
+    resolved = ids.resolve_depart_date("queryDate", "depart_md", on_equal="same")
+    dated = ids.once(ids.parse_low_price(clean), {"departDate": resolved})
     departed = dated.filter(F.col("departDate") < F.lit(run_date))
     return within_lead(departed, max_days=max_lead).drop("id", "depart_md")
 
@@ -115,7 +115,7 @@ def time_split(
 def sample_to(df: DataFrame, target: int, seed: int) -> DataFrame:
     """Bernoulli sample of about ``target`` rows; all rows if there are fewer."""
     count = df.count()
-    fraction = round(target / count, 4) if count else 1.0
+    fraction = target / count if count else 1.0
     return df if fraction >= 1.0 else df.sample(False, fraction, seed)
 
 

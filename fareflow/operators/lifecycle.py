@@ -11,19 +11,18 @@ from .. import sinks
 from ..context import materialize
 from ..functions.dates import compact_date, iso_date
 from . import windows
-from .joins import BROADCAST_ROWS
+from .joins import sized
 
 
 def _without(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """Rows of ``df`` whose key is not in ``keys``.
+    """Rows of ``df`` whose key is not in ``keys``; NULL is a key like another.
 
     A day's worth of keys is broadcast when a count proves it small, so the long
     history is not shuffled for it.
     """
-    keys = keys.select(*on).distinct()
-    if keys.count() <= BROADCAST_ROWS:
-        keys = F.broadcast(keys)
-    return df.join(keys, on, "left_anti")
+    names = {k: f"_on{i}" for i, k in enumerate(on)}
+    known = sized(keys.select(*[F.col(k).alias(n) for k, n in names.items()]).distinct())
+    return df.join(known, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()], "left_anti")
 
 
 def append(state: DataFrame, delta: DataFrame, on: list[str]) -> DataFrame:
@@ -37,22 +36,29 @@ def append(state: DataFrame, delta: DataFrame, on: list[str]) -> DataFrame:
     return _without(state, today, on).unionByName(today, allowMissingColumns=True)
 
 
-#: More days than this in one delta mean a rebuild, not a daily append.
-MAX_DAYS = 1_000
+#: Up to so many days are named in the filter that selects partitions; more are joined.
+NAMED_DAYS = 1_000
 
 
 def append_stored(path: str, delta: DataFrame, on: list[str], day: str) -> None:
-    """:func:`append` to a stored history partitioned by ``day``.
+    """:func:`append` to a stored history partitioned by ``day``, which is part of the key ``on``.
 
     Only the days the delta brings are read, merged and replaced; the rest of the
-    history is not touched.  The merged days are written down before they replace
-    what they were made of, so a lost run can be repeated.
+    history is not touched.  Rows without a day are a partition like another.
+    The merged days are written down before they replace what they were made of,
+    so a lost run can be repeated.
     """
+    if day not in on:
+        raise ValueError(f"{day} has to be part of the key: a key on another day would not be found")
     spark = delta.sparkSession
-    days = [r[0] for r in delta.select(day).distinct().limit(MAX_DAYS + 1).collect()]
-    if len(days) > MAX_DAYS:
-        raise ValueError(f"the delta brings more than {MAX_DAYS} days")
-    touched = spark.read.schema(delta.schema).parquet(path).filter(F.col(day).isin(*days))
+    stored = spark.read.schema(delta.schema).parquet(path)
+    days = materialize(delta.select(F.col(day).alias("_day")).distinct(), "days")
+    named = [r[0] for r in days.limit(NAMED_DAYS + 1).collect()]
+    if len(named) <= NAMED_DAYS:
+        some = F.col(day).isin(*[d for d in named if d is not None])
+        touched = stored.filter(some | F.col(day).isNull() if None in named else some)
+    else:
+        touched = stored.join(sized(days), F.col(day).eqNullSafe(F.col("_day")), "left_semi")
     merged = materialize(append(touched, delta, on), "merged-days")
     sinks.write_parquet(merged, path, partition_by=[day])
 

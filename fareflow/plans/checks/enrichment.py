@@ -80,7 +80,7 @@ seat AS (
 info AS (
   SELECT fn, org, dst, lpad(l_linenumber::VARCHAR, 2, '0') || ':30' AS "departTime",
     lpad((l_linenumber + 3)::VARCHAR, 2, '0') || ':30' AS "arriveTime", CAST(l_returnflag = 'A' AS INT) AS "isShare"
-  FROM itineraries WHERE "departDate" >= {RUN_SQL}
+  FROM itineraries WHERE "departDate" >= {RUN_SQL} AND l_returnflag IN ('A', 'N')
   QUALIFY row_number() OVER (PARTITION BY fn, org, dst ORDER BY "departDate", l_linenumber, CAST(l_returnflag = 'A' AS INT)) = 1)"""
 DIMENSIONS_SQL = DIMENSIONS_SQL.replace("PARTITION BY 1, 2, 3", "PARTITION BY o_custkey % 5, o_custkey % 25, o_orderkey % 25")
 

@@ -41,38 +41,46 @@ def incremental_union(t):
 
 @query(
     "q_incremental_stored",
-    f"""WITH {_ORDERS_SQL}, h AS (SELECT * EXCLUDE (day), date_trunc('month', day)::DATE AS day FROM o WHERE day < {RUN_SQL})
-SELECT o_orderkey, o_orderstatus, day, CASE WHEN day >= {RUN_SQL} - 100 AND o_orderstatus = 'F' THEN price + 1 ELSE price END AS price FROM h""",
+    f"""WITH {_ORDERS_SQL}, h AS (
+  SELECT * EXCLUDE (day), CASE WHEN o_orderkey % 50 <> 3 THEN date_trunc('month', day)::DATE END AS day FROM o WHERE day < {RUN_SQL})
+SELECT o_orderkey, o_orderstatus, day,
+  CASE WHEN (day >= {RUN_SQL} - 100 OR (day IS NULL AND o_orderkey % 100 = 3)) AND o_orderstatus = 'F' THEN price + 1 ELSE price END AS price
+FROM h""",
 )
 def incremental_stored(t):
-    """The same on a stored history of months: a delta rewrites the months it brings."""
-    orders, run = _orders(t).withColumn("day", F.trunc("day", "month")), F.lit(RUN.run_date)
+    """The same on a stored history of months: a delta rewrites the months it brings.
+
+    Some orders have no month; the second delta brings half of them again.
+    """
+    dated = F.when(F.col("o_orderkey") % 50 != 3, F.trunc("day", "month"))
+    orders, run = _orders(t).withColumn("day", dated), F.lit(RUN.run_date)
     past = _orders(t).filter(F.col("day") < run).select("o_orderkey")
     known = orders.join(past, "o_orderkey", "left_semi")
-    recent = known.filter(F.col("day") >= F.date_sub(run, 100))
+    half = F.col("day").isNull() & (F.col("o_orderkey") % 100 == 3)
+    recent = known.filter((F.col("day") >= F.date_sub(run, 100)) | half)
     path = work_dir(t.spark, "history")
-    sinks.write_parquet(known.filter(F.col("day") < F.date_sub(run, 50)), path, partition_by=["day"])
-    lifecycle.append_stored(path, recent, ["o_orderkey"], "day")
+    before = (F.col("day") < F.date_sub(run, 50)) | F.col("day").isNull()
+    sinks.write_parquet(known.filter(before), path, partition_by=["day"])
+    lifecycle.append_stored(path, recent, ["o_orderkey", "day"], "day")
     closed = recent.filter(F.col("o_orderstatus") == "F").withColumn("price", F.col("price") + 1)
-    lifecycle.append_stored(path, closed, ["o_orderkey"], "day")
+    lifecycle.append_stored(path, closed, ["o_orderkey", "day"], "day")
     return t.spark.read.schema(orders.schema).parquet(path).select(*orders.columns)
 
 
-# Updates: one per order line, the newest ship date wins; not every order has one,
+# Updates: one per order line, the newest ship date wins; keys are shifted by one, so not every order has one,
 # and the field to set is empty for open lines.
 _UPDATES_SQL = f"""{_ORDERS_SQL}, lines AS (
-  SELECT l_orderkey AS o_orderkey, CAST(l_shipdate AS DATE) AS version,
+  SELECT l_orderkey + 1 AS o_orderkey, CAST(l_shipdate AS DATE) AS version,
     CASE WHEN l_linestatus = 'F' THEN l_extendedprice END AS price, l_partkey, l_linenumber
-  FROM lineitem WHERE l_returnflag = 'R'),
+  FROM lineitem),
 newest AS (
   SELECT * FROM lines
   QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY version DESC, price DESC NULLS LAST, l_partkey DESC, l_linenumber DESC) = 1)"""
 
 
 def _updates(t: Tables):
-    returned = t.lineitem.filter(F.col("l_returnflag") == "R")
-    return returned.select(
-        F.col("l_orderkey").alias("o_orderkey"),
+    return t.lineitem.select(
+        (F.col("l_orderkey") + 1).alias("o_orderkey"),
         F.to_date("l_shipdate").alias("version"),
         F.when(F.col("l_linestatus") == "F", F.col("l_extendedprice")).alias("price"),
         "l_partkey",

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates
+from ..functions.fares import whole_number
 from ..functions.keys import DATE_KEY, MONTH_DAY_KEY, admitted
 from ..schemas import AIRPORT, FLIGHT_INFO, STATION
 from ..operators import windows
@@ -76,7 +77,7 @@ def low_prices(df: DataFrame) -> DataFrame:
     )
     return rows.select(
         dates.iso_date("queryDate").alias("queryDate"),
-        F.col("price").try_cast("int").alias("price"),
+        whole_number("price").alias("price"),
         "id",
         "org",
         "dst",
@@ -90,7 +91,7 @@ def list_fares(df: DataFrame, since: date | None = None) -> DataFrame:
     dated that day or later.
     """
     rows = unpivot(parse(since_day(df, since)), {"_id": "orgPrice_id"}, LIST_FARE_FIELDS, "fc", "_classes")
-    price = F.get_json_object("_classes", "$.Y.price").try_cast("int")
+    price = whole_number(F.get_json_object("_classes", "$.Y.price"))
     return rows.select("orgPrice_id", "fc", price.alias("orgPrice")).filter(F.col("orgPrice").isNotNull())
 
 
@@ -110,7 +111,7 @@ def international_prices(df: DataFrame) -> DataFrame:
     return rows.select(
         "flineId",
         dates.iso_date("predictDate").alias("predictDate"),
-        F.col("price").try_cast("int").alias("price"),
+        whole_number("price").alias("price"),
     )
 
 

@@ -1,3 +1,4 @@
+import math
 from datetime import date, datetime
 
 import pytest
@@ -104,7 +105,8 @@ def dimensions(spark):
         schemas.SEAT_LEFT,
     )
     info = spark.createDataFrame(
-        [("AAA_BBB_XX1_2019-03-05", "08:15", "10:40", "False"), ("BBB_AAA_XX1_2019-03-05", "08:15", "10:40", None)],
+        [("AAA_BBB_XX1_2019-03-05", "08:15", "10:40", "False"), ("BBB_AAA_XX1_2019-03-04", "09:15", "11:40", None),
+         ("BBB_AAA_XX1_2019-03-05", "08:15", "10:40", "True")],
         schemas.FLIGHT_INFO,
     )
     return airports, enrich.list_fares(fares, RUN), enrich.seat_loads(seats), enrich.flight_info(info, RUN)
@@ -123,7 +125,24 @@ def test_itinerary(spark):
     assert set(got) == {("AAA", 20), ("AAA", 21), ("BBB", 21)}
     assert (got["AAA", 20]["distance"], got["AAA", 20]["discount"], got["AAA", 20]["seatLeft"]) == (219, 0.47, 80.0)
     assert got["AAA", 21]["seatLeft"] is None and got["BBB", 21]["discount"] is None
-    assert got["BBB", 21]["isShare"] == 0  # a missing flag counts as not shared
+    assert (got["BBB", 21]["isShare"], got["BBB", 21]["departTime"]) == (1, "08:15")  # the earlier one has no flag
+
+
+def test_incomplete_records_do_not_hide_complete_ones(spark, rows):
+    fares = spark.createDataFrame(
+        [("AAA_BBB_2019-03-02_fd", "XX", None), ("AAA_BBB_2019-03-05_fd", "XX", 1200)], schemas.LIST_FARE
+    )
+    assert rows(enrich.list_fares(fares, RUN)) == [("XX", "AAA", "BBB", 1200)]
+    seats = spark.createDataFrame(
+        [(datetime(2019, 2, 20, 9, 0), "85%", "XX1_AAA_BBB_03-05"), (datetime(2019, 2, 20, 10, 0), None, "XX1_AAA_BBB_03-05")],
+        schemas.SEAT_LEFT,
+    )
+    assert rows(enrich.seat_loads(seats), "seatLeft") == [(85.0,)]
+    info = spark.createDataFrame(
+        [("AAA_BBB_XX1_2019-03-02", None, "10:40", "False"), ("AAA_BBB_XX1_2019-03-05", "08:15", "10:40", "False")],
+        schemas.FLIGHT_INFO,
+    )
+    assert rows(enrich.flight_info(info, RUN), "departTime", "isShare") == [("08:15", 0)]
 
 
 # --- features ----------------------------------------------------------------------
@@ -153,6 +172,7 @@ def test_splits_and_samples(spark):
     assert features.sample_to(df, 1000, 1).count() == 100
     assert features.sample_to(df.filter("false"), 10, 1).count() == 0
     assert 0 < features.sample_to(df, 30, 1).count() < 100
+    assert 850 < features.sample_to(spark.range(30_000_000), 1_000, 1).count() < 1_150
     assert features.sample_exactly(df, 10, 1).count() == 10
     assert features.shuffle(df, 1).exceptAll(df).count() == 0
 
@@ -343,3 +363,12 @@ def test_forest_prefers_the_telling_feature(spark):
     df = spark.range(200).selectExpr("cast(id % 2 AS double) AS trend", "id % 2 AS tell", "id % 5 AS noise")
     model = ml.fit_forest(ml.assemble(df, ["tell", "noise"]), variant="shallow")
     assert ml.importances(model, ["tell", "noise"])[0][0] == "tell"
+
+
+def test_percentiles_are_exact_for_long_groups(spark):
+    prices = spark.range(150_000).selectExpr("'a' AS k", "id * 7919 % 150000 AS price").unionByName(
+        spark.sql("SELECT 'b' AS k, 5L AS price UNION ALL SELECT 'b', NULL UNION ALL SELECT 'c', NULL")
+    )
+    cuts = [0.05, 0.5, 0.95, 1.0]
+    found = {r["k"]: r["percentArray"] for r in ranges.percentiles(prices, ["k"], cuts=cuts).collect()}
+    assert found == {"a": [math.ceil(c * 150_000) - 1 for c in cuts], "b": [5] * 4, "c": None}

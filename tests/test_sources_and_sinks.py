@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from fareflow import schemas, sinks
-from fareflow.context import RunContext, work_dir
+from fareflow.context import RunContext, clean_up, materialize, work_dir
+from fareflow.operators import joins, lifecycle
 from fareflow.sources import documents, files
 
 
@@ -123,7 +124,7 @@ def test_work_dir(spark):
 def test_only_a_local_session_falls_back_to_a_temporary_folder():
     def session(master):
         conf = SimpleNamespace(get=lambda name, default: default)
-        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId="app-1"))
 
     assert "fareflow-" in work_dir(session("local[2]"))
     with pytest.raises(RuntimeError):
@@ -133,3 +134,40 @@ def test_only_a_local_session_falls_back_to_a_temporary_folder():
 @pytest.mark.parametrize("names", [schemas.FEATURE_COLUMNS, schemas.MODEL_COLUMNS])
 def test_column_lists(names):
     assert len(names) == len(set(names)) and len(schemas.MODEL_COLUMNS) == 45
+
+
+def test_whole_numbers_may_be_written_with_a_point(spark, rows, tmp_path):
+    (tmp_path / "a.csv").write_text("price,QUERYDATE,extra,id,dst,org\n560.0,2019-02-20,x,XX1,BBB,AAA\n,2019-02-20,x,XX2,BBB,AAA\ncheap,2019-02-20,x,XX3,BBB,AAA\n")
+    found = files.read_csv(spark, str(tmp_path / "a.csv"), schemas.LOW_PRICE)
+    assert found.schema.names == schemas.LOW_PRICE.names
+    assert rows(found, "id", "price", "queryDate", "org") == [
+        ("XX1", 560, date(2019, 2, 20), "AAA"), ("XX2", None, date(2019, 2, 20), "AAA"), ("XX3", None, date(2019, 2, 20), "AAA")
+    ]
+    (tmp_path / "b.csv").write_text("price,queryDate\n1,2019-02-20\n")
+    with pytest.raises(ValueError, match="org"):
+        files.read_csv(spark, str(tmp_path / "b.csv"), schemas.LOW_PRICE)
+    docs = spark.createDataFrame([('{"_id": "i", "dairport": "A", "aairport": "B", "2019-02-20": "560.0", "2019-02-21": 570.0}',)], "doc string")
+    assert rows(documents.low_prices(docs), "price") == [(560,), (570,)]
+
+
+def test_stored_append_keeps_rows_without_a_day(spark, rows, tmp_path):
+    schema, path = "id long, v int, day date", str(tmp_path / "h")
+    stored = spark.createDataFrame([(1, 1, date(2019, 1, 1)), (2, 2, None), (3, 3, None)], schema)
+    sinks.write_parquet(stored, path, partition_by=["day"])
+    lifecycle.append_stored(path, spark.createDataFrame([(4, 4, None), (3, 33, None), (1, 11, date(2019, 1, 1))], schema), ["id", "day"], "day")
+    assert rows(spark.read.schema(schema).parquet(path), "id", "v") == [(1, 11), (2, 2), (3, 33), (4, 4)]
+    with pytest.raises(ValueError, match="part of the key"):
+        lifecycle.append_stored(path, stored, ["id"], "day")
+
+
+def test_clean_up_removes_the_intermediate_tables(spark):
+    made = materialize(spark.range(3), "short-lived")
+    assert made.count() == 3
+    clean_up(spark)
+    with pytest.raises(Exception):
+        made.count()
+
+
+def test_broadcast_follows_measured_bytes(spark):
+    narrow, wide = spark.range(1000).selectExpr("id", "'x' AS t"), spark.range(1000).selectExpr("id", "repeat('x', 5000) AS t")
+    assert joins.table_bytes(narrow) < 50_000 < 5_000_000 <= joins.table_bytes(wide)
