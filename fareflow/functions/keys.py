@@ -26,8 +26,21 @@ def part(id_col: Column | str, position: int) -> Column:
     return F.get(F.split(id_col, "_"), F.lit(position))
 
 
-def _named(id_col, *names: str) -> dict[str, Column]:
-    return {name: part(id_col, i) for i, name in enumerate(names)}
+def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that are computed once per row, whatever is filtered on them later.
+
+    They go through ``inline``: filters stay above it, where plain projections
+    would be pasted into each of them.
+    """
+    made = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select(*[c for c in df.columns if c not in columns], F.inline(F.array(made)))
+
+
+def _parsed(df: DataFrame, id_col: str, names: list[str | None], more=lambda at: {}) -> DataFrame:
+    """Add the named parts of an id, which is split once; ``more`` makes further columns of the parts."""
+    at = lambda i: F.get("_parts", F.lit(i))
+    columns = {name: at(i) for i, name in enumerate(names) if name} | more(at)
+    return once(df.withColumn("_parts", F.split(id_col, "_")), columns).drop("_parts")
 
 
 def parse_low_price(df: DataFrame, id_col: str = "id") -> DataFrame:
@@ -35,39 +48,36 @@ def parse_low_price(df: DataFrame, id_col: str = "id") -> DataFrame:
 
     ``fc`` is the two-letter carrier, ``city_code`` the middle two parts.
     """
-    fn = part(id_col, 0)
     city = F.substring_index(F.substring_index(id_col, "_", 3), "_", -2)
-    return df.withColumns(
-        {"fn": fn, "fc": F.substring(fn, 1, 2), "city_code": city, "depart_md": part(id_col, 3)}
+    return _parsed(
+        df, id_col, ["fn", None, None, "depart_md"], lambda at: {"fc": F.substring(at(0), 1, 2), "city_code": city}
     )
 
 
 def parse_list_fare(df: DataFrame, id_col: str = "orgPrice_id") -> DataFrame:
-    names = _named(id_col, "org", "dst", "departDate")
-    names["departDate"] = iso_date(names["departDate"])
-    return df.withColumns(names)
+    return _parsed(df, id_col, ["org", "dst"], lambda at: {"departDate": iso_date(at(2))})
 
 
 def parse_seat(df: DataFrame, id_col: str = "seatLeft_id") -> DataFrame:
-    return df.withColumns(_named(id_col, "fn", "org", "dst", "depart_md"))
+    return _parsed(df, id_col, ["fn", "org", "dst", "depart_md"])
 
 
 def parse_flight_info(df: DataFrame, id_col: str = "infoBase_id") -> DataFrame:
-    names = _named(id_col, "org", "dst", "fn", "departDate")
-    names["departDate"] = iso_date(names["departDate"])
-    return df.withColumns(names)
+    return _parsed(df, id_col, ["org", "dst", "fn"], lambda at: {"departDate": iso_date(at(3))})
 
 
 def parse_international(df: DataFrame, id_col: str = "flineId") -> DataFrame:
     """Add the five route parts, ``flineId_noDate`` and the trailing ``depart_text``."""
-    names = _named(id_col, "org", "dst", "isReturn_type", "cabin", "isDirect_type")
-    names["flineId_noDate"] = F.substring_index(id_col, "_", 5)
-    names["depart_text"] = F.substring_index(id_col, "_", -1)
-    return df.withColumns(names)
+    return _parsed(
+        df,
+        id_col,
+        ["org", "dst", "isReturn_type", "cabin", "isDirect_type"],
+        lambda at: {"flineId_noDate": F.substring_index(id_col, "_", 5), "depart_text": F.substring_index(id_col, "_", -1)},
+    )
 
 
 def parse_result(df: DataFrame, id_col: str = "_id") -> DataFrame:
-    return df.withColumns(_named(id_col, "fn", "org", "dst", "departDate"))
+    return _parsed(df, id_col, ["fn", "org", "dst", "departDate"])
 
 
 def build(*parts: Column | str) -> Column:

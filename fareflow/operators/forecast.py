@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..context import materialize
 from ..functions import dates, fares, keys as ids
 from ..schemas import MAX_PRICE
-from . import hot as hot_groups
 from . import windows
 from .features import international_dates
-from .hot import DEFAULT, SEGMENT, HotPolicy
 from .joins import lookup_join
 
 
@@ -26,9 +25,8 @@ def online_frame(raw: DataFrame, run_date: date, max_age: int = 14) -> DataFrame
     usable = last.filter(fares.sane_price("price", MAX_PRICE)).filter(
         F.datediff(F.lit(run_date), "queryDate") <= max_age
     )
-    dated = ids.parse_low_price(usable).withColumn(
-        "departDate", ids.resolve_depart_date("queryDate", "depart_md", on_equal="same")
-    )
+    resolved = ids.resolve_depart_date("queryDate", "depart_md", on_equal="same")
+    dated = ids.once(ids.parse_low_price(usable), {"departDate": resolved})
     return (
         dated.drop("id", "depart_md")
         .withColumn("queryDate", F.lit(run_date - timedelta(days=1)))
@@ -69,7 +67,12 @@ def reference_price(
 def grid_features(
     pairs: DataFrame, reference: DataFrame, calendar: DataFrame, attach_calendar
 ) -> DataFrame:
-    """Route, calendar and lead-time columns of grid rows with a reference price."""
+    """Route, calendar and lead-time columns of grid rows with a reference price.
+
+    The reference prices boil a long history down: they are written before they
+    are measured and joined.
+    """
+    reference = materialize(reference, "reference-prices")
     parts = {n: ids.part("flineId_noDate", i) for i, n in enumerate(["org", "dst", "isReturn_type", None, "isDirect_type"]) if n}
     dated = international_dates(attach_calendar(pairs, calendar, "departDate").withColumns(parts))
     return lookup_join(dated, reference, ["flineId_noDate", "intervalDays"], "inner").dropna()
@@ -119,32 +122,17 @@ def pivot_summary(rows: DataFrame) -> DataFrame:
     return rows.groupBy("_id").pivot("key", SUMMARY_KEYS).agg(F.max("value"))
 
 
-def series(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    value: str,
-    policy: HotPolicy = DEFAULT,
-    bound: DataFrame | None = None,
-) -> DataFrame:
-    """Ordered array of (order columns, value) per key, as ``part, content``.
+def series(df: DataFrame, keys: list[str], order: list[str], value: str, part: Column | None = None) -> DataFrame:
+    """Ordered array of (order columns, value) per key and part, as ``part, content``.
 
-    An ordinary key has one part, 0.  A hot key is delivered in several parts,
-    each of a size one task can hold; joined by ``part`` they are its series.
+    ``part`` is the month of the first order column, a date, unless another
+    expression of it is given; joined by ``part`` the arrays are the key's series.
+    The parts are the same for every size of the table.  One task holds the rows
+    of a key and part, so a denser history wants narrower parts, such as days.
     """
-    parts = hot_groups.split(df, keys, order, policy, bound)
+    part = F.trunc(order[0], "month") if part is None else part
     content = F.array_sort(F.collect_list(F.struct(*order, value))).alias("content")
-
-    normal = parts.normal
-    if normal is not None:
-        normal = normal.groupBy(*keys).agg(content).select(*keys, F.lit(0).alias("part"), "content")
-    if parts.hot is None:
-        return normal
-    pieces = parts.hot.groupBy(*keys, SEGMENT).agg(content)
-    number = (F.row_number().over(Window.partitionBy(*keys).orderBy(SEGMENT)) - 1).alias("part")
-    numbers = parts.hot.select(*keys, SEGMENT).distinct().select(*keys, SEGMENT, number)
-    hot = hot_groups.attach(pieces, numbers, keys).select(*keys, "part", "content")
-    return hot if normal is None else normal.unionByName(hot)
+    return df.groupBy(*keys, part.alias("part")).agg(content).select(*keys, "part", "content")
 
 
 def publish_scores(df: DataFrame, run_date: date, threshold: float = 0.6, score: str = "rawPred") -> DataFrame:

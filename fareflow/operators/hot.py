@@ -7,7 +7,8 @@ cut into *segments*: consecutive pieces of the group's order, each small enough
 for one task.  An operator then works inside (keys, segment) and brings over
 from the neighbouring segments a summary of one row per segment.
 
-Everything that is broadcast or collected here is bounded by ``max_segments``.
+Hot keys and summaries are tables: they are broadcast only where their size is
+checked, and joined by shuffle beyond that.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..context import materialize
+from .joins import sized
 
 SEGMENT = "_segment"
 TIE = "_tie"
@@ -28,7 +30,6 @@ class HotPolicy:
     """Groups of up to ``rows_per_task`` rows are left to one task."""
 
     rows_per_task: int = 4_000_000
-    max_segments: int = 10_000
 
 
 DEFAULT = HotPolicy()
@@ -36,13 +37,24 @@ DEFAULT = HotPolicy()
 
 @dataclass(frozen=True)
 class Parts:
-    """A table split in two: groups for plain windows, and segmented hot groups."""
+    """A table split in two: groups for plain windows, and segmented hot groups.
+
+    ``plain`` and ``order`` are the columns to sort the two halves by.
+    """
 
     normal: DataFrame | None
     hot: DataFrame | None
+    plain: list[str]
     order: list[str]
 
 
+def total_order(df: DataFrame, keys: list[str], order: list[str]) -> list[str]:
+    """``order`` and then the remaining columns, so that only equal rows tie."""
+    used = {*keys, *order}
+    rest = [f.name for f in df.schema.fields if f.name not in used and "map<" not in f.dataType.simpleString()]
+    return [*order, *rest]
+
+
 def split(
     df: DataFrame,
     keys: list[str],
@@ -58,49 +70,45 @@ def split(
     shuffle.  Only where a hot group exists are its rows range-partitioned by
     (keys, order) and written to the shared work folder with their segment
     number, so that a lost executor cannot shift a segment border later.
-    With no ``keys`` the whole table is the group.
+    With no ``keys`` the whole table is the group.  Rows equal in ``order`` are
+    told apart by their other columns, whatever the size of the table.
     """
+    order = total_order(df, keys, order)
     total = (df if bound is None else bound).count()
     if total <= policy.rows_per_task:
-        return Parts(df, None, order)
+        return Parts(df, None, order, order)
     if keys:
-        heat, size = _hot_keys(df, keys, policy)
-        if heat is None:
-            return Parts(df, None, order)
-        match = [df[k].eqNullSafe(heat[k]) for k in keys]
-        normal = df.join(F.broadcast(heat), match, "left_anti")
-        hot = df.join(F.broadcast(heat), match, "left_semi")
+        heat = _hot_keys(df, keys, policy)
+        size = heat.agg(F.sum("_n")).first()[0]
+        if size is None:
+            return Parts(df, None, order, order)
+        few = sized(heat.drop("_n"))
+        match = [df[k].eqNullSafe(few[k]) for k in keys]
+        normal = df.join(few, match, "left_anti")
+        hot = df.join(few, match, "left_semi")
     else:
         normal, hot, size = None, df, total
-    pieces = min(policy.max_segments, max(2, -(-size // policy.rows_per_task)))
+    pieces = max(2, -(-size // policy.rows_per_task))
     cut = (
         hot.withColumn(TIE, F.monotonically_increasing_id())
         .repartitionByRange(pieces, *keys, *order, TIE)
         .withColumn(SEGMENT, F.spark_partition_id())
     )
-    return Parts(normal, materialize(cut, "segments"), [*order, TIE])
-
+    return Parts(normal, materialize(cut, "segments"), order, [*order, TIE])
 
-def _hot_keys(df: DataFrame, keys: list[str], policy: HotPolicy) -> tuple[DataFrame | None, int]:
-    """The largest groups above ``rows_per_task``, and how many rows they hold.
 
-    At most ``max_segments`` of them: a group that is not among them holds less
-    than 1/max_segments of the table, a fair share for one task.
-    """
+def _hot_keys(df: DataFrame, keys: list[str], policy: HotPolicy) -> DataFrame:
+    """All groups above ``rows_per_task`` with their rows ``_n``, written down."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > policy.rows_per_task)
-    largest = counts.orderBy(F.desc("_n")).limit(policy.max_segments).collect()
-    if not largest:
-        return None, 0
-    heat = df.sparkSession.createDataFrame(largest, counts.schema).drop("_n")
-    return heat, sum(r["_n"] for r in largest)
+    return materialize(counts, "hot-keys")
 
 
 def attach(rows: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
-    """Join a table of one row per segment, at most max_segments in all, to the segments' rows."""
+    """Join a table of one row per segment to the segments' rows."""
     names = {k: f"_on{i}" for i, k in enumerate([*keys, SEGMENT])}
-    summary = summary.withColumnsRenamed(names)
+    summary = materialize(summary.withColumnsRenamed(names), "segment-summary")
     on = [F.col(k).eqNullSafe(F.col(renamed)) for k, renamed in names.items()]
-    return rows.join(F.broadcast(summary), on).drop(*names.values())
+    return rows.join(sized(summary), on).drop(*names.values())
 
 
 def merge(normal: DataFrame | None, hot: DataFrame | None) -> DataFrame:

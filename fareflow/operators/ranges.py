@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..context import materialize
 from ..functions import keys as ids
+from . import windows
 from .features import look_back
+from .hot import DEFAULT, HotPolicy
 
 #: Cut points of the published percentile range.
 CUTS = [0.05, 0.1, 0.15, 0.2, 0.25, 0.75, 0.8, 0.85, 0.9, 0.95]
@@ -19,11 +22,8 @@ def _range(low: Column | str, high: Column | str) -> Column:
 
 def in_domestic_window(df: DataFrame, days: int = 50) -> DataFrame:
     """Prices queried in the last ``days`` days before departure; adds ``departDate``."""
-    dated = df.withColumn(
-        "departDate",
-        ids.resolve_depart_date("predictDate", F.substring_index("flineId", "_", -1), on_equal="next"),
-    )
-    return look_back(dated, days)
+    resolved = ids.resolve_depart_date("predictDate", F.substring_index("flineId", "_", -1), on_equal="next")
+    return look_back(ids.once(df, {"departDate": resolved}), days)
 
 
 def by_average(df: DataFrame, min_count: int = 15, days: int = 50) -> DataFrame:
@@ -70,20 +70,28 @@ def monthly(df: DataFrame) -> DataFrame:
 
 
 def percentiles(
-    df: DataFrame, keys: list[str], price: str = "price", cuts: list[float] = CUTS, accuracy: int = 10_000
+    df: DataFrame, keys: list[str], price: str = "price", cuts: list[float] = CUTS, policy: HotPolicy = DEFAULT
 ) -> DataFrame:
-    """``percentArray`` of prices per key, from a mergeable sketch.
+    """``percentArray`` of prices per key: for each cut the least price that so large a share does not exceed.
 
-    The sketch is built before the shuffle, so one route's share of the rows does
-    not matter.  A value's rank is off by at most rows / ``accuracy``: nothing for
-    routes of a few thousand rows; raise ``accuracy`` for longer ones.
+    Equal prices are counted before the shuffle and ranked by running counts, so
+    the values are exact for a route of any length.  Missing prices do not count;
+    a key without prices has a NULL array.
     """
-    by = ", ".join(f"`{k}`" for k in keys)
-    return df.sparkSession.sql(
-        f"SELECT {by}, percentile_approx(`{price}`, :cuts, :accuracy) AS percentArray FROM {{prices}} GROUP BY {by}",
-        args={"cuts": F.array(*[F.lit(c) for c in cuts]), "accuracy": accuracy},
-        prices=df,
+    counts = materialize(df.groupBy(*keys, price).agg(F.count(F.lit(1)).alias("_n")), "price-counts")
+    priced = counts.filter(F.col(price).isNotNull())
+    below = windows.running_total(priced, keys, [price], "_n", "_below", policy)
+    names = {k: f"_on{i}" for i, k in enumerate(keys)}
+    totals = counts.groupBy(*[F.col(k).alias(n) for k, n in names.items()]).agg(
+        F.sum(F.when(F.col(price).isNotNull(), F.col("_n"))).alias("_total")
     )
+    match = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
+    ranked = totals.join(below, match, "left")
+    reached = F.col("_below") + F.col("_n")
+    values = [F.min(F.when(reached >= F.greatest(F.ceil(F.lit(c) * F.col("_total")), F.lit(1)), F.col(price))) for c in cuts]
+    found = ranked.groupBy(*names.values()).agg(F.max("_total").alias("_total"), F.array(*values).alias("_values"))
+    array = F.when(F.col("_total") > 0, F.col("_values")).alias("percentArray")
+    return found.select(*[F.col(n).alias(k) for k, n in names.items()], array)
 
 
 def label_percentiles(df: DataFrame, labels: list[str] = LABELS) -> DataFrame:
@@ -95,11 +103,11 @@ def label_percentiles(df: DataFrame, labels: list[str] = LABELS) -> DataFrame:
     return df.withColumn("priceRange_basePercentile", pairs).drop("percentArray")
 
 
-def by_percentile(df: DataFrame, route: Column | str, price: str = "price", accuracy: int = 10_000) -> DataFrame:
+def by_percentile(df: DataFrame, route: Column | str, price: str = "price") -> DataFrame:
     """``_id, priceRange_basePercentile`` per route expression."""
     route = F.col(route) if isinstance(route, str) else route
     keyed = df.select(route.alias("_id"), price)
-    return label_percentiles(percentiles(keyed, ["_id"], price, accuracy=accuracy))
+    return label_percentiles(percentiles(keyed, ["_id"], price))
 
 
 def domestic_by_percentile(df: DataFrame, days: int = 50) -> DataFrame:

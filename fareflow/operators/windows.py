@@ -2,7 +2,8 @@
 
 Each function is the usual one-shuffle window for ordinary groups.  Hot groups
 take the segmented way of :mod:`fareflow.operators.hot` and give the same rows.
-``order`` names columns sorted ascending; give enough of them for a total order.
+``order`` names columns sorted ascending; rows equal in them are sorted by their
+other columns.
 ``bound`` is a table at least as long as ``df`` that is cheaper to count.
 """
 
@@ -20,7 +21,7 @@ def _latest_first(keys: list[str], order: list[str]):
 
 
 def _summary_window(keys: list[str]):
-    """Over segment summaries: one row per segment, at most max_segments in all."""
+    """Over segment summaries: one row per segment."""
     return Window.partitionBy(*keys).orderBy(SEGMENT)
 
 
@@ -53,7 +54,7 @@ def future_prices(
     normal = parts.normal
     if normal is not None:
         # All three share one window and so one sort.
-        w = _latest_first(keys, order)
+        w = _latest_first(keys, parts.plain)
         whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         normal = normal.withColumns({"group_count": F.count(price).over(whole), **ahead(w, skip)})
     if parts.hot is None:
@@ -118,7 +119,7 @@ def trailing_mean(
 
     normal = parts.normal
     if normal is not None:
-        normal = normal.withColumn(out, mean(keys, order))
+        normal = normal.withColumn(out, mean(keys, parts.plain))
     if parts.hot is None:
         return normal
 
@@ -168,7 +169,7 @@ def running_total(
 
     normal = parts.normal
     if normal is not None:
-        normal = normal.withColumn(out, total(keys, order))
+        normal = normal.withColumn(out, total(keys, parts.plain))
     if parts.hot is None:
         return normal.drop("_v")
 

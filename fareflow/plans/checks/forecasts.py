@@ -70,8 +70,9 @@ def price_summary_pivot(t):
 
 @query(
     "q_collect_series",
-    """SELECT user_id, 0 AS part, string_agg(CAST(ts AS DATE) || '=' || CAST(trunc(value) AS INT), ',' ORDER BY CAST(ts AS DATE), event_id) AS content
-FROM events GROUP BY user_id""",
+    """SELECT user_id, date_trunc('month', ts)::DATE AS part,
+  string_agg(CAST(ts AS DATE) || '=' || CAST(trunc(value) AS INT), ',' ORDER BY CAST(ts AS DATE), event_id) AS content
+FROM events GROUP BY ALL""",
 )
 def collect_series(t):
     seen = t.events.select("user_id", F.to_date("ts").alias("day"), "event_id", F.col("value").cast("int").alias("v"))

@@ -110,18 +110,20 @@ def trailing_mean_hot_key(t):
 
 @query(
     "q_collect_series_hot_key",
-    f"""WITH {_HOT_SQL} SELECT series, count(*) AS entries, round(sum(price), 2) AS total, min(day) AS first_day, max(day) AS last_day
-FROM history GROUP BY series""",
+    f"""WITH {_HOT_SQL} SELECT series, date_trunc('month', day)::DATE AS part,
+  string_agg(day || '/' || l_orderkey || '/' || l_linenumber || '=' || CAST(round(price * 100) AS BIGINT), ',' ORDER BY {", ".join(_HOT_ORDER)}, price) AS content
+FROM history GROUP BY ALL""",
 )
 def collect_series_hot_key(t):
-    """The parts of every series add up, and no part is larger than a task may hold."""
-    parts = forecast.series(_hot_history(t), ["series"], _HOT_ORDER, "price", _SMALL_TASKS)
-    return parts.groupBy("series").agg(
-        F.sum(F.size("content")).alias("entries"),
-        F.round(F.sum(F.aggregate("content", F.lit(0.0), lambda a, x: a + x["price"])), 2).alias("total"),
-        F.min(F.get("content", F.lit(0))["day"]).alias("first_day"),
-        F.max(F.element_at("content", -1)["day"]).alias("last_day"),
+    """One series holds a third of the rows; its parts are like those of the others."""
+    found = forecast.series(_hot_history(t), ["series"], _HOT_ORDER, "price")
+    text = F.transform(
+        "content",
+        lambda x: F.concat(
+            x["day"].cast("string"), F.lit("/"), x["l_orderkey"], F.lit("/"), x["l_linenumber"], F.lit("="), F.round(x["price"] * 100).cast("long")
+        ),
     )
+    return found.withColumn("content", F.array_join(text, ","))
 
 
 @query(

@@ -9,7 +9,7 @@ from fareflow.operators import encoding, forecast, hot, labels, metrics, windows
 from fareflow.operators.hot import HotPolicy
 
 #: Far below the group sizes used here, so the segmented way is taken.
-TINY = HotPolicy(rows_per_task=20, max_segments=50)
+TINY = HotPolicy(rows_per_task=20)
 SCHEMA = "k string, day int, seq int, price double"
 
 
@@ -114,16 +114,33 @@ def test_labels_do_not_depend_on_the_split(spark, rows, label):
     assert rows(plain) == rows(split) and plain.count() > 100
 
 
-def test_series_of_a_hot_key_comes_in_parts(spark):
+def test_series_have_one_shape_at_every_size(spark):
     data = [(k, d, s, p or 1.0) for k, d, s, p in history(7)]
     df = spark.createDataFrame(data, SCHEMA)
-    found = forecast.series(df, ["k"], ["day", "seq"], "price", TINY).collect()
+    found = forecast.series(df, ["k"], ["day", "seq"], "price", part=F.expr("day div 4")).collect()
     joined = {}
     for r in sorted(found, key=lambda r: r["part"]):
         joined.setdefault(r["k"], []).extend((x["day"], x["seq"], x["price"]) for x in r["content"])
     assert joined == {k: [r[1:] for r in g] for k, g in grouped(data).items()}
-    assert len([r for r in found if r["k"] == "hot"]) > 1
-    assert all(r["part"] == 0 for r in found if r["k"] not in ("hot", None))
+    assert {(r["k"], r["part"]) for r in found} == {(k, d // 4) for k, d, _, _ in data}
+    months = forecast.series(spark.sql("SELECT 1 AS k, explode(sequence(date'2020-01-30', date'2020-02-02')) AS day, 2 AS v"), ["k"], ["day"], "v")
+    assert sorted((str(r["part"]), len(r["content"])) for r in months.collect()) == [("2020-01-01", 2), ("2020-02-01", 2)]
+
+
+def test_every_hot_key_is_split(spark):
+    """However many there are; no segment is much larger than asked for."""
+    data = [(f"k{k}", d % 28, d, float(d)) for k in range(30) for d in range(100)]
+    parts = hot.split(spark.createDataFrame(data, SCHEMA), ["k"], ["day"], HotPolicy(rows_per_task=25))
+    assert parts.normal.count() == 0 and parts.hot.select("k").distinct().count() == 30
+    sizes = [r["count"] for r in parts.hot.groupBy(hot.SEGMENT).count().collect()]
+    assert max(sizes) <= 60 and len(sizes) >= 80
+
+
+def test_ties_fall_alike_at_every_size(spark, rows):
+    data = [("k", 1, s, float(s * 7 % 60)) for s in range(60)]
+    df = spark.createDataFrame(data, SCHEMA)
+    plain = windows.future_prices(df.repartition(5), ["k"], ["day"], "price")
+    assert rows(plain) == rows(windows.future_prices(df, ["k"], ["day"], "price", policy=TINY))
 
 
 def test_auc_and_indexes_do_not_depend_on_the_split(spark, rows):
