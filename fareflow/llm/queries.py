@@ -38,18 +38,17 @@ def _held_out():
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
 
 
-def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+def toxicity_model(documents: DataFrame, labels: DataFrame) -> toxicity.Model:
     """Fitted on a bounded sample of the labelled documents outside the held-out third."""
-    labels = _table(spark, sf_dir, "labels").filter(~_held_out()).select("doc_id", F.col("toxic").alias("label"))
-    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return toxicity.fit(*toxicity.sample(documents.join(labels, "doc_id")))
+    known = labels.filter(~_held_out()).select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))
+    return toxicity.fit(*toxicity.sample(documents.select(F.col("doc_id").alias("id"), "text"), known))
 
 
 @query
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability that a document is toxic."""
     documents = _table(spark, sf_dir, "documents")
-    found = toxicity.score(documents, toxicity_model(spark, sf_dir))
+    found = toxicity.score(documents, toxicity_model(documents, _table(spark, sf_dir, "labels")))
     return found.select(
         "doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted")
     )

@@ -19,25 +19,27 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow.compute as pc
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
 #: Rows of the n-gram table, and numbers in each.
-BUCKETS = 1 << 17
+BUCKET_BITS = 17
+BUCKETS = 1 << BUCKET_BITS
 DIM = 8
 #: Lengths of the n-grams of a word with its borders.
 SHORTEST, LONGEST = 3, 6
 #: Words of a passage.
 WINDOW = 2
 #: The sample a model is fitted on: rows of each class, and characters of a row.
-MAX_ROWS_PER_CLASS = 3_000
-MAX_CHARS = 20_000
+MAX_ROWS_PER_CLASS = 1_500
+MAX_CHARS = 10_000
 #: An n-gram counts from this many texts (times its words in them) on; weight of the squared embeddings in the loss.
 MIN_TEXTS = 6
 DECAY = 6e-5
@@ -45,13 +47,33 @@ DECAY = 6e-5
 _WORD = re.compile(r"\w+")
 
 
-def grams(word: str) -> list[int]:
-    """Buckets of a word's n-grams and of the word itself."""
-    marked = f"<{word}>"
-    found = {marked}
-    for n in range(SHORTEST, LONGEST + 1):
-        found.update(marked[i : i + n] for i in range(len(marked) - n + 1))
-    return [zlib.crc32(g.encode("utf-8", "replace")) % BUCKETS for g in sorted(found)]
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the n-grams of words with their borders, one word behind the other, and how many each word has.
+
+    Words too short for an n-gram have themselves as one.
+    """
+    marked = [f"<{w}>" for w in words]
+    sizes = np.array([len(m) for m in marked], np.int64)
+    chars = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    codes = (chars + np.uint64(1)) * _FACTOR
+    codes ^= codes >> np.uint64(31)
+    begin = np.cumsum(sizes) - sizes
+    left = np.repeat(begin + sizes, sizes) - np.arange(len(codes))  # characters from each to its word's end
+    at, sums = np.arange(len(codes)), np.zeros(len(codes), np.uint64)
+    found = []
+    for n in range(1, LONGEST + 1):
+        inside = left[at] >= n
+        at, sums = at[inside], sums[inside]
+        sums = sums * _FACTOR + codes[at + n - 1]
+        if n >= SHORTEST:
+            found.append((at, (sums ^ (sums >> np.uint64(29))) * _FACTOR >> np.uint64(64 - BUCKET_BITS)))
+    places, buckets = (np.concatenate(x) for x in zip(*found)) if len(codes) else (np.zeros(0, int),) * 2
+    order = np.argsort(places, kind="stable")
+    counts = np.bincount(np.repeat(np.arange(len(words)), sizes)[places], minlength=len(words))
+    return buckets[order].astype(np.int32), counts
 
 
 @dataclass(frozen=True)
@@ -61,12 +83,15 @@ class Model:
     gram_scores: np.ndarray
     bias: float
 
-    def word_score(self, word: str) -> float:
-        """Mean over the n-grams of the words inside, nothing for mere signs."""
-        parts = _WORD.findall(word.lower())
-        if not parts:
-            return np.nan
-        return float(np.mean([self.gram_scores[grams(p)].mean() for p in parts]))
+    def word_scores(self, words: list[str]) -> np.ndarray:
+        """Mean over the n-grams of the words inside each; NaN for mere signs."""
+        parts = [[w] if w.isalnum() else _WORD.findall(w) for w in map(str.lower, words)]
+        flat, counts = grams([p for some in parts for p in some])
+        ends = np.concatenate(([0], np.cumsum(counts)))
+        each = common.sums(self.gram_scores[flat].astype(float), ends) / counts
+        number = np.array([len(p) for p in parts], np.int64)
+        with np.errstate(invalid="ignore"):
+            return common.sums(each, np.concatenate(([0], np.cumsum(number)))) / number
 
     def worst(self, scores: np.ndarray) -> float:
         """Logit of the worst passage of a text, from its words' scores."""
@@ -92,18 +117,16 @@ def train(texts: list[str], labels: list[int], epochs: int = 30, warm_up: int =
     y = np.array(labels, dtype=float)
     prior = float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))) if len(y) else 0.0
     ids: dict[str, int] = {}
-    rows = [[ids.setdefault(w, len(ids)) for w in _WORD.findall((t or "").lower())] for t in texts]
+    rows = [array("i", [ids.setdefault(w, len(ids)) for w in _WORD.findall((t or "").lower())]) for t in texts]
     used = [i for i, r in enumerate(rows) if r]
     if len({labels[i] for i in used}) < 2:
         return Model(np.zeros(BUCKETS, np.float32), prior)
     y = y[used]
-    codes = np.concatenate([np.array(rows[i], np.int32) for i in used])
+    codes = np.concatenate([np.frombuffer(rows[i], np.int32) for i in used])
     lengths = np.array([len(rows[i]) for i in used])
     begins = np.concatenate(([0], np.cumsum(lengths)))[:-1]
-    per_word = [grams(w) for w in ids]
-    gram_count = np.array([len(g) for g in per_word])
+    flat, gram_count = grams([*ids])
     gram_begin = np.concatenate(([0], np.cumsum(gram_count)))[:-1]
-    flat = np.concatenate([np.array(g, np.int32) for g in per_word])
     # An n-gram seen in few texts would only learn those by heart.
     text_of = np.repeat(np.arange(len(used)), lengths)
     pairs = np.unique(text_of * len(ids) + codes)
@@ -156,9 +179,20 @@ def train(texts: list[str], labels: list[int], epochs: int = 30, warm_up: int =
     return Model((state["table"] @ state["vector"]).astype(np.float32), float(state["bias"][0]) + prior / 2)
 
 
-def _logits(texts: list[str], model: Model) -> np.ndarray:
-    memo = common.Memo(model.word_score)
-    return np.array([model.worst(np.array([memo[w] for w in (t or "").lower().split()], float)) for t in texts])
+class _Scores:
+    """Word scores of a model, remembered for a bounded number of words."""
+
+    def __init__(self, model: Model, limit: int = 700_000):
+        self._model, self._limit, self._known = model, limit, {}
+
+    def logits(self, texts: pa.Array) -> np.ndarray:
+        distinct, codes, starts = common.words(texts)
+        if len(self._known) > self._limit:
+            self._known = {}
+        new = [w for w in distinct if w not in self._known]
+        self._known.update(zip(new, self._model.word_scores(new).tolist()))
+        scores = np.fromiter(map(self._known.__getitem__, distinct), float, len(distinct))[codes]
+        return np.array([self._model.worst(scores[a:b]) for a, b in zip(starts, starts[1:])])
 
 
 def fit(texts: list[str], labels: list[int], share: float | None = None) -> Model:
@@ -180,7 +214,7 @@ def fit(texts: list[str], labels: list[int], share: float | None = None) -> Mode
         other = np.flatnonzero(half != h)
         one = train([texts[i] for i in other], [labels[i] for i in other])
         mine = np.flatnonzero(half == h)
-        x[mine] = _logits([texts[i] for i in mine], one)
+        x[mine] = _Scores(one).logits(pa.array([texts[i] for i in mine], pa.string()))
     weights = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean())) / len(y)
     slope, offset = 1.0, 0.0
     for _ in range(50):  # Newton's method; the small ridge keeps it from running off
@@ -195,27 +229,46 @@ def fit(texts: list[str], labels: list[int], share: float | None = None) -> Mode
 
 
 def sample(
-    labelled: DataFrame, max_rows: int = MAX_ROWS_PER_CLASS, max_chars: int = MAX_CHARS
+    documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS_PER_CLASS, max_chars: int = MAX_CHARS
 ) -> tuple[list[str], list[int], float]:
     """At most ``max_rows`` texts of each class, of at most ``max_chars`` characters, and the share of class 1 in all.
 
-    ``labelled`` has ``text, label``.  Rows are chosen by hash.  Labels other
-    than 0 and 1 and NULL texts are left out.
+    ``documents`` has ``id, text`` and ``labels`` has ``id, label``.  Labelled
+    ids are chosen by hash before any text is read, so a class loses the share of
+    its texts that are longer, NULL or not there.  Labels other than 0 and 1 and
+    NULL ids are left out; of rows that repeat an id at most ``max_rows`` in all stay.
     """
-    fitting = labelled.filter(F.col("label").isin(0, 1) & (F.length("text") <= max_chars))
-    order = [F.xxhash64("text"), F.col("text")]
-    parts = [fitting.filter(F.col("label") == c).orderBy(*order).limit(max_rows) for c in (0, 1)]
-    rows = parts[0].unionByName(parts[1]).select("text", "label").collect()
-    share = labelled.filter(F.col("label").isin(0, 1)).agg(F.avg("label")).first()[0]
-    return [r[0] for r in rows], [int(r[1]) for r in rows], float(share or 0.0)
+    known = labels.filter("id is not null and label in (0, 1)").select("id", F.col("label").cast("int").alias("label"))
+    known = known.groupBy("id", "label").count()
+    share = known.agg(F.avg("label")).first()[0]
+    order = [F.xxhash64("id"), F.col("id")]
+    chosen = [known.filter(F.col("label") == c).orderBy(*order).limit(max_rows) for c in (0, 1)]
+    chosen = chosen[0].unionByName(chosen[1]).select("id", "label")
+    # Bounded by the two limits.
+    read = documents.select("id", "text").join(F.broadcast(chosen), "id").filter(F.length("text") <= max_chars)
+    rows = read.orderBy("label", "id", "text").limit(2 * max_rows).collect()
+    return [r["text"] for r in rows], [r["label"] for r in rows], float(share or 0.0)
 
 
 def _score(part, model: Model) -> list:
-    memo = common.kept(("toxicity", model.bias, zlib.crc32(model.gram_scores.tobytes())), lambda: common.Memo(model.word_score))
-    distinct, codes, starts = common.words(pc.utf8_lower(part.column("_text")))
-    scores = np.fromiter(map(memo.__getitem__, distinct), float, len(distinct))[codes]
-    logits = [model.worst(scores[a:b]) for a, b in zip(starts, starts[1:])]
-    return [part.column("_id"), _sigmoid(np.array(logits))]
+    key = ("toxicity", model.bias, zlib.crc32(model.gram_scores.tobytes()))
+    return [part.column("_id"), _sigmoid(common.kept(key, lambda: _Scores(model)).logits(part.column("_text")))]
+
+
+def _flag(part, model: Model, threshold: float) -> list:
+    return [part.column("_row"), _score(part, model)[1] >= threshold]
+
+
+def keep_clean(docs: DataFrame, model: Model, threshold: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score under ``threshold``, with all their columns.
+
+    A NULL or empty text stays unless no evidence at all is already too much.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text_col).cast("string").alias("_text"))
+    row_type = rows.schema["_row"].dataType.simpleString()
+    rows = rows.withColumn("_id", F.lit(None).cast("long"))
+    flagged = common.map_slices(rows, _flag, f"_row {row_type}, toxic boolean", model, threshold)
+    return flagged.filter("not toxic").select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
