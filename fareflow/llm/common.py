@@ -13,7 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 #: Rows turned into Python objects at a time; an Arrow batch holds more.
-SLICE = 256
+SLICE = 1024
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -59,12 +59,13 @@ def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE) -> Iterator[pa.
             yield batch.slice(at, size)
 
 
-def words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Words between ASCII white space: the distinct ones, codes of all, and where each text's codes begin.
+def words(texts: pa.Array, between: str | None = None) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Words between ASCII white space, or one character: the distinct ones, codes of all, where each text's codes begin.
 
     A text may begin or end with an empty word; NULL is an empty text.
     """
-    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    texts = pc.fill_null(texts, "")
+    lists = pc.split_pattern(texts, between) if between else pc.ascii_split_whitespace(texts)
     coded = lists.flatten().dictionary_encode()
     ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False), dtype=np.int64)
     return coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.concatenate(([0], ends))
@@ -76,6 +77,45 @@ def sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return total[starts[1:]] - total[starts[:-1]]
 
 
+class IdPool:
+    """Ids of words, as stretches of one array; it starts anew beyond ``limit`` words."""
+
+    def __init__(self, limit: int):
+        self._limit = limit
+        self._forget()
+
+    def _forget(self) -> None:
+        self._slots: dict[str, int] = {}
+        self._ids = np.zeros(1 << 16, dtype="<u4")
+        self._from = np.zeros(1 << 14, dtype=np.int64)  # by slot; a slot ends where the next one begins
+        self._used = 0
+
+    def unknown(self, words: list[str]) -> list[str]:
+        """Those that have to be added before :meth:`ids_of`."""
+        if len(self._slots) > self._limit:
+            self._forget()
+        return [w for w in words if w not in self._slots]
+
+    def add(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        """New words, whose ids lie in ``ids`` one behind the other and end at ``ends``."""
+        first, used = len(self._slots), self._used
+        while used + len(ids) > len(self._ids):
+            self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
+        while first + len(words) + 1 > len(self._from):
+            self._from = np.concatenate([self._from, np.zeros_like(self._from)])
+        self._ids[used : used + len(ids)] = ids
+        self._from[first + 1 : first + 1 + len(words)] = used + ends
+        self._slots.update(zip(words, range(first, first + len(words))))
+        self._used = used + len(ids)
+
+    def ids_of(self, distinct: list[str], codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts given by :func:`words`, in one array, and where each text's ids begin."""
+        slots = np.fromiter(map(self._slots.__getitem__, distinct), np.int64, len(distinct))[codes]
+        begin, length = self._from[slots], self._from[slots + 1] - self._from[slots]
+        ends = np.concatenate(([0], np.cumsum(length)))
+        return self._ids[np.repeat(begin - ends[:-1], length) + np.arange(ends[-1])], ends[starts]
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 

@@ -10,7 +10,6 @@ its last, partial window is cut at powers of two.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -38,40 +37,26 @@ class WordEncoder:
     """Ids of whole texts, word by word, equal to encoding the text at once.
 
     The tokenizer drops white space and never joins across it, so each distinct
-    word is encoded once; ``mark`` is a special token set as a border between
-    words that are encoded together.  A text that may spell a special token is
+    word is encoded once.  Words of letters are encoded together and told apart
+    by the tokens that end a word.  A text that may spell a special token is
     encoded whole.
     """
 
-    def __init__(self, path: str, mark: str = "<|startoftext|>", word_end: str = "</w>", limit: int = 1_000_000):
+    def __init__(self, path: str, word_end: str = "</w>", limit: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._mark, self._mark_id = mark, self._tokenizer.token_to_id(mark)
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
-        self._special = re.compile("|".join(re.escape(t.content) for t in self._tokenizer.get_added_tokens_decoder().values()) or "$^")
         self._final = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self._final[[i for token, i in vocabulary.items() if token.endswith(word_end)]] = True
-        self._limit = limit
-        self._forget()
-
-    def _forget(self) -> None:
-        self._slots: dict[str, int] = {"": 0}
-        self._pool = np.zeros(1 << 16, dtype="<u4")
-        self._from = np.zeros(1 << 14, dtype=np.int64)  # by slot; slot n ends where slot n + 1 begins
-        self._used = 0
+        self._pool = common.IdPool(limit)
 
     def encode_all(self, texts: pa.Array) -> list[np.ndarray]:
         # Case differs for nothing but the words remembered: the tokenizer lowers them anyway.
         distinct, codes, starts = common.words(pc.ascii_lower(texts))
-        if len(self._slots) > self._limit:
-            self._forget()
-        self._learn([w for w in distinct if w not in self._slots])
-        slots = np.fromiter(map(self._slots.__getitem__, distinct), np.int64, len(distinct))[codes]
-        begin, length = self._from[slots], self._from[slots + 1] - self._from[slots]
-        ends = np.concatenate(([0], np.cumsum(length)))
-        ids = self._pool[np.repeat(begin - ends[:-1], length) + np.arange(ends[-1])]
-        found = np.split(ids, ends[starts[1:-1]])
+        self._learn(self._pool.unknown(distinct))
+        ids, begins = self._pool.ids_of(distinct, codes, starts)
+        found = np.split(ids, begins[1:-1])
         for row in np.flatnonzero(pc.fill_null(pc.match_substring(texts, "<|"), False).to_numpy(zero_copy_only=False)):
             found[row] = self._ids(texts[int(row)].as_py())
         return found
@@ -79,7 +64,7 @@ class WordEncoder:
     def _learn(self, new: list[str]) -> None:
         """Encode words not seen before, many at a time."""
         letters = [w for w in new if w.isalpha() and "İ" not in w]
-        ends = [w for w in new if w[-1] in ".," and w[:-1].isalpha() and "İ" not in w]
+        ends = [w for w in new if w[-1:] and w[-1] in ".," and w[:-1].isalpha() and "İ" not in w]
         mixed = list(set(new).difference(letters, ends))
         for at in range(0, len(letters), 4096):
             some = letters[at : at + 4096]
@@ -91,26 +76,18 @@ class WordEncoder:
             self._keep(some, ids, np.flatnonzero(self._final[ids])[1::2] + 1)
         for word in mixed:
             ids = self._ids(word)
-            self._keep([word], ids, np.array([len(ids)]))
+            self._pool.add([word], ids, np.array([len(ids)]))
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     def _keep(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
-        if len(ends) != len(words):
-            for word in words:
-                ids = self._ids(word)
-                self._keep([word], ids, np.array([len(ids)]))
+        if len(ends) == len(words):
+            self._pool.add(words, ids, ends)
             return
-        first, used = len(self._slots), self._used
-        while used + len(ids) > len(self._pool):
-            self._pool = np.concatenate([self._pool, np.zeros_like(self._pool)])
-        while first + len(words) + 1 > len(self._from):
-            self._from = np.concatenate([self._from, np.zeros_like(self._from)])
-        self._pool[used : used + len(ids)] = ids
-        self._from[first + 1 : first + 1 + len(words)] = used + ends
-        self._slots.update(zip(words, range(first, first + len(words))))
-        self._used = used + len(ids)
+        for word in words:
+            ids = self._ids(word)
+            self._pool.add([word], ids, np.array([len(ids)]))
 
 
 class Packer:
