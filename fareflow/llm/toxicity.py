@@ -103,6 +103,10 @@ class Model:
         return self.bias + float((total[size:] - total[:-size]).max()) / size
 
 
+def _logit(p: float) -> float:
+    return float(np.log(p / (1 - p)))
+
+
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
@@ -201,14 +205,14 @@ def fit(texts: list[str], labels: list[int], share: float | None = None) -> Mode
     Two models, each trained on one half, score the other half; a logistic curve
     through these scores gives slope and offset.  ``share`` is the share of class
     1 among the rows the sample stands for.  With under ten rows of a class in a
-    half there is no curve, only the share.
+    half nothing can be learnt safely: every text gets the share.
     """
-    model = train(texts, labels)
     y = np.array(labels, dtype=float)
     share = float(y.mean()) if share is None and len(y) else share or 0.0
     half = np.array([zlib.crc32(f"{i}".encode()) % 2 for i in range(len(y))]) if len(y) else np.zeros(0)
     if any(min((y[half == h] == 1).sum(), (y[half == h] == 0).sum()) < 10 for h in (0, 1)):
-        return model
+        return train([], []) if not len(y) else Model(np.zeros(BUCKETS, np.float32), _logit((share * len(y) + 0.5) / (len(y) + 1)))
+    model = train(texts, labels)
     x = np.zeros(len(y))
     for h in (0, 1):
         other = np.flatnonzero(half != h)
