@@ -30,6 +30,12 @@ def look_back(df: DataFrame, days: int, depart: str = "departDate", query: str =
     return df.filter((ahead >= 0) & (ahead < days))
 
 
+def clean_history(stored: DataFrame, optional: tuple[str, ...] = ("seatLeft",)) -> DataFrame:
+    """Stored history without placeholder prices and without incomplete rows; ``optional`` columns may be missing."""
+    needed = [c for c in stored.columns if c not in optional]
+    return stored.dropna(subset=needed).filter(fares.sane_price("price", MAX_PRICE))
+
+
 def domestic_history(raw: DataFrame, run_date: date, under_days: int = 100, max_lead: int = 30) -> DataFrame:
     """Departed itineraries from raw low prices: sane, fresh, keyed, dated."""
     clean = fresh(raw.dropna().filter(fares.sane_price("price", MAX_PRICE)), run_date, under_days=under_days)

@@ -41,7 +41,10 @@ def _enriched(df: DataFrame, dims: Dimensions, run_date: date) -> DataFrame:
 def training_rows(
     low_prices: DataFrame, dims: Dimensions, run: RunContext, min_group: int = 15, policy: HotPolicy = DEFAULT
 ) -> DataFrame:
-    """Labelled, enriched history of departed itineraries."""
+    """Labelled, enriched history of departed itineraries.
+
+    Prices seen on one day follow each other by their other columns.
+    """
     history = features.domestic_history(low_prices, run.run_date)
     labelled = labels.trend(
         history,
@@ -60,8 +63,8 @@ def online_rows(low_prices: DataFrame, dims: Dimensions, run: RunContext) -> Dat
 
 
 def daily_history(yesterday: DataFrame, today: DataFrame) -> DataFrame:
-    """Yesterday's training history plus today's newly departed itineraries."""
-    return lifecycle.append(yesterday, today, SAMPLE_KEY)
+    """Yesterday's cleaned training history plus today's newly departed itineraries."""
+    return lifecycle.append(features.clean_history(yesterday), today, SAMPLE_KEY)
 
 
 def feature_table(rows: DataFrame, holidays: DataFrame, policy: HotPolicy = DEFAULT) -> DataFrame:
@@ -77,11 +80,31 @@ def feature_table(rows: DataFrame, holidays: DataFrame, policy: HotPolicy = DEFA
     return encoding.attach_index(built, index, INDEXED, name=indexed_name).select(*MODEL_COLUMNS)
 
 
+def _tables(
+    history: DataFrame, online_prices: DataFrame, dims: Dimensions, ctx: RunContext
+) -> tuple[DataFrame, DataFrame]:
+    everything = history.unionByName(online_rows(online_prices, dims, ctx), allowMissingColumns=True)
+    return features.split(feature_table(everything, dims.holidays), ctx.run_date)
+
+
 def run(
     yesterday: DataFrame, low_prices: DataFrame, online_prices: DataFrame, dims: Dimensions, ctx: RunContext
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(new history, training features, online features) of one day."""
     history = daily_history(yesterday, training_rows(low_prices, dims, ctx))
-    everything = history.unionByName(online_rows(online_prices, dims, ctx), allowMissingColumns=True)
-    train, online = features.split(feature_table(everything, dims.holidays), ctx.run_date)
-    return history, train, online
+    return history, *_tables(history, online_prices, dims, ctx)
+
+
+def run_stored(
+    path: str, low_prices: DataFrame, online_prices: DataFrame, dims: Dimensions, ctx: RunContext
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """:func:`run` on a stored history, partitioned by departure date.
+
+    Only the departure dates that today's rows bring are read and replaced; a
+    second run of a day changes nothing.
+    """
+    today = materialize(training_rows(low_prices, dims, ctx), "today")
+    lifecycle.append_stored(path, today, SAMPLE_KEY, "departDate")
+    stored = today.sparkSession.read.schema(today.schema).parquet(path).select(*today.columns)
+    history = features.clean_history(stored)
+    return history, *_tables(history, online_prices, dims, ctx)

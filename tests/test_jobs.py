@@ -4,7 +4,9 @@ from datetime import date, datetime, timedelta
 
 import pytest
 
-from fareflow import schemas
+from pyspark.sql import functions as F
+
+from fareflow import schemas, sinks
 from fareflow.context import RunContext
 from fareflow.plans import domestic, international
 
@@ -48,6 +50,27 @@ def test_daily_domestic_run(spark, world):
     assert train.filter("queryDate = date'2019-02-12'").first()["query_dayofvacation_extend"] == 1001
 
 
+def test_two_days_on_a_stored_history(spark, world, rows, tmp_path):
+    low, online, dims = world
+    path = str(tmp_path / "history")
+    first = domestic.training_rows(low, dims, RUN)
+    dirty = first.limit(1).withColumn("price", F.lit(100_000)).withColumn("departDate", F.lit(date(2019, 1, 5)))
+    sinks.write_parquet(dirty.select(*first.columns), path, partition_by=["departDate"])
+    later = RunContext.of("2019-03-02")
+    domestic.run_stored(path, low, online, dims, RUN)
+    history, train, _ = domestic.run_stored(path, low, online, dims, later)
+    expected, known, _ = domestic.run(first, low, online, dims, later)
+    assert rows(history, *first.columns) == rows(expected, *first.columns) and history.count() == 18
+    assert rows(train) == rows(known)
+
+
+def test_labels_of_equal_days_do_not_depend_on_the_input_order(spark, world, rows):
+    low, _, dims = world
+    doubled = low.unionByName(low.withColumn("price", F.col("price") + 1))
+    one = domestic.training_rows(doubled.repartition(7), dims, RUN)
+    assert rows(one) == rows(domestic.training_rows(doubled.coalesce(1), dims, RUN)) and one.count() > 30
+
+
 def test_international_forecast(spark):
     data = []
     for offset in range(0, 60):
