@@ -133,6 +133,15 @@ def sample_exactly(df: DataFrame, n: int, seed: int) -> DataFrame:
     return df.orderBy(F.rand(seed)).limit(n)
 
 
+def hash_sample(df: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """The ``n`` rows whose keys have the least MD5: the same rows on every run and for every layout of the input.
+
+    Every task keeps its own ``n`` first, then they are merged; ``n`` is what one task can hold.
+    """
+    text = F.concat_ws("_", *[F.col(k).cast("string") for k in keys])
+    return df.orderBy(F.md5(text.cast("binary")), *keys).limit(n)
+
+
 def shuffle(df: DataFrame, seed: int, files: int | None = None) -> DataFrame:
     """Rows in random order, range-partitioned on the random number.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ... import sinks
-from ...context import work_dir
+from ...context import materialize, work_dir
 from ...functions import fares
 from ...operators import encoding, features
 from .registry import Tables, query
@@ -116,6 +116,30 @@ def sample_exact(t):
     return features.sample_exactly(t.lineitem.select(*_LINE), 10_000, seed=7)
 
 
+@query("q_sample_bounds", "SELECT true AS about_as_many, true AS no_row_twice, true AS all_known")
+def sample_bounds(t):
+    """What holds for any sample of about 5,000 rows of a longer table."""
+    lines = t.lineitem.select(*_LINE)
+    drawn = materialize(features.sample_to(lines, 5_000, seed=7), "sample")
+    target = F.least(F.lit(5_000), F.lit(lines.count()))
+    found = drawn.join(lines.distinct().withColumn("_known", F.lit(1)), _LINE, "left")
+    counted = found.agg(F.count("*").alias("n"), F.count_distinct(*_LINE).alias("different"), F.count("_known").alias("known"))
+    return counted.select(
+        (F.abs(F.col("n") - target) <= 400).alias("about_as_many"),
+        (F.col("n") == F.col("different")).alias("no_row_twice"),
+        (F.col("known") == F.col("n")).alias("all_known"),
+    )
+
+
+@query(
+    "q_hash_sample",
+    f"""SELECT {_LINE_SQL} FROM lineitem
+ORDER BY md5(l_orderkey || '_' || l_partkey || '_' || l_linenumber), {_LINE_SQL} LIMIT 2000""",
+)
+def hash_sample(t):
+    return features.hash_sample(t.lineitem.select(*_LINE), _LINE, 2_000)
+
+
 @query("q_shuffle", f"SELECT {_LINE_SQL}, l_extendedprice FROM lineitem")
 def shuffle(t):
     return features.shuffle(t.lineitem.select(*_LINE, "l_extendedprice"), seed=7)

@@ -289,6 +289,13 @@ def to_json(t):
     return t.supplier.select("s_suppkey", F.to_json(doc).alias("doc"))
 
 
+@query("q_hash_bucket_rules", "SELECT p_name, 1::BIGINT AS buckets, true AS in_range FROM part GROUP BY p_name")
+def hash_bucket_rules(t):
+    """A name has one bucket, and it is in range."""
+    bucket = fares.hash_bucket("p_name")
+    return t.part.groupBy("p_name").agg(F.count_distinct(bucket).alias("buckets"), F.bool_and(bucket.between(0, 59)).alias("in_range"))
+
+
 @query("q_hash_bucket")
 def hash_bucket(t):
     return t.part.select("p_partkey", fares.hash_bucket("p_name").alias("nameHashBucket"))
