@@ -119,10 +119,10 @@ def sample_exact(t):
 @query("q_sample_bounds", "SELECT true AS about_as_many, true AS no_row_twice, true AS all_known")
 def sample_bounds(t):
     """What holds for any sample of about 5,000 rows of a longer table."""
-    lines = t.lineitem.select(*_LINE)
+    lines = t.lineitem.select(*_LINE).distinct()
     drawn = materialize(features.sample_to(lines, 5_000, seed=7), "sample")
     target = F.least(F.lit(5_000), F.lit(lines.count()))
-    found = drawn.join(lines.distinct().withColumn("_known", F.lit(1)), _LINE, "left")
+    found = drawn.join(lines.withColumn("_known", F.lit(1)), _LINE, "left")
     counted = found.agg(F.count("*").alias("n"), F.count_distinct(*_LINE).alias("different"), F.count("_known").alias("known"))
     return counted.select(
         (F.abs(F.col("n") - target) <= 400).alias("about_as_many"),
