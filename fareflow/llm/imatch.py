@@ -27,6 +27,8 @@ BAND = (0.0002, 0.05)
 SUBSETS = ((3, 8), (6, 24), (8, 32), (10, 32))
 #: What an empty subset shows in a fingerprint.
 EMPTY = "-"
+#: Where rows without id stand in the order: before all others.
+LEAST = -(1 << 63)
 #: Fixed value: words are what stands between these.
 SPACE = r"[ \t\n\x0B\f\r]+"
 
@@ -107,13 +109,13 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def _neighbours(keys: DataFrame) -> DataFrame:
-    """``doc_id, version`` of every document with its next one's, and with the one before and its length, in a ring.
+    """``doc_key, version`` of every document with its next one's, and with the one before and its length, in a ring.
 
     Order is by id, then by hash of the text.  Only keys move here: each sorted
     range is linked inside, and one row per range links the ranges.
     """
-    ranged = materialize(keys.repartitionByRange("doc_id", "version").withColumn("range", F.spark_partition_id()), "ring")
-    own = F.struct("doc_id", "version", "n")
+    ranged = materialize(keys.repartitionByRange("doc_key", "version").withColumn("range", F.spark_partition_id()), "ring")
+    own = F.struct("doc_key", "version", "n")
     ends = ranged.groupBy("range").agg(F.min(own).alias("first"), F.max(own).alias("last"))
     ring, all_ranges = Window.orderBy("range"), Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ends = ends.select(
@@ -121,17 +123,21 @@ def _neighbours(keys: DataFrame) -> DataFrame:
         F.coalesce(F.lead("first").over(ring), F.first("first").over(all_ranges)).alias("after"),
         F.coalesce(F.lag("last").over(ring), F.last("last").over(all_ranges)).alias("before"),
     )
-    inside = Window.partitionBy("range").orderBy("doc_id", "version")
+    inside = Window.partitionBy("range").orderBy("doc_key", "version")
     linked = ranged.select("*", F.lead(own).over(inside).alias("up"), F.lag(own).over(inside).alias("down"))
-    return linked.join(sized(ends), "range").select(
-        "doc_id", "version", F.coalesce("up", "after").alias("next"), F.coalesce("down", "before").alias("previous")
+    linked = linked.join(sized(ends), "range")
+    after, before = F.coalesce("up", "after"), F.coalesce("down", "before")
+    return linked.select(
+        "doc_key",
+        "version",
+        after["doc_key"].alias("next_key"),
+        after["version"].alias("next_version"),
+        before["doc_key"].alias("last_key"),
+        before["version"].alias("last_version"),
+        before["n"].alias("last_n"),
     )
 
 
-def _same(a: DataFrame, b: DataFrame, prefix: str) -> Column:
-    return a["doc_id"].eqNullSafe(b[f"{prefix}_id"]) & (a["version"] == b[f"{prefix}_version"])
-
-
 def compare_with_edited(
     docs: DataFrame, band: tuple[float, float] = BAND, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -142,39 +148,43 @@ def compare_with_edited(
     follows the last.  NULL is an empty text; a text without words has the hash
     of no terms.  Rows equal in id and text are one document and give a result
     each; rows that share an id follow each other by hash of their texts; NULL
-    ids come first.  A single document follows itself; an empty table gives none.
+    ids come first, as if they were the smallest of all numbers, which stands for them.  A single document follows itself; an empty table gives none.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("version"))
+    own_key = F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)).alias("doc_key")
+    rows = docs.select(own_key, text.alias("text"), F.xxhash64(text).alias("version"))
     # The corpus: what every document holds.
-    lexicon_map = lexicon(rows.select(terms(F.col("text")).alias("terms")), rows.count(), band)
-    ring = materialize(_neighbours(rows.select("doc_id", "version", F.char_length("text").alias("n")).distinct()), "ring")
-    links = ring.select(F.col("doc_id").alias("own_id"), F.col("version").alias("own_version"), "next", "previous")
-    copy = Window.partitionBy("doc_id", "version").orderBy(F.lit(1))
-    numbered = rows.withColumn("copy", F.row_number().over(copy))
-    placed = numbered.join(links, _same(numbered, links, "own"))
-    heads = placed.filter("copy = 1").select(
-        F.col("previous.doc_id").alias("for_id"),
-        F.col("previous.version").alias("for_version"),
-        F.expr("substring(text, 1, cast(previous.n div 2 as int))").alias("head"),
+    documents = rows.count()
+    lexicon_map = lexicon(rows.select(terms(F.col("text")).alias("terms")), documents, band)
+    keys = rows.select("doc_key", "version", F.char_length("text").alias("n")).distinct()
+    ring = materialize(_neighbours(keys), "ring")
+    repeats = ring.count() < documents
+    on = ["doc_key", "version"]
+    # Texts move once: both sides of the second join read the same columns, so Spark uses one exchange for both.
+    placed = rows.join(ring, on)
+    heads = placed.select(
+        F.col("last_key").alias("doc_key"),
+        F.col("last_version").alias("version"),
+        F.expr("substring(text, 1, cast(last_n div 2 as int))").alias("head"),
     )
-    whole = placed.join(heads, _same(placed, heads, "for"))
+    if repeats:
+        heads = heads.groupBy(*on).agg(F.min("head").alias("head"))
     edited = F.expr("concat(substring(text, 1, char_length(text) - cast(char_length(text) div 2 as int)), head)")
-    made = whole.select("doc_id", "version", "copy", "next", "text", edited.alias("edited"))
+    made = placed.join(heads, on).select(*on, "next_key", "next_version", "text", edited.alias("edited"))
     made = fingerprint(fingerprint(made, "text", lexicon_map, "print"), "edited", lexicon_map, "edited_print")
     made = materialize(
         made.select(
-            "doc_id", "version", "copy", "next", F.char_length("text").cast("long").alias("n_chars"),
+            *on, "next_key", "next_version", F.char_length("text").cast("long").alias("n_chars"),
             F.sha2("edited", 256).alias("edited_sha256"), "print", "edited_print",
         ),
         "fingerprints",
     )
-    after = made.filter("copy = 1").select(
-        F.col("doc_id").alias("next_id"), F.col("version").alias("next_version"), F.col("print").alias("next_print")
-    )
-    met = made.join(after, made["next.doc_id"].eqNullSafe(after["next_id"]) & (made["next.version"] == after["next_version"]))
+    after = made.select(F.col("doc_key").alias("next_key"), F.col("version").alias("next_version"), F.col("print").alias("next_print"))
+    if repeats:
+        after = after.dropDuplicates(["next_key", "next_version"])
+    met = made.join(after, ["next_key", "next_version"])
     return met.select(
-        "doc_id",
+        F.nullif("doc_key", F.lit(LEAST)).alias("doc_id"),
         "n_chars",
         "edited_sha256",
         written(F.col("print")).alias("fingerprint"),
