@@ -39,14 +39,22 @@ _KEPT: dict = {}
 
 
 def kept(key: tuple, make: Callable):
-    """One object per Python worker process and key, such as a loaded vocabulary."""
+    """The object of this key in this Python worker, such as a loaded vocabulary.
+
+    Workers live on from job to job, so they keep the last one only.
+    """
     if key not in _KEPT:
+        _KEPT.clear()
         _KEPT[key] = make()
     return _KEPT[key]
 
 
-def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver found it."""
+def ship(spark: SparkSession, batch_rows: int = SLICE) -> None:
+    """Let Python workers import this package from where the driver found it, and bound the rows of an Arrow batch.
+
+    Batches wait on both sides of a worker; texts are long, so they hold few.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _ROOT not in paths:
@@ -121,7 +129,9 @@ def arrow_schema(ddl: str) -> pa.Schema:
 
 
 def arrow_batch(columns: list, schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+    """Columns as a batch; those that are Arrow arrays already are passed on as they are."""
+    made = [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
+    return pa.RecordBatch.from_arrays(made, schema=schema)
 
 
 def map_slices(df: DataFrame, work: Callable, ddl: str, *args) -> DataFrame:

@@ -198,7 +198,7 @@ def nearest(
     candidate, with the better score.  A query that finds fewer than ``k`` has
     fewer rows, one that finds none has none; so has an empty table.
     """
-    common.ship(vectors.sparkSession)
+    common.ship(vectors.sparkSession, 16384)
     rows = usable(vectors, id_col, vector_col)
     blocks = _packed(rows, index, False)
     asked = _packed(rows.filter(is_query), index, True).select(

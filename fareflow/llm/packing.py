@@ -233,7 +233,7 @@ def pack(
     empty table gives no rows.  A task holds ``windows`` open windows, a merge
     task those of ``FAN_IN`` partitions; sequence ids are unique, not gapless.
     """
-    common.ship(docs.sparkSession)
+    common.ship(docs.sparkSession, 2048)
     schema = common.arrow_schema(PIECES)
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
     made = materialize(rows.mapInArrow(_first_pass(tokenizer, end_id, capacity, windows, schema), PIECES), "pack")

@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,12 +87,15 @@ class Model:
     def word_scores(self, words: list[str]) -> np.ndarray:
         """Mean over the n-grams of the words inside each; NaN for mere signs."""
         parts = [[w] if w.isalnum() else _WORD.findall(w) for w in map(str.lower, words)]
-        flat, counts = grams([p for some in parts for p in some])
-        ends = np.concatenate(([0], np.cumsum(counts)))
-        each = common.sums(self.gram_scores[flat].astype(float), ends) / counts
         number = np.array([len(p) for p in parts], np.int64)
-        with np.errstate(invalid="ignore"):
-            return common.sums(each, np.concatenate(([0], np.cumsum(number)))) / number
+        found = np.full(len(words), np.nan)
+        if number.any():
+            # Summed stretch by stretch: a word's score must not depend on the words beside it.
+            flat, counts = grams([p for some in parts for p in some])
+            each = np.add.reduceat(self.gram_scores[flat].astype(float), np.cumsum(counts) - counts) / counts
+            real = number > 0
+            found[real] = np.add.reduceat(each, (np.cumsum(number) - number)[real]) / number[real]
+        return found
 
     def worst(self, scores: np.ndarray) -> float:
         """Logit of the worst passage of a text, from its words' scores."""
@@ -255,12 +259,17 @@ def sample(
 
 
 def _score(part, model: Model) -> list:
+    return [part.column("_id"), _sigmoid(_scores_of(model).logits(part.column("_text")))]
+
+
+def _scores_of(model: Model) -> _Scores:
     key = ("toxicity", model.bias, zlib.crc32(model.gram_scores.tobytes()))
-    return [part.column("_id"), _sigmoid(common.kept(key, lambda: _Scores(model)).logits(part.column("_text")))]
+    return common.kept(key, lambda: _Scores(model))
 
 
-def _flag(part, model: Model, threshold: float) -> list:
-    return [part.column("_row"), _score(part, model)[1] >= threshold]
+def _flag(part, model: Model, threshold: float, text_col: str) -> list:
+    texts = pc.struct_field(part.column("_row"), text_col)
+    return [part.column("_row"), _sigmoid(_scores_of(model).logits(texts)) >= threshold]
 
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float, text_col: str = "text") -> DataFrame:
@@ -268,10 +277,9 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float, text_col: str =
 
     A NULL or empty text stays unless no evidence at all is already too much.
     """
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text_col).cast("string").alias("_text"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     row_type = rows.schema["_row"].dataType.simpleString()
-    rows = rows.withColumn("_id", F.lit(None).cast("long"))
-    flagged = common.map_slices(rows, _flag, f"_row {row_type}, toxic boolean", model, threshold)
+    flagged = common.map_slices(rows, _flag, f"_row {row_type}, toxic boolean", model, threshold, text_col)
     return flagged.filter("not toxic").select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
 
 
