@@ -137,16 +137,24 @@ class _Best:
         rough = (queries / query_lengths[:, None]) @ (vectors / lengths[:, None]).T
         rough[query_ids[:, None] == ids[None, :]] = -np.inf
         k = self._k
+        # Rows of one id lie side by side, and the best of them counts.
+        by_id = np.argsort(ids, kind="stable")
+        begin = np.flatnonzero(np.diff(ids[by_id], prepend=ids[by_id[:1]] - 1))
+        repeated = len(begin) < len(ids)
         for row, query in enumerate(query_ids.tolist()):
             scores = rough[row]
-            least = np.partition(scores, -k)[-k] if len(scores) > k else -np.inf
+            most = np.maximum.reduceat(scores[by_id], begin) if repeated else scores
+            least = np.partition(most, -k)[-k] if len(most) > k else -np.inf
             close = np.flatnonzero((scores >= least - CLOSE) & np.isfinite(scores))
             # The exact measure, summed in one way wherever a pair meets.
             exact = (vectors[close] * queries[row]).sum(axis=1) / (lengths[close] * query_lengths[row])
-            order = np.lexsort((ids[close], -exact))[: 2 * k]
+            order = np.lexsort((ids[close], -exact))
+            if repeated:
+                order = order[np.sort(np.unique(ids[close][order], return_index=True)[1])]
             best = self._found.setdefault(query, {})
-            for at in order.tolist():
-                best[int(ids[close[at]])] = float(exact[at])
+            for at in order[:k].tolist():
+                key, score = int(ids[close[at]]), float(exact[at])
+                best[key] = max(score, best.get(key, score))
             if len(best) > 4 * k:
                 self._found[query] = dict(self._top(best))
 

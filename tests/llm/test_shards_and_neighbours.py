@@ -107,3 +107,23 @@ def test_visits_come_in_order_and_once():
     index = neighbours.Index(functions=3, success=0.9)
     visits = index.visits(np.array([0.1, 2.5, -1.9]))
     assert visits[0] == (0, 2, -2) and len(set(visits)) == len(visits)
+
+
+@pytest.mark.parametrize("equal", [True, False])
+def test_an_id_with_many_rows_is_one_candidate(spark, equal):
+    """Id 50 has 40 rows nearer to the query than any other; the others rank behind its best one."""
+    random = np.random.default_rng(6)
+    query = random.normal(size=8)
+    rows = [(0, query.tolist())]
+    rows += [(50, (query + (0.01 if equal else 0.002 * (i + 1)) * np.eye(8)[0]).tolist()) for i in range(40)]
+    rows += [(i, (query + 0.3 * random.normal(size=8)).tolist()) for i in range(1, 9)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    scores = {}
+    for i, v in rows[1:]:
+        score = np.dot(query, v) / np.linalg.norm(query) / np.linalg.norm(v)
+        scores[i] = max(score, scores.get(i, -1.0))
+    best = sorted(scores, key=lambda i: -scores[i])[:5]
+    for index in (neighbours.Index(success=0.9999), neighbours.Index(tables=1, functions=1, width=1e6)):
+        found = neighbours.nearest(vectors, F.col("_id") == 0, index=index).orderBy("rank").collect()
+        assert [r.vec_id for r in found] == best
+        assert [r.score for r in found] == pytest.approx([scores[i] for i in best], abs=1e-12)
