@@ -33,21 +33,23 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each SimHash component stays.
+    """One row of each SimHash component stays: of its smallest id the text with the smallest hash.
 
-    Rows that share an id are one document: it goes if any of them is not the
-    first of its component, else one row stays.  Rows without id stay.
+    Rows that share an id are judged each by its own text.  Rows without id stay.
     """
-    found = materialize(simhash.near_duplicates(docs, shingle_words=3, max_bits=2), "near-duplicates")
-    gone = materialize(found.filter("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    left = docs.join(sized(gone), "doc_id", "left_anti").select(*docs.columns)
-    twice = found.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select("doc_id")
+    key = ["doc_id", "_version"]
+    found = simhash.near_duplicates(docs, shingle_words=3, max_bits=2, versions=True).withColumnRenamed("version", "_version")
+    found = materialize(found.filter("doc_id is not null"), "near-duplicates")
+    gone = found.filter("doc_id <> component_id or _version <> first_version").select(*key).distinct()
+    gone = materialize(gone, "gone")
+    left = docs.withColumn("_version", F.xxhash64("text")).join(sized(gone), key, "left_anti")
+    twice = found.filter("doc_id = component_id and _version = first_version").groupBy(*key).count().filter("count > 1").select(*key)
     twice = materialize(twice, "twice")
     if twice.isEmpty():
-        return left
-    once = left.join(sized(twice), "doc_id", "left_anti").select(*docs.columns)
-    again = left.join(sized(twice), "doc_id", "left_semi").select(*docs.columns)
-    return once.unionByName(again.dropDuplicates(["doc_id"]))
+        return left.select(*docs.columns)
+    once = left.join(sized(twice), key, "left_anti").select(*docs.columns)
+    again = left.join(sized(twice), key, "left_semi").dropDuplicates(key)
+    return once.unionByName(again.select(*docs.columns))
 
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,11 +51,20 @@ def _fingerprints(part, shingle_words: int) -> list:
     return [part.column("_id"), [fingerprint(t, shingle_words) for t in part.column("_text").to_pylist()]]
 
 
+def _versions(part, shingle_words: int) -> list:
+    return [*_fingerprints(part, shingle_words), part.column("_version")]
+
+
 def fingerprints(
-    docs: DataFrame, shingle_words: int = 3, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, shingle_words: int = 3, id_col: str = "doc_id", text_col: str = "text", versions: bool = False
 ) -> DataFrame:
-    """``doc_id, bits`` (a signed 64-bit integer) of every row."""
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("binary").alias("_text"))
+    """``doc_id, bits`` (a signed 64-bit integer) of every row, and ``version``, the xxhash64 of its text, if asked for."""
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("binary").alias("_text"), F.xxhash64(text_col).alias("_version")
+    )
+    if versions:
+        return common.map_slices(rows, _versions, "doc_id long, bits long, version long", shingle_words)
+    rows = rows.drop("_version")
     return common.map_slices(rows, _fingerprints, "doc_id long, bits long", shingle_words)
 
 
@@ -119,6 +128,7 @@ def near_duplicates(
     shared: int = SHARED,
     id_col: str = "doc_id",
     text_col: str = "text",
+    versions: bool = False,
 ) -> DataFrame:
     """``doc_id, bits, component_id`` of every row.
 
@@ -128,13 +138,20 @@ def near_duplicates(
     fingerprint 0 and are linked like any other; a NULL id is never the
     smallest, and a component of NULL ids alone has none.  Repeated rows give
     repeated results; an empty table gives none.
+
+    With ``versions``, ``version`` is the xxhash64 of the text and ``first_version``
+    the smallest one that ``component_id`` has in the component: rows may share an id.
     """
-    rows = materialize(fingerprints(docs, shingle_words, id_col, text_col), "fingerprints")
-    nodes = materialize(rows.groupBy("bits").agg(F.min("doc_id").alias("low")), "nodes")
+    rows = materialize(fingerprints(docs, shingle_words, id_col, text_col, versions), "fingerprints")
+    smallest = F.min(F.expr("if(doc_id is null, null, struct(doc_id, version))")) if versions else F.min("doc_id")
+    nodes = materialize(rows.groupBy("bits").agg(smallest.alias("low")), "nodes")
     roots = components(links(nodes.select("bits"), max_bits, shared))
     placed = nodes.join(roots, nodes["bits"] == roots["node"], "left").select(
         "bits", "low", F.coalesce("root", "bits").alias("root")
     )
     lowest = placed.groupBy("root").agg(F.min("low").alias("component_id"))
     named = materialize(placed.join(lowest, "root").select("bits", "component_id"), "named")
+    if versions:
+        first = ["component_id.doc_id as component_id", "component_id.version as first_version"]
+        return rows.join(named, "bits").selectExpr("doc_id", "bits", "version", *first)
     return rows.join(named, "bits").select("doc_id", "bits", "component_id")

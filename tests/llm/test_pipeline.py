@@ -40,6 +40,15 @@ def test_near_duplicate_stage_keeps_one_row_of_an_id(spark):
     assert sorted((r.doc_id for r in left), key=str) == [3, None]
 
 
+def test_near_duplicate_stage_keeps_a_text_of_each_component(spark):
+    """Rows of one id that hold different texts are judged each by its own component."""
+    a, b, c, d = (prose(i, 50) for i in (1, 2, 3, 4))
+    texts = [(3, a), (5, a), (5, b), (9, b), (7, c), (7, d), (7, d), (8, d), (None, d)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in texts], DOCUMENTS)
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert sorted((r.doc_id or 0, r.text) for r in left) == sorted([(3, a), (5, b), (7, c), (7, d), (0, d)])
+
+
 def test_empty_documents(spark, tmp_path):
     spark.createDataFrame([], DOCUMENTS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
