@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import imatch, lines, neighbours, packing, passages, pieces, shards, simhash, tokens, toxicity
+from ..context import materialize
+from . import codes, imatch, lines, merkle, neighbours, packing, passages, pieces, quality, shards, simhash, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -120,3 +121,56 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors of every fiftieth."""
     return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("_id") % 50 == 0, k=5)
+
+
+@query
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's measures, the rules it breaks as bits, and the verdict of the full policy."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    entries = materialize(quality.ledger(documents), "quality-ledger")
+    return quality.apply(entries, quality.FULL).select(
+        "doc_id", *quality.MEASURES, quality.BASE.rejects(F.col("failed")).alias("base_failed"), "failed", "kept"
+    )
+
+
+ORACLE["op11_quality_rules"] = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS l FROM documents),
+words AS (SELECT doc_id, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM t),
+windows AS (SELECT doc_id, i, a, lead(a) OVER s AS b, lead(a, 2) OVER s AS c FROM words WINDOW s AS (PARTITION BY doc_id ORDER BY i)),
+spots AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM windows WHERE c IS NOT NULL),
+repeats AS (SELECT doc_id, count(DISTINCT i + d) AS n FROM spots, (VALUES (0), (1), (2)) o(d) WHERE n > 1 GROUP BY doc_id),
+m AS (SELECT t.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(regexp_replace(array_to_string(w, ''), '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+    length(regexp_replace(array_to_string(w, ''), '\P{L}', '', 'g')) AS n_letters,
+    length(regexp_replace(array_to_string(w, ''), '\P{Lu}', '', 'g')) AS n_capitals
+  FROM t LEFT JOIN repeats r ON r.doc_id = t.doc_id),
+f AS (SELECT *, CAST(n_words < 50 AS BIGINT) + 2 * CAST(100 * n_repeat_words > 50 * n_words AS BIGINT)
+    + 4 * CAST(10 * n_symbols > n_words AS BIGINT) + 8 * CAST(word_chars < 3 * n_words OR word_chars > 10 * n_words AS BIGINT)
+    + 16 * CAST(10 * n_dup_lines > 4 * n_lines AS BIGINT) + 32 * CAST(100 * n_letters < 60 * word_chars AS BIGINT)
+    + 64 * CAST(2 * n_capitals > n_letters AS BIGINT) AS failed FROM m)
+SELECT *, failed % 4 > 0 AS base_failed, failed = 0 AS kept FROM f"""
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, its group's and the dataset's root, and what its proof says of a tampered copy."""
+    documents = _table(spark, sf_dir, "documents")
+    leaf = lambda text: merkle.digest(*[merkle.framed(F.col(c)) for c in ("doc_id", "source", "lang", "n_chars")], merkle.framed(text))
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    changed = F.when(tampered & F.contains("text", F.lit("\n")), leaf(F.replace("text", F.lit("\n"), F.lit(""))))
+    found = merkle.manifest(documents, leaf(F.col("text")), keep={"changed": changed})
+    folded = merkle.fold(F.coalesce("changed", "leaf"), "lefts", "rights")
+    proofs = found.select("doc_id", "leaf", "subroot", "root", merkle.digest(merkle.siblings()).alias("proof_sha256"), folded.alias("folded_root"))
+    return proofs.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector's codes, its error, and that of all vectors of its label."""
+    found = codes.compress(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    code = F.array_join(F.transform("codes", lambda x: F.lpad(F.lower(F.hex(x)), 2, "0")), "")
+    rows = found.rows.select("vec_id", "label", code.alias("code"), F.aggregate("errors", F.lit(0).cast("long"), lambda a, x: a + x).alias("error"))
+    rows = codes.total_by(materialize(rows, "vector-codes"), "label", "error", "label_error")
+    return rows.select("vec_id", "code", "error", "label_error", F.lit(found.digest()).alias("codebooks_sha256"))
