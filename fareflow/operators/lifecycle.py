@@ -7,11 +7,11 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .. import sinks
 from ..context import materialize
 from ..functions.dates import compact_date, iso_date
 from . import windows
 from .joins import sized
+from .stored import KeyedTable, stored
 
 
 def _without(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
@@ -36,31 +36,18 @@ def append(state: DataFrame, delta: DataFrame, on: list[str]) -> DataFrame:
     return _without(state, today, on).unionByName(today, allowMissingColumns=True)
 
 
-#: Up to so many days are named in the filter that selects partitions; more are joined.
-NAMED_DAYS = 1_000
+def append_stored(path: str, delta: DataFrame, on: list[str], day: date | None = None) -> KeyedTable:
+    """:func:`append` to a stored history, see :class:`~fareflow.operators.stored.KeyedTable`.
 
-
-def append_stored(path: str, delta: DataFrame, on: list[str], day: str) -> None:
-    """:func:`append` to a stored history partitioned by ``day``, which is part of the key ``on``.
-
-    Only the days the delta brings are read, merged and replaced; the rest of the
-    history is not touched.  Rows without a day are a partition like another.
-    The merged days are written down before they replace what they were made of,
-    so a lost run can be repeated.
+    The first day makes the history.  Only the buckets the delta's keys fall into
+    get files, nothing is read, and a key that comes back replaces its row, whatever
+    else has changed in it.  The run is published in one step: a run that died
+    before left the history as it was, and may be run again, as may one that did not.
     """
-    if day not in on:
-        raise ValueError(f"{day} has to be part of the key: a key on another day would not be found")
-    spark = delta.sparkSession
-    stored = spark.read.schema(delta.schema).parquet(path)
-    days = materialize(delta.select(F.col(day).alias("_day")).distinct(), "days")
-    named = [r[0] for r in days.limit(NAMED_DAYS + 1).collect()]
-    if len(named) <= NAMED_DAYS:
-        some = F.col(day).isin(*[d for d in named if d is not None])
-        touched = stored.filter(some | F.col(day).isNull() if None in named else some)
-    else:
-        touched = stored.join(sized(days), F.col(day).eqNullSafe(F.col("_day")), "left_semi")
-    merged = materialize(append(touched, delta, on), "merged-days")
-    sinks.write_parquet(merged, path, partition_by=[day])
+    today = materialize(delta, "delta")
+    table = stored(delta.sparkSession, path, today, on)
+    table.upsert(today, "replace", day=day)
+    return table
 
 
 def upsert_replace(base: DataFrame, updates: DataFrame, on: list[str], version: str) -> DataFrame:

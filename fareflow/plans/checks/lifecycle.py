@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ... import sinks
 from ...context import work_dir
-from ...operators import features, lifecycle
+from ...operators import features, lifecycle, stored
+from ...sinks import manifests, snapshots
 from ...sources import files
 from .registry import ITINERARIES_SQL, RUN, RUN_SQL, Tables, itineraries, query
 
@@ -48,7 +49,7 @@ SELECT o_orderkey, o_orderstatus, day,
 FROM h""",
 )
 def incremental_stored(t):
-    """The same on a stored history of months: a delta rewrites the months it brings.
+    """The same on a stored history of months, from its first day on.
 
     Some orders have no month; the second delta brings half of them again.
     """
@@ -60,11 +61,10 @@ def incremental_stored(t):
     recent = known.filter((F.col("day") >= F.date_sub(run, 100)) | half)
     path = work_dir(t.spark, "history")
     before = (F.col("day") < F.date_sub(run, 50)) | F.col("day").isNull()
-    sinks.write_parquet(known.filter(before), path, partition_by=["day"])
-    lifecycle.append_stored(path, recent, ["o_orderkey", "day"], "day")
+    lifecycle.append_stored(path, known.filter(before), ["o_orderkey", "day"])  # the first day
+    lifecycle.append_stored(path, recent, ["o_orderkey", "day"])
     closed = recent.filter(F.col("o_orderstatus") == "F").withColumn("price", F.col("price") + 1)
-    lifecycle.append_stored(path, closed, ["o_orderkey", "day"], "day")
-    return t.spark.read.schema(orders.schema).parquet(path).select(*orders.columns)
+    return lifecycle.append_stored(path, closed, ["o_orderkey", "day"]).read().select(*orders.columns)
 
 
 # Updates: one per order line, the newest ship date wins; keys are shifted by one, so not every order has one,
@@ -107,6 +107,81 @@ def upsert_replace(t):
     return lifecycle.upsert_replace(base, _updates(t), ["o_orderkey"], "version")
 
 
+@query(
+    "q_upsert_stored",
+    """WITH o AS (SELECT o_orderkey, o_orderstatus, o_totalprice AS price, CAST(NULL AS VARCHAR) AS note FROM orders),
+lines AS (SELECT l_orderkey + 1 AS o_orderkey, l_linenumber, max(l_extendedprice) AS price FROM lineitem GROUP BY ALL),
+first AS (SELECT o_orderkey, price FROM lines WHERE l_linenumber = 1),
+second AS (SELECT o_orderkey, 'line 2' AS note FROM lines WHERE l_linenumber = 2),
+third AS (SELECT o_orderkey, 'N' AS o_orderstatus, price, CAST(NULL AS VARCHAR) AS note FROM lines WHERE l_linenumber = 6),
+gone AS (SELECT o_orderkey FROM lines WHERE l_linenumber = 7),
+set1 AS (SELECT coalesce(o.o_orderkey, f.o_orderkey) AS o_orderkey, o_orderstatus, coalesce(f.price, o.price) AS price, note
+  FROM o FULL JOIN first f ON o.o_orderkey = f.o_orderkey),
+set2 AS (SELECT coalesce(o.o_orderkey, s.o_orderkey) AS o_orderkey, o_orderstatus, price, coalesce(s.note, o.note) AS note
+  FROM set1 o FULL JOIN second s ON o.o_orderkey = s.o_orderkey)
+SELECT * FROM (SELECT * FROM third UNION ALL SELECT * FROM set2 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM third))
+WHERE o_orderkey NOT IN (SELECT o_orderkey FROM gone)""",
+)
+def upsert_stored(t):
+    """A stored table after two deltas that set fields, one that replaces records and one that deletes."""
+    base = t.orders.select("o_orderkey", "o_orderstatus", F.col("o_totalprice").alias("price"), F.lit(None).cast("string").alias("note"))
+    lines = t.lineitem.select((F.col("l_orderkey") + 1).alias("o_orderkey"), "l_linenumber", F.col("l_extendedprice").alias("price"))
+    number = lambda n: lines.filter(F.col("l_linenumber") == n)
+    table = stored.stored(t.spark, work_dir(t.spark, "published"), base, ["o_orderkey"], buckets=8)
+    table.upsert(base, "replace")
+    table.upsert(number(1).select("o_orderkey", "price"), "set", version="price")
+    table.upsert(number(2).select("o_orderkey", F.lit("line 2").alias("note")), "set")
+    renewed = number(6).select("o_orderkey", F.lit("N").alias("o_orderstatus"), "price", F.lit(None).cast("string").alias("note"))
+    table.upsert(renewed, "replace", version="price")
+    table.delete(number(7).select("o_orderkey"))
+    return table.read()
+
+
+_STATES_SQL = "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders"
+
+
+def _publish_states(t: Tables, days: int) -> str:
+    """One published state per day up to the run's: the orders known by then."""
+    root = work_dir(t.spark, "states")
+    orders = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    for back in range(days - 1, -1, -1):
+        day = RUN.shift(-back)
+        snapshots.publish(orders.filter(F.col("day") <= F.lit(day)), root, day)
+    return root
+
+
+@query(
+    "q_snapshot_publish",
+    f"""WITH o AS ({_STATES_SQL})
+SELECT 'yesterday' AS state, * FROM o WHERE day <= {RUN_SQL} - 1 UNION ALL SELECT 'last', * FROM o WHERE day <= {RUN_SQL}""",
+)
+def snapshot_publish(t):
+    """Readers of the last state and of an earlier one, after a writer died before it published."""
+    root = _publish_states(t, 2)
+    folder = manifests.Folder(t.spark, root)
+    t.orders.select("o_orderkey").write.parquet(folder.data(folder.new_generation(folder.version())))
+    state = lambda name, day: snapshots.read(t.spark, root, day).select(F.lit(name).alias("state"), "o_orderkey", "day")
+    return state("yesterday", RUN.yesterday).unionByName(state("last", None))
+
+
+@query(
+    "q_retention_apply",
+    f"""WITH o AS ({_STATES_SQL}), kept AS (SELECT {RUN_SQL} - CAST(i AS INT) AS state FROM range(4) r(i))
+SELECT state, count(*) AS orders, 4 AS folders FROM kept, o WHERE day <= state GROUP BY state""",
+)
+def retention_apply(t):
+    """Six daily states, of which the rule of four days leaves four, files and all."""
+    root = _publish_states(t, 6)
+    snapshots.expire(t.spark, root, RUN.run_date, keep=4)
+    kept = [r["day"] for r in snapshots.catalog(t.spark, root).collect()]
+    out = None
+    for day in kept:
+        counted = snapshots.read(t.spark, root, day).agg(F.count("*").alias("orders")).select(F.lit(day).alias("state"), "orders")
+        out = counted if out is None else out.unionByName(counted)
+    folders = len(manifests.Folder(t.spark, root).generations())
+    return out.withColumn("folders", F.lit(folders))
+
+
 @query(
     "q_stale_delete",
     f"""WITH {_ORDERS_SQL} SELECT 'K' || o_orderkey || '_AAA_BBB_' || day AS _id, day - 10 AS "queryDate", price FROM o

@@ -8,7 +8,7 @@ from ... import sinks
 from ...context import work_dir
 from ...functions import keys as ids
 from ...schemas import MERGED_FARES, schema
-from ...sources import documents, files
+from ...sources import documents, files, lookups, quarantine
 from .registry import ITINERARIES_SQL, LOW_PRICES_SQL, RUN, RUN_SQL, Tables, itineraries, low_prices, query
 
 _LINE = ["l_orderkey", "l_partkey", "l_linenumber"]
@@ -315,6 +315,45 @@ def scan_documents(t):
 def id_lookup(t):
     """Prices of a given list of flights."""
     rich = t.supplier.filter("s_acctbal > 5000")
-    wanted = rich.select(F.concat(F.lit("C"), F.col("s_suppkey") % 5, F.col("s_suppkey")).alias("_fn"))
-    prices = low_prices(t).withColumn("_fn", ids.part("id", 0))
-    return prices.join(wanted, "_fn", "left_semi").drop("_fn")
+    wanted = rich.select(F.concat(F.lit("C"), F.col("s_suppkey") % 5, F.col("s_suppkey")).alias("fn"))
+    prices = low_prices(t).withColumn("fn", ids.part("id", 0))
+    path = work_dir(t.spark, "by-flight")
+    lookups.write_clustered(prices, path, "fn", buckets=16)
+    return lookups.of_ids(t.spark, path, wanted, "fn").drop("fn")
+
+
+_LANDED_SQL = """CASE WHEN l_linenumber = 7 THEN l_orderkey || ',' || l_linenumber
+  ELSE l_orderkey || ',' || l_linenumber || ',' || CASE WHEN l_returnflag = 'R' THEN 'cheap' WHEN l_quantity = 1 THEN '' ELSE CAST(CAST(l_quantity AS INT) AS VARCHAR) END
+    || ',' || CASE WHEN l_linestatus = 'F' AND l_quantity > 45 THEN '1998-13-01' ELSE strftime(l_shipdate, '%Y-%m-%d') END END"""
+
+
+@query(
+    "q_quarantine",
+    f"""WITH r AS (SELECT *, {_LANDED_SQL} AS record, l_linenumber = 7 AS malformed, l_linenumber <> 7 AND l_returnflag = 'R' AS unfit,
+    l_linenumber <> 7 AND l_returnflag <> 'R' AND l_quantity = 1 AS missing, l_linenumber <> 7 AND l_linestatus = 'F' AND l_quantity > 45 AS undated FROM lineitem),
+n AS (SELECT count(*) AS records, count(*) FILTER (malformed OR unfit OR missing OR undated) AS bad, count(*) FILTER (malformed) AS malformed,
+  count(*) FILTER (unfit OR missing) AS quantity, count(*) FILTER (undated) AS day FROM r)
+SELECT 'good' AS kind, l_orderkey || ',' || l_linenumber || ',' || CAST(l_quantity AS INT) || ',' || strftime(l_shipdate, '%Y-%m-%d') AS record, '' AS reasons
+FROM r WHERE NOT (malformed OR unfit OR missing OR undated) UNION ALL
+SELECT 'bad', record, concat_ws('; ', CASE WHEN malformed THEN 'malformed' END, CASE WHEN unfit THEN 'quantity: not int' WHEN missing THEN 'quantity: missing' END,
+  CASE WHEN undated THEN 'day: not date' END) FROM r WHERE malformed OR unfit OR missing OR undated UNION ALL
+SELECT 'counts', records || ' ' || bad || ' ' || malformed || ' ' || quantity || ' ' || day, '' FROM n""",
+)
+def quarantined(t):
+    """Landed lines with fields that do not parse, required ones that are empty, and lines cut short."""
+    path = work_dir(t.spark, "landing")
+    whole = F.concat_ws(
+        ",",
+        "l_orderkey",
+        "l_linenumber",
+        F.when(F.col("l_returnflag") == "R", "cheap").when(F.col("l_quantity") == 1, "").otherwise(F.col("l_quantity").cast("int").cast("string")),
+        F.when((F.col("l_linestatus") == "F") & (F.col("l_quantity") > 45), "1998-13-01").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")),
+    )
+    t.lineitem.select(F.when(F.col("l_linenumber") == 7, F.concat_ws(",", "l_orderkey", "l_linenumber")).otherwise(whole)).write.text(path)
+    fields = schema(l_orderkey="long", l_linenumber="int", quantity="int", day="date")
+    found = quarantine.read_csv(t.spark, path, fields, required=["quantity"])
+    good = found.good.select(F.lit("good").alias("kind"), F.concat_ws(",", *fields.names).alias("record"), F.lit("").alias("reasons"))
+    bad = found.bad.select(F.lit("bad").alias("kind"), "record", F.concat_ws("; ", "reasons").alias("reasons"))
+    text = " ".join(str(found.counts[c]) for c in ("records", "bad", "malformed", "quantity", "day"))
+    counted = found.bad.limit(0).select(F.lit("counts").alias("kind"), F.col("record"), F.lit("").alias("reasons"))
+    return good.unionByName(bad).unionByName(t.spark.createDataFrame([("counts", text, "")], counted.schema))

@@ -98,13 +98,11 @@ def run(
 def run_stored(
     path: str, low_prices: DataFrame, online_prices: DataFrame, dims: Dimensions, ctx: RunContext
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """:func:`run` on a stored history, partitioned by departure date.
+    """:func:`run` on a stored history, see ``lifecycle.append_stored``.
 
-    Only the departure dates that today's rows bring are read and replaced; a
-    second run of a day changes nothing.
+    The first day makes it, and a second run of a day changes nothing.
     """
     today = materialize(training_rows(low_prices, dims, ctx), "today")
-    lifecycle.append_stored(path, today, SAMPLE_KEY, "departDate")
-    stored = today.sparkSession.read.schema(today.schema).parquet(path).select(*today.columns)
-    history = features.clean_history(stored)
+    table = lifecycle.append_stored(path, today, SAMPLE_KEY, ctx.run_date)
+    history = features.clean_history(table.read().select(*today.columns))
     return history, *_tables(history, online_prices, dims, ctx)

@@ -6,8 +6,9 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from fareflow import schemas, sinks
+from fareflow import schemas
 from fareflow.context import RunContext
+from fareflow.operators import lifecycle
 from fareflow.plans import domestic, international
 
 RUN = RunContext.of("2019-03-01")
@@ -55,7 +56,7 @@ def test_two_days_on_a_stored_history(spark, world, rows, tmp_path):
     path = str(tmp_path / "history")
     first = domestic.training_rows(low, dims, RUN)
     dirty = first.limit(1).withColumn("price", F.lit(100_000)).withColumn("departDate", F.lit(date(2019, 1, 5)))
-    sinks.write_parquet(dirty.select(*first.columns), path, partition_by=["departDate"])
+    lifecycle.append_stored(path, dirty.select(*first.columns), domestic.SAMPLE_KEY)
     later = RunContext.of("2019-03-02")
     domestic.run_stored(path, low, online, dims, RUN)
     history, train, _ = domestic.run_stored(path, low, online, dims, later)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fareflow import schemas, sinks
 from fareflow.context import RunContext, clean_up, materialize, work_dir
 from fareflow.operators import joins, lifecycle
-from fareflow.sources import documents, files
+from fareflow.sources import documents, files, quarantine
 
 
 def docs(spark, *objects):
@@ -150,14 +150,14 @@ def test_whole_numbers_may_be_written_with_a_point(spark, rows, tmp_path):
     assert rows(documents.low_prices(docs), "price") == [(560,), (570,)]
 
 
-def test_stored_append_keeps_rows_without_a_day(spark, rows, tmp_path):
+def test_stored_append_from_the_first_day_on(spark, rows, tmp_path):
     schema, path = "id long, v int, day date", str(tmp_path / "h")
-    stored = spark.createDataFrame([(1, 1, date(2019, 1, 1)), (2, 2, None), (3, 3, None)], schema)
-    sinks.write_parquet(stored, path, partition_by=["day"])
-    lifecycle.append_stored(path, spark.createDataFrame([(4, 4, None), (3, 33, None), (1, 11, date(2019, 1, 1))], schema), ["id", "day"], "day")
-    assert rows(spark.read.schema(schema).parquet(path), "id", "v") == [(1, 11), (2, 2), (3, 33), (4, 4)]
-    with pytest.raises(ValueError, match="part of the key"):
-        lifecycle.append_stored(path, stored, ["id"], "day")
+    first = spark.createDataFrame([(1, 1, date(2019, 1, 1)), (2, 2, None), (3, 3, None)], schema)
+    lifecycle.append_stored(path, first, ["id"])
+    delta = spark.createDataFrame([(4, 4, None), (3, 33, None), (1, 11, date(2019, 2, 2))], schema)
+    for _ in range(2):  # a rerun changes nothing; key 1 comes back on another day
+        table = lifecycle.append_stored(path, delta, ["id"])
+        assert rows(table.read()) == [(1, 11, date(2019, 2, 2)), (2, 2, None), (3, 33, None), (4, 4, None)]
 
 
 def test_clean_up_removes_the_intermediate_tables(spark):
@@ -171,3 +171,28 @@ def test_clean_up_removes_the_intermediate_tables(spark):
 def test_broadcast_follows_measured_bytes(spark):
     narrow, wide = spark.range(1000).selectExpr("id", "'x' AS t"), spark.range(1000).selectExpr("id", "repeat('x', 5000) AS t")
     assert joins.table_bytes(narrow) < 50_000 < 5_000_000 <= joins.table_bytes(wide)
+
+
+def test_bad_records_are_kept_aside(spark, rows, tmp_path):
+    lines = ["id,n,day", "a,1,2019-01-01", "b,x,2019-13-01", "c,,2019-01-02", "d,4", 'e,5,2019-01-03,"more"', '"f, g",6.0,', ",7,2019-01-04", "h, ,2019-01-05"]
+    (tmp_path / "in.csv").write_text("\n".join(lines) + "\n")
+    fields = schemas.schema(id="string", n="int", day="date")
+    found = quarantine.read_csv(spark, str(tmp_path / "in.csv"), fields, required=["id"], header=True)
+    assert found.good.schema.names == ["id", "n", "day"]
+    assert rows(found.good, "id", "n") == [("a", 1), ("c", None), ("f, g", 6), ("h", None)]
+    bad = {r.record: r.reasons for r in found.bad.collect()}
+    assert bad == {"b,x,2019-13-01": ["n: not int", "day: not date"], "d,4": ["malformed"], 'e,5,2019-01-03,"more"': ["malformed"], ",7,2019-01-04": ["id: missing"]}
+    assert found.counts == {"records": 8, "bad": 4, "malformed": 2, "id": 1, "n": 1, "day": 1}
+
+
+def test_bad_documents_are_kept_aside(spark, rows):
+    texts = ['{"id": "a", "n": 1, "more": 2}', '{"id": "b", "n": "x"}', "{broken", "[1]", "", None, '{"n": 3.0}', '{"id": "c", "n": "4"}']
+    docs = spark.createDataFrame([(t,) for t in texts], "doc string")
+    found = quarantine.read_documents(docs, schemas.schema(id="string", n="int"), required=["id"])
+    assert rows(found.good) == [("a", 1), ("c", 4)]
+    reasons = sorted((r.record, r.reasons) for r in found.bad.collect())
+    assert ('{"id": "b", "n": "x"}', ["n: not int"]) in reasons and ('{"n": 3.0}', ["id: missing"]) in reasons
+    assert [r for _, r in reasons].count(["malformed"]) == found.counts["malformed"] >= 3 and found.counts["records"] == 8
+    assert found.good.count() + found.bad.count() == 8
+    empty = quarantine.read_documents(docs.filter("false"), schemas.schema(id="string"))
+    assert empty.good.count() == 0 and empty.counts["records"] == 0
