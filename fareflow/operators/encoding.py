@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..context import materialize
+from ..sinks import snapshots
+from ..sinks.manifests import Folder
 from . import windows
 from .hot import DEFAULT, HotPolicy
-from .joins import sized
+from .joins import sized, small_groups
 
 
 def long_form(df: DataFrame, columns: list[str], as_type: str) -> DataFrame:
@@ -67,6 +71,40 @@ def feature_index(
     )
 
 
+def grow(known: DataFrame | None, df: DataFrame, categorical: list[str], policy: HotPolicy = DEFAULT) -> DataFrame:
+    """A dictionary with the values that ``df`` brings; numbers that are given never change.
+
+    ``feature, position, value, idx, since``; ``known`` is the dictionary so far, None
+    on the first day.  New values are numbered behind the largest number, by column
+    and value, so the numbers stay dense; ``since`` is the number of entries there
+    were before the value came, so it tells the growths apart.
+    """
+    found = long_form(df, categorical, "double").filter(F.col("value").isNotNull()).groupBy("feature", "position", "value").count().drop("count")
+    if known is not None:
+        names = {"feature": "_f", "value": "_v"}
+        there = known.select(*[F.col(c).alias(n) for c, n in names.items()])
+        found = found.join(sized(there), [F.col(c) == F.col(n) for c, n in names.items()], "left_anti")
+    found = materialize(found, "new-values")
+    size = 0 if known is None else known.count()
+    numbered = windows.position(found, [], ["position", "value"], "_rank", policy)
+    fresh = numbered.select(
+        "feature", "position", "value", (F.lit(size) + F.col("_rank")).cast("long").alias("idx"), F.lit(size).cast("long").alias("since")
+    )
+    return fresh if known is None else known.unionByName(fresh)
+
+
+def grow_stored(root: str, df: DataFrame, categorical: list[str], day: date, policy: HotPolicy = DEFAULT) -> DataFrame:
+    """:func:`grow` on a stored dictionary, published as the state of ``day``.
+
+    Every state stays readable until it expires, so a model finds the dictionary it
+    was trained with.  A run of a day again finds nothing new and changes no number.
+    """
+    spark = df.sparkSession
+    known = snapshots.read(spark, root) if Folder(spark, root).version() else None
+    snapshots.publish(grow(known, df, categorical, policy), root, day)
+    return snapshots.read(spark, root)
+
+
 def index_stats(index: DataFrame) -> DataFrame:
     """``field_size`` (columns) and ``feature_size`` (slots) of a feature index."""
     return index.agg(
@@ -80,13 +118,15 @@ def attach_index(
     """Add the index of each column's value; a value not in the dictionary gives NULL.
 
     ``index`` should be a written table (see :func:`fareflow.sinks.write_dictionary`):
-    one lookup per column reads it again.  Each column's part is measured to see
-    whether it can be broadcast.
+    one lookup per column reads it again.  One pass measures all columns' parts, to
+    see which can be broadcast.
     """
     type_ = index.schema["value"].dataType
+    small = small_groups(index.select("feature", "value", "idx"), "feature", columns)
     for c in columns:
         dim = index.filter(F.col("feature") == c).select(F.col("value").alias("_value"), F.col("idx").alias(name(c)))
-        df = df.join(sized(dim), F.col(c).cast(type_) == F.col("_value"), "left").drop("_value")
+        dim = F.broadcast(dim) if c in small else dim
+        df = df.join(dim, F.col(c).cast(type_) == F.col("_value"), "left").drop("_value")
         if default is not None:
             df = df.na.fill({name(c): default})
     return df

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..context import materialize
 from ..functions import fares, keys as ids
 from . import windows
+from .hot import DEFAULT, HotPolicy
 from .joins import lookup_join
 
 
@@ -66,6 +67,16 @@ def list_fares(raw: DataFrame, run_date: date, max_days: int | None = None) -> D
     return nearest_future(parsed, ["fc", "org", "dst"], "departDate", run_date, max_days).drop("departDate")
 
 
+def with_list_fare_as_of(df: DataFrame, raw: DataFrame, at: str = "queryDate", max_days: int | None = None, policy: HotPolicy = DEFAULT) -> DataFrame:
+    """Add ``orgPrice`` of the next departure on or after each row's own day, NULL where there is none.
+
+    :func:`list_fares` looks from one run date for all rows; this serves rows of
+    many days at once, so a history can be filled in later.
+    """
+    parsed = ids.parse_list_fare(raw).select("fc", "org", "dst", F.col("departDate").alias("_fareDate"), F.col("orgPrice").cast("int")).dropna()
+    return windows.as_of_next(df, parsed, ["fc", "org", "dst"], at, "_fareDate", max_days, policy).drop("_fareDate")
+
+
 def seat_loads(raw: DataFrame) -> DataFrame:
     """``fn, org, dst, departDate, queryDate → seatLeft`` from each day's last complete snapshot."""
     complete = raw.dropna(subset=["seatLeft_id", "queryDatetime", "seatLeft"])

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..context import materialize
 from ..functions import dates, fares, keys as ids
 from ..schemas import MAX_PRICE, MISSING
 from . import calendar as holiday_calendar
@@ -125,21 +126,45 @@ def sample_to(df: DataFrame, target: int, seed: int) -> DataFrame:
     return df if fraction >= 1.0 else df.sample(False, fraction, seed)
 
 
-def sample_exactly(df: DataFrame, n: int, seed: int) -> DataFrame:
-    """``n`` random rows, for an ``n`` one task can hold.
+def sample_exactly(df: DataFrame, n: int, seed: int, policy: HotPolicy = DEFAULT) -> DataFrame:
+    """``n`` random rows, for any ``n``; all rows if there are fewer."""
+    drawn = df.withColumn("_draw", F.lower(F.lpad(F.hex((F.rand(seed) * (1 << 52)).cast("long")), 32, "0")))
+    # The draws are written down: they are looked at several times and must stay the same.
+    return _least(materialize(drawn, "drawn"), "_draw", [], n, policy, zeros=19).drop("_draw")
 
-    Every task keeps its own ``n`` first, then they are merged.
-    """
-    return df.orderBy(F.rand(seed)).limit(n)
+
+def hash_sample(df: DataFrame, keys: list[str], n: int, policy: HotPolicy = DEFAULT) -> DataFrame:
+    """The ``n`` rows whose keys have the least MD5, for any ``n``: the same rows on every run and for every layout of the input."""
+    text = F.concat_ws("_", *[F.col(k).cast("string") for k in keys])
+    return _least(df.withColumn("_draw", F.md5(text.cast("binary"))), "_draw", keys, n, policy).drop("_draw")
 
 
-def hash_sample(df: DataFrame, keys: list[str], n: int) -> DataFrame:
-    """The ``n`` rows whose keys have the least MD5: the same rows on every run and for every layout of the input.
+def _least(df: DataFrame, digits: str, order: list[str], n: int, policy: HotPolicy, zeros: int = 0) -> DataFrame:
+    """The ``n`` rows that come first by 32 hex digits and then by ``order``; no task holds them all.
 
-    Every task keeps its own ``n`` first, then they are merged; ``n`` is what one task can hold.
+    Rows are counted by their leading digits, combined before the shuffle.  The cells
+    before the one in which the ``n``-th row lies are taken whole; that cell is
+    counted by further digits until one task could hold it.  What is left of it is
+    numbered in order, in segments if even equal digits have too many rows.
     """
-    text = F.concat_ws("_", *[F.col(k).cast("string") for k in keys])
-    return df.orderBy(F.md5(text.cast("binary")), *keys).limit(n)
+    border, taken, rows = "0" * zeros, 0, None
+    while rows is None or (rows > policy.rows_per_task and len(border) < 32):
+        cell = F.substring(digits, 1, min(len(border) + 4, 32))
+        counts = df.filter(F.col(digits).startswith(border)).groupBy(cell).agg(F.count(F.lit(1)))
+        last = None
+        for name, count in sorted((r[0], r[1]) for r in counts.collect()):  # at most 65,536 cells
+            if taken + count > n:
+                last = name, count
+                break
+            taken += count
+        if last is None:  # only the whole table can have too few rows
+            return df
+        border, rows = last
+    whole = df.filter(F.substring(digits, 1, len(border)) < border)
+    if taken == n:
+        return whole
+    placed = windows.position(df.filter(F.col(digits).startswith(border)), [], [digits, *order], "_place", policy)
+    return whole.unionByName(placed.filter(F.col("_place") < n - taken).drop("_place"))
 
 
 def shuffle(df: DataFrame, seed: int, files: int | None = None) -> DataFrame:

@@ -67,7 +67,8 @@ def split(
     ``bound`` is a table with at least as many rows that is cheaper to count,
     such as the scan ``df`` was made from.  A table that fits one task needs no
     more than that count.  A larger one is counted per key, combined before the
-    shuffle.  Only where a hot group exists are its rows range-partitioned by
+    shuffle.  Only where a hot group exists are the rows written down once, so what
+    ``df`` is made of runs twice, and those of hot groups range-partitioned by
     (keys, order) and written to the shared work folder with their segment
     number, so that a lost executor cannot shift a segment border later.
     With no ``keys`` the whole table is the group.  Rows equal in ``order`` are
@@ -82,6 +83,8 @@ def split(
         size = heat.agg(F.sum("_n")).first()[0]
         if size is None:
             return Parts(df, None, order, order)
+        # Both halves and the sampling of the order read the rows: from here on they read them as written.
+        df = materialize(df, "rows")
         few = sized(heat.drop("_n"))
         match = [df[k].eqNullSafe(few[k]) for k in keys]
         normal = df.join(few, match, "left_anti")

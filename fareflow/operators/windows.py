@@ -188,6 +188,62 @@ def position(
     return running_total(df, keys, order, F.lit(1).cast("long"), out, policy)
 
 
+def as_of_next(
+    df: DataFrame,
+    events: DataFrame,
+    keys: list[str],
+    at: str,
+    time: str,
+    max_days: int | None = None,
+    policy: HotPolicy = DEFAULT,
+) -> DataFrame:
+    """Each row with the columns of the first event of its key at or after the row's own time.
+
+    ``at`` is a date of ``df`` and ``time`` one of ``events``; the event's columns but
+    the keys are added, NULL where no event follows within ``max_days``.  Rows and
+    events are sorted together once and walked from the latest to the earliest, so
+    no row meets more than one event.  Of events at one time the smallest in the
+    other columns counts.  A key or time that is NULL has no event.
+    """
+    brought = [c for c in events.columns if c not in keys]
+    clash = set(brought) & set(df.columns)
+    if clash:
+        raise ValueError(f"columns on both sides: {sorted(clash)}")
+    usable = events.filter(F.col(time).isNotNull())
+    for k in keys:
+        usable = usable.filter(F.col(k).isNotNull())
+    first = earliest(usable, [*keys, time], [])
+    row, event = F.struct(*[F.col(f"`{c}`") for c in df.columns]), F.struct(*[F.col(f"`{c}`") for c in brought])
+    names = [f"_k{i}" for i in range(len(keys))]
+    on = [F.col(k).alias(n) for k, n in zip(keys, names)]
+    # Going backwards, the events of a time come before its rows.
+    asking = df.select(*on, F.col(at).alias("_t"), F.lit(0).alias("_side"), row.alias("_row"))
+    told = first.select(*on, F.col(time).alias("_t"), F.lit(1).alias("_side"), event.alias("_event"))
+    both = asking.unionByName(told, allowMissingColumns=True)
+    parts = hot_groups.split(both, names, ["_t", "_side"], policy)
+
+    def following(over: list[str], by: list[str]) -> Column:
+        return F.last("_event", ignorenulls=True).over(_latest_first(over, by).rowsBetween(Window.unboundedPreceding, 0))
+
+    normal, hot = parts.normal, None
+    if normal is not None:
+        normal = normal.withColumn("_found", following(names, ["_t", "_side"]))
+    if parts.hot is not None:
+        inside = parts.hot.withColumn("_found", following([*names, SEGMENT], parts.order))
+        nearest = parts.hot.groupBy(*names, SEGMENT).agg(F.min_by("_event", F.when(F.col("_event").isNotNull(), F.col("_t"))).alias("_first"))
+        later = F.first("_first", ignorenulls=True).over(_summary_window(names).rowsBetween(1, Window.unboundedFollowing))
+        summary = nearest.select(*names, SEGMENT, later.alias("_later"))
+        hot = hot_groups.attach(inside, summary, names).withColumn("_found", F.coalesce("_found", "_later")).drop("_later")
+    found = hot_groups.merge(normal, hot).filter("_side = 0")
+    near = F.col("_t").isNotNull()
+    if max_days is not None:
+        near &= F.datediff(F.col(f"_found.`{time}`"), F.col("_t")) <= max_days
+    return found.select(
+        *[F.col(f"_row.`{c}`").alias(c) for c in df.columns],
+        *[F.when(near, F.col(f"_found.`{c}`")).alias(c) for c in brought],
+    )
+
+
 def latest(df: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
     """One row per key: the largest in ``by``, ties broken by the remaining columns.
 

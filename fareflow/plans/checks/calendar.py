@@ -37,13 +37,13 @@ def calendar_features(t):
 
 
 _INTL_COLUMNS = '"flineId_noDate", org, dst, "isReturn_type", "isDirect_type", "predictDate", "departDate", price'
-_INTL_FEATURES_SQL = f"""{INTL_SQL}, {CALENDAR_SQL}, known AS (
+INTL_FEATURES_SQL = f"""{INTL_SQL}, {CALENDAR_SQL}, known AS (
   SELECT {_INTL_COLUMNS}, {_LINE_SQL}, coalesce(c.is_vacation, 'no') AS is_vacation,
     coalesce(c.vacation_days, 0) AS vacation_days, coalesce(c.day_of_vacation, 0) AS day_of_vacation
   FROM intl LEFT JOIN calendar c ON c.date = "departDate" WHERE "departDate" IS NOT NULL)"""
 
 
-@query("q_intl_features", f"WITH {_INTL_FEATURES_SQL} SELECT * FROM known")
+@query("q_intl_features", f"WITH {INTL_FEATURES_SQL} SELECT * FROM known")
 def intl_features(t):
     return features.international(intl_history(t), named_dates(t), holiday_calendar.build(holidays(t)))
 
@@ -53,7 +53,7 @@ _ROUTE_DAY = 'PARTITION BY "flineId_noDate", "intervalDays" ORDER BY "departDate
 
 @query(
     "q_intl_history",
-    f"""WITH {_INTL_FEATURES_SQL}, dated AS (
+    f"""WITH {INTL_FEATURES_SQL}, dated AS (
   SELECT *, {date_parts_sql('"departDate"', 'depart', bucket=False)}, {lead_times_sql('"departDate"', '"predictDate"')} FROM known)
 SELECT *, round(coalesce(avg(price) OVER ({_ROUTE_DAY} ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING), price), 4) AS preceding3day_price
 FROM dated""",

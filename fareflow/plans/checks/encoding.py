@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from ... import sinks
 from ...context import materialize, work_dir
 from ...functions import fares
 from ...operators import encoding, features
+from ...operators.hot import HotPolicy
 from .registry import Tables, query
 
 _LINE = ["l_orderkey", "l_partkey", "l_linenumber"]
@@ -71,6 +74,37 @@ def feature_encode(t):
     return coded.select(*_LINE, *wanted)
 
 
+_GROWN = ["l_quantity", "l_linenumber", "l_suppkey"]
+_FIRST_DAY = "CASE WHEN l_quantity < 20 AND l_suppkey % 3 = 0 THEN 0 WHEN l_quantity < 35 THEN 1 ELSE 2 END"
+
+
+def _grown_sql() -> str:
+    cells = " UNION ALL ".join(f"SELECT '{c}' AS feature, {i} AS position, CAST({c} AS DOUBLE) AS value, {_FIRST_DAY} AS d FROM lineitem" for i, c in enumerate(_GROWN))
+    return f"""WITH cells AS ({cells}), came AS (SELECT feature, position, value, min(d) AS d FROM cells GROUP BY ALL),
+sizes AS (SELECT d, CAST(sum(count(*)) OVER (ORDER BY d) - count(*) AS BIGINT) AS since FROM came GROUP BY d)
+SELECT feature, position, value, row_number() OVER (ORDER BY came.d, position, value) - 1 AS idx, since FROM came JOIN sizes ON sizes.d = came.d"""
+
+
+@query("q_dictionary_grow", _grown_sql())
+def dictionary_grow(t):
+    """Three days of values, the second one run twice: numbers given stay, new ones follow."""
+    root = work_dir(t.spark, "grown")
+    rows = t.lineitem.withColumn("d", F.expr(_FIRST_DAY))
+    for n, d in enumerate((0, 1, 1, 2)):
+        found = encoding.grow_stored(root, rows.filter(F.col("d") == d), _GROWN, date(2019, 1, 1 + n))
+    return found
+
+
+@query(
+    "q_sample_any_n",
+    f"""SELECT {_LINE_SQL} FROM lineitem
+ORDER BY md5(l_orderkey || '_' || l_partkey || '_' || l_linenumber), {_LINE_SQL} LIMIT 20000""",
+)
+def sample_any_n(t):
+    """More rows than the 700 that one task may hold here."""
+    return features.hash_sample(t.lineitem.select(*_LINE), _LINE, 20_000, HotPolicy(rows_per_task=700))
+
+
 def _bucket_sql(name: str, value: str, low, high, step, below, above) -> str:
     """The same buckets as a search among the left borders."""
     borders = [low + i * step for i in range(round((high - low) / step) + (1 if above else 0))]

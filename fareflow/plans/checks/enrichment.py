@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...operators import calendar as holiday_calendar
-from ...operators import enrich, features, forecast, labels
+from ...operators import enrich, features, forecast, hot, labels, windows
 from ...schemas import INDEXED, MODEL_COLUMNS, indexed_name
 from .. import domestic
 from .registry import (
@@ -206,3 +206,29 @@ labelled AS (SELECT * FROM online), {_FEATURES_SQL} {_MODEL_SQL}""",
 def online_features(t):
     rows = domestic.online_rows(low_prices(t), dimensions(t), RUN)
     return domestic.feature_table(rows, holidays(t))
+
+
+def _asof_sql(key: str) -> str:
+    return f"""WITH o AS (SELECT o_orderkey, {key} AS customer, CAST(o_orderdate AS DATE) AS day FROM orders),
+done AS (SELECT {key} AS customer, CAST(o_orderdate AS DATE) AS done_day, min(o_orderkey) AS done_order FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL),
+found AS (SELECT o.*, d.done_day, d.done_order FROM o ASOF LEFT JOIN done d ON o.customer = d.customer AND o.day <= d.done_day)
+SELECT o_orderkey, customer, day, CASE WHEN done_day - day <= 400 THEN done_day END AS done_day, CASE WHEN done_day - day <= 400 THEN done_order END AS done_order FROM found"""
+
+
+def _as_of(t, key, policy):
+    day, customer = F.to_date("o_orderdate"), F.expr(key).alias("customer")
+    rows = t.orders.select("o_orderkey", customer, day.alias("day"))
+    done = t.orders.filter("o_orderstatus = 'F'").select(customer, day.alias("done_day"), F.col("o_orderkey").alias("done_order"))
+    return windows.as_of_next(rows, done, ["customer"], "day", "done_day", 400, policy)
+
+
+@query("q_asof_forward", _asof_sql("o_custkey"))
+def asof_forward(t):
+    """Each order with its customer's next finished one, at most 400 days ahead."""
+    return _as_of(t, "o_custkey", hot.DEFAULT)
+
+
+@query("q_asof_forward_hot_key", _asof_sql("o_custkey % 3"))
+def asof_forward_hot_key(t):
+    """The same for three customers with all orders, each cut into segments."""
+    return _as_of(t, "o_custkey % 3", hot.HotPolicy(rows_per_task=400))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
+from ...context import materialize
 from ...operators import calendar as holiday_calendar
 from ...operators import features, ranges
 from .. import price_ranges
@@ -131,14 +134,50 @@ def range_export(t):
     f"""WITH {INTL_SQL}, {_MONTHLY_SQL}, pct AS (
   SELECT org || '_' || dst || '_OW_D_' || strftime("departDate", '%m') AS _id, quantile_disc(price, {_CUTS_SQL}) AS p
   FROM intl WHERE "departDate" IS NOT NULL AND "predictDate" > "departDate" - 180 AND "predictDate" <= "departDate" GROUP BY 1)
-SELECT coalesce(m._id, pct._id) AS _id, avg_low, avg_high, CAST(p[1] AS DOUBLE) AS p05, CAST(p[10] AS DOUBLE) AS p95
+SELECT coalesce(m._id, pct._id) AS _id, avg_low, avg_high, {', '.join(f'CAST(p[{i + 1}] AS DOUBLE) AS {p}' for i, p in enumerate(_P))}
 FROM monthly m FULL JOIN pct ON m._id = pct._id""",
 )
 def range_intl(t):
     past = features.international(intl_history(t), named_dates(t), holiday_calendar.build(holidays(t)))
     merged = price_ranges.international(past, averages_by_day(t))
     low, high = (F.get("priceRange_baseAvg", F.lit(i)) for i in (0, 1))
-    ends = [F.get("priceRange_basePercentile", F.lit(i))["value"] for i in (0, 9)]
-    return merged.select(
-        "_id", low.alias("avg_low"), high.alias("avg_high"), ends[0].alias("p05"), ends[1].alias("p95")
+    cells = [F.get("priceRange_basePercentile", F.lit(i))["value"].alias(p) for i, p in enumerate(_P)]
+    return merged.select("_id", low.alias("avg_low"), high.alias("avg_high"), *cells)
+
+
+_SKETCHED = (date(1996, 1, 1), date(1996, 6, 28))
+
+
+@query(
+    "q_range_sketch",
+    f"""WITH {_BY_DAY_SQL} SELECT route AS _id, count(*) AS prices, 10 AS within
+FROM by_day WHERE q BETWEEN DATE '{_SKETCHED[0]}' AND DATE '{_SKETCHED[1]}' GROUP BY route""",
+)
+def range_sketch(t):
+    """Ranges of 180 days from daily sketches: how many of the ten cut points lie within 3 % of their rank."""
+    prices = fares_by_day(t).withColumn("_id", F.substring_index("flineId", "-", 1))
+    sketches = materialize(ranges.daily_sketches(prices, ["_id"], "predictDate"), "sketches")
+    found = ranges.percentiles_of_sketches(sketches, ["_id"], "predictDate", *_SKETCHED)
+    asked = prices.filter(F.col("predictDate").between(*[F.lit(d) for d in _SKETCHED]))
+    joined = asked.join(F.broadcast(materialize(found, "sketched")), "_id")
+    at = [F.get("percentArray", F.lit(i)) for i in range(len(ranges.CUTS))]
+    ranks = joined.groupBy("_id").agg(
+        F.count("*").alias("prices"),
+        *[F.avg((F.col("price") < v).cast("int")).alias(f"_below{i}") for i, v in enumerate(at)],
+        *[F.avg((F.col("price") <= v).cast("int")).alias(f"_upto{i}") for i, v in enumerate(at)],
     )
+    near = [((F.col(f"_below{i}") <= c + 0.03) & (F.col(f"_upto{i}") >= c - 0.03)).cast("int") for i, c in enumerate(ranges.CUTS)]
+    return ranks.select("_id", "prices", sum(near[1:], near[0]).alias("within"))
+
+
+@query(
+    "q_text_pairs",
+    f"""WITH p AS (SELECT 'S' || l_suppkey AS _id, quantile_disc(CAST(trunc(l_extendedprice) AS INT), {_CUTS_SQL}) AS values FROM lineitem GROUP BY 1)
+SELECT _id, unnest({_LABELS_SQL}) AS label, CAST(unnest(values) AS VARCHAR) || '.0' AS value FROM p""",
+)
+def text_pairs(t):
+    """The published form: pairs of texts."""
+    prices = t.lineitem.withColumn("price", F.col("l_extendedprice").cast("int"))
+    found = ranges.as_text_pairs(ranges.by_percentile(prices, F.concat(F.lit("S"), "l_suppkey")))
+    pairs = found.select("_id", F.explode("priceRange_basePercentile").alias("p"))
+    return pairs.select("_id", F.get("p", F.lit(0)).alias("label"), F.get("p", F.lit(1)).alias("value"))

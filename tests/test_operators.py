@@ -1,11 +1,14 @@
+import hashlib
 import math
-from datetime import date, datetime
+import random
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from fareflow import schemas
 from fareflow.operators import calendar, encoding, enrich, features, forecast, labels, lifecycle, metrics, ml, ranges, windows
+from fareflow.operators.hot import DEFAULT, HotPolicy
 
 RUN = date(2019, 3, 1)
 
@@ -345,11 +348,6 @@ def test_pipeline_knows_unseen_categories(spark, tmp_path):
     assert got[0]["prediction"] == pytest.approx(13, abs=0.2) and len(got) == 2
 
 
-def test_too_many_categories_are_refused(spark):
-    with pytest.raises(ValueError):
-        ml.check_labels(spark.range(1000).selectExpr("cast(id as string) c"), ["c"], limit=100)
-
-
 def test_feature_ranking(spark):
     df = spark.range(400).selectExpr("id % 2 AS y", "id % 2 AS same", "id % 3 AS other")
     got = {r["feature"]: r for r in ml.rank_by_chi_square(df, ["same", "other"], "y").collect()}
@@ -372,3 +370,58 @@ def test_percentiles_are_exact_for_long_groups(spark):
     cuts = [0.05, 0.5, 0.95, 1.0]
     found = {r["k"]: r["percentArray"] for r in ranges.percentiles(prices, ["k"], cuts=cuts).collect()}
     assert found == {"a": [math.ceil(c * 150_000) - 1 for c in cuts], "b": [5] * 4, "c": None}
+
+
+@pytest.mark.parametrize("policy", [DEFAULT, HotPolicy(rows_per_task=5)])
+def test_as_of_next(spark, rows, policy):
+    days = lambda n: date(2019, 1, 1) + timedelta(days=n)
+    r = random.Random(4)
+    asked = [(i, r.choice(["x", "y", None]), r.choice([None, *map(days, range(40))])) for i in range(60)]
+    events = [(r.choice(["x", "x", "y", None]), r.choice([None, *map(days, range(0, 45, 3))]), i) for i in range(25)]
+    expected = []
+    for i, k, d in asked:
+        later = sorted((t, v) for n, t, v in events if d and t and n == k and k is not None and t >= d)
+        near = later and (later[0][0] - d).days <= 6
+        expected.append((i, k, d, *(later[0] if near else (None, None))))
+    df = spark.createDataFrame(asked, "id int, k string, d date")
+    told = spark.createDataFrame(events, "k string, t date, v int")
+    found = windows.as_of_next(df, told, ["k"], "d", "t", 6, policy)
+    assert found.columns == ["id", "k", "d", "t", "v"]
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+    assert windows.as_of_next(df, told.filter("false"), ["k"], "d", "t", None, policy).filter("t is not null").count() == 0
+    with pytest.raises(ValueError, match="both sides"):
+        windows.as_of_next(df, told.withColumnRenamed("v", "id"), ["k"], "d", "t")
+
+
+def test_list_fares_as_of_each_row(spark, rows):
+    raw = spark.createDataFrame([("A_B_2019-01-05_fd", "XX", 100), ("A_B_2019-02-05_fd", "XX", 200)], schemas.LIST_FARE)
+    df = spark.createDataFrame([("XX", "A", "B", date(2019, 1, d)) for d in (4, 5, 6)] + [("XX", "A", "B", date(2019, 3, 1))], "fc string, org string, dst string, queryDate date")
+    assert rows(enrich.with_list_fare_as_of(df, raw), "queryDate", "orgPrice") == [
+        (date(2019, 1, 4), 100), (date(2019, 1, 5), 100), (date(2019, 1, 6), 200), (date(2019, 3, 1), None)
+    ]
+    assert rows(enrich.with_list_fare_as_of(df, raw, max_days=7), "orgPrice") == [(None,), (None,), (100,), (100,)]
+
+
+@pytest.mark.parametrize("n", [0, 1, 49, 50, 51, 333, 999, 1000, 5000])
+def test_samples_of_any_size(spark, n):
+    # A third of the rows share one key, so their digits are equal to the end.
+    df = spark.range(1000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    tiny = HotPolicy(rows_per_task=50)
+    found = features.hash_sample(df, ["k"], n, tiny)
+    got = [r.k for r in found.collect()]
+    order = sorted((hashlib.md5(str(k).encode()).hexdigest(), k) for k in [7 if i % 3 == 0 else i for i in range(1000)])
+    assert sorted(got) == sorted(k for _, k in order[:n]) and found.columns == ["k", "id"]
+    drawn = features.sample_exactly(df, n, seed=3, policy=tiny).collect()
+    assert len(drawn) == min(n, 1000) == len({r.id for r in drawn})
+
+
+def test_range_sketches_of_few_prices_are_exact(spark, rows):
+    days = [date(2019, 1, 1), date(2019, 1, 2), date(2019, 3, 1)]
+    data = [("r", days[i % 2], 100 + i) for i in range(60)] + [("r", days[2], 9), ("s", days[0], None)]
+    df = spark.createDataFrame(data, "route string, day date, price int")
+    sketches = ranges.daily_sketches(df, ["route"], "day")
+    assert sketches.count() == 4
+    found = ranges.percentiles_of_sketches(sketches, ["route"], "day", days[0], days[1])
+    exact = ranges.percentiles(df.filter(F.col("day") < days[2]), ["route"])
+    got, expected = ({r.route: r.percentArray for r in x.collect()} for x in (found, exact))
+    assert got["s"] is None and all(abs(a - b) <= 1 for a, b in zip(got["r"], expected["r"]))
