@@ -242,7 +242,8 @@ def manifest(
         return empty
     small = _grown(placed)
     subroots = materialize(small.roots.join(sized(groups), "tree"), "merkle-subroots")
-    large = _grown(subroots.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("place"), "digest", F.col("tree").alias("of"), F.col("_name").alias("group")))
+    last = subroots.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("place"), "digest", F.col("tree").alias("of"), F.col("_name").alias("group"))
+    large = _grown(materialize(last, "merkle-last"))
     root = large.roots.first()["digest"]  # one row
     nothing = F.array().cast("array<string>")
     above = large.proofs(large.roots.select("tree", nothing.alias("lefts"), nothing.alias("rights")), ["of", "group", "digest"], [])
