@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
+import gc
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 from datetime import date, timedelta
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,38 +43,57 @@ def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSes
     return spark
 
 
-@cache
-def _local_root() -> str:
-    """One temporary folder per process, for local sessions without a shared one."""
-    return tempfile.mkdtemp(prefix="fareflow-")
+#: The part of the work folder that tables are written to just now, see :func:`scope`.
+_SCOPE: ContextVar[str] = ContextVar("scope", default="")
 
 
 def work_dir(spark: SparkSession, purpose: str = "run") -> str:
     """A fresh folder for intermediate tables that every executor can reach.
 
-    The parent is the application's own folder in ``spark.checkpoint.dir``.  Only
-    a session whose tasks run inside the driver may fall back to a temporary
-    folder, because only there do all tasks share it.
+    The parent is the application's own folder in ``spark.checkpoint.dir``, or in the
+    warehouse where that is not set.
     """
-    return f"{_own_root(spark)}/fareflow-{purpose}-{uuid.uuid4().hex}"
+    return "/".join(filter(None, [_own_root(spark), _SCOPE.get(), f"fareflow-{purpose}-{uuid.uuid4().hex}"]))
 
 
 def _own_root(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = _local_root()
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
     return f"{root.rstrip('/')}/fareflow-{spark.sparkContext.applicationId}"
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _forget(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of frames that are gone, which it does when the JVM notices."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+@contextmanager
+def scope(spark: SparkSession, name: str) -> Iterator[None]:
+    """Intermediate tables written inside go to a part of the work folder that is emptied first.
+
+    For the steps of a job: each writes its result elsewhere, and the next one starts
+    without what the last one left.
+    """
+    _delete(spark, f"{_own_root(spark)}/{name}")
+    _forget(spark)
+    token = _SCOPE.set(name)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+
+
 def clean_up(spark: SparkSession) -> None:
     """Remove all intermediate tables of this application, at the end of a job.
 
     Results that were not written elsewhere cannot be read afterwards.
     """
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_root(spark))
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, _own_root(spark))
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
@@ -87,6 +107,18 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Remove intermediate tables that :func:`materialize` wrote and nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        own = f"/{_own_root(spark).rsplit('/', 1)[1]}/"
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            if own in folder:
+                _delete(spark, folder)
+    if tables:
+        _forget(tables[0].sparkSession)
+
+
 @dataclass(frozen=True)
 class RunContext:
     """The date a job runs for.  Nothing in the package reads the clock."""
