@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..context import materialize
 from . import common
 
 #: Queries a task holds results for before it passes them on.
@@ -203,8 +204,10 @@ def nearest(
     query's own.  Ties go to the smaller id.  Rows without id, and vectors that
     are NULL, empty, zero or hold NULL or a number that is not finite, take no
     part; vectors of other lengths never meet.  Rows that share an id count as one
-    candidate, with the better score.  A query that finds fewer than ``k`` has
-    fewer rows, one that finds none has none; so has an empty table.
+    candidate, with the better score.  A query whose buckets held fewer than ``k``
+    candidates is compared with all rows, in blocks, so it misses one only if there
+    are fewer; one without any candidate has no rows, and so has an empty table.
+    Columns of the caller are left behind, whatever their names.
     """
     common.ship(vectors.sparkSession, 16384)
     rows = usable(vectors, id_col, vector_col)
@@ -212,10 +215,52 @@ def nearest(
     asked = _packed(rows.filter(is_query), index, True).select(
         "bucket", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"), F.col("dim").alias("query_dim")
     )
-    met = blocks.join(asked.hint("shuffle_merge"), "bucket").filter("dim = query_dim").select("ids", "vectors", "query_ids", "queries", "dim")
-    schema = common.arrow_schema("query_id long, vec_id long, score double")
-    found = met.mapInArrow(lambda batches: _meet(batches, k, schema), "query_id long, vec_id long, score double")
-    merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    merged = materialize(_met(blocks, asked, k), "neighbours")
+    full = merged.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= k).select(F.col("query_id").alias("_id"))
+    short = materialize(rows.filter(is_query).join(full, "_id", "left_anti"), "short-queries")
+    if not short.isEmpty():
+        merged = merged.unionByName(_compared_with_all(rows, short, k)).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = merged.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+def _met(blocks: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """``query_id, vec_id, score`` of the best candidates of each query in the buckets that both have."""
+    met = blocks.join(asked.hint("shuffle_merge"), "bucket").filter("dim = query_dim").select("ids", "vectors", "query_ids", "queries", "dim")
+    schema = common.arrow_schema("query_id long, vec_id long, score double")
+    found = met.mapInArrow(lambda batches: _meet(batches, k, schema), "query_id long, vec_id long, score double")
+    return found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+
+
+#: Queries of one block when all rows are compared.
+ALL_BLOCK = 1024
+
+
+def _compared_with_all(rows: DataFrame, short: DataFrame, k: int) -> DataFrame:
+    """:func:`_met` of some queries and all rows: every block of queries is a bucket that every block of rows is in."""
+    blocks = max(1, -(-short.count() // ALL_BLOCK))
+    schema = common.arrow_schema(BLOCK)
+
+    def pack(batches):
+        for part in common.slices(batches, 4096):
+            yield common.arrow_batch(_packed_by(part.column("_bucket").to_numpy(), part), schema)
+
+    asked = short.withColumn("_bucket", F.pmod(F.xxhash64("_id"), F.lit(blocks))).mapInArrow(pack, BLOCK)
+    asked = asked.select("bucket", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"), F.col("dim").alias("query_dim"))
+    every = rows.withColumn("_bucket", F.lit(0).cast("long")).mapInArrow(pack, BLOCK)
+    every = every.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    return _met(every, asked, k)
+
+
+def _packed_by(buckets: np.ndarray, batch: pa.RecordBatch) -> list:
+    """Packed blocks of a batch, one for each bucket and length."""
+    sizes = np.asarray(batch.column("_vector").value_lengths())
+    ids, out = batch.column("_id").to_numpy(), []
+    for bucket, dim in sorted(set(zip(buckets.tolist(), sizes.tolist()))):
+        rows = np.flatnonzero((buckets == bucket) & (sizes == dim))
+        flat = batch.column("_vector").take(pa.array(rows)).flatten().to_numpy()
+        out.append((bucket, ids[rows].astype("<i8").tobytes(), flat.astype("<f8").tobytes(), dim))
+    return list(zip(*out)) if out else [[], [], [], []]
+
+

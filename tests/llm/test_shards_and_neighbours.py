@@ -127,3 +127,18 @@ def test_an_id_with_many_rows_is_one_candidate(spark, equal):
         found = neighbours.nearest(vectors, F.col("_id") == 0, index=index).orderBy("rank").collect()
         assert [r.vec_id for r in found] == best
         assert [r.score for r in found] == pytest.approx([scores[i] for i in best], abs=1e-12)
+
+
+def test_few_candidates_are_all_found(spark, monkeypatch):
+    """Vectors of 30 lengths, four of each, one a query: the three others of its length are its answer."""
+    monkeypatch.setattr(neighbours, "ALL_BLOCK", 7)
+    r = np.random.default_rng(5)
+    rows = [(100 * d + i, [float(x) for x in r.normal(size=d)]) for d in range(1, 31) for i in (0, 1, 2, 3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.nearest(df, F.col("_id") % 100 == 0, k=5).collect()
+    of = dict(rows)
+    assert len(found) == 90
+    for q in range(100, 3100, 100):
+        cosine = {i: np.dot(of[q], of[i]) / np.linalg.norm(of[q]) / np.linalg.norm(of[i]) for i in (q + 1, q + 2, q + 3)}
+        got = sorted((x for x in found if x.query_id == q), key=lambda x: x["rank"])
+        assert [x.vec_id for x in got] == sorted(cosine, key=lambda i: (-round(cosine[i], 12), i))
