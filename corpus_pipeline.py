@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.context import materialize
+from fareflow.context import discard, materialize, scope
 from fareflow.llm import lines, packing, passages, simhash, toxicity
 from fareflow.llm.queries import TOXIC, toxicity_model
 from fareflow.operators.joins import sized
@@ -63,12 +63,22 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def _tidy(stage):
+    """The stage, starting without the intermediate tables of the one before, whose result is written by then."""
+
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with scope(spark, "pipeline"):
+            return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("line dedup", drop_lines),
-    ("SimHash near-dedup", drop_near_duplicates),
-    ("substring dedup", drop_passages),
-    ("packing", pack),
+    ("toxicity", _tidy(drop_toxic)),
+    ("line dedup", _tidy(drop_lines)),
+    ("SimHash near-dedup", _tidy(drop_near_duplicates)),
+    ("substring dedup", _tidy(drop_passages)),
+    ("packing", _tidy(pack)),
 ]
 
 #: A trained model, components and a tokenizer are beyond SQL; tests hold the stages against brute force.
@@ -77,7 +87,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``; each stage's rows are written to the shared work folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        discard(*before)
+        before = [docs]
     return docs
