@@ -1,14 +1,16 @@
 """I-Match fingerprints from terms of middling document frequency (operator 8).
 
-A term is a word, known by a 64-bit hash whose top bits choose its *cell*.  One
-pass counts for each cell the documents that hold a term of it; cells held by a
-share of the documents within a band form the lexicon.  So the statistics of any
-corpus fit a table of ``2 ** CELL_BITS`` counts, and the lexicon a bit map of as
-many bits, which every task gets as one value.
+A term is a word, known by a 64-bit hash.  The documents that hold each term are
+counted exactly; terms held by a share of the documents within a band form the
+lexicon.  A term in the band is in a fixed share of all documents, so a lexicon
+has at most (distinct terms of a document) / (that share) terms, whatever the
+corpus; it is broadcast where it is measured to be small and shuffled otherwise.
 
 A text's distinct lexicon terms are sorted and hashed once for each of several
 random subsets of the lexicon.  Subsets of several densities serve short and long
-texts: dense ones tell short texts apart, thin ones let long texts agree.
+texts: dense ones tell short texts apart, thin ones let long texts agree.  Terms
+are rows here: each meets the lexicon, goes to its subsets, and is gathered again
+by text and subset, all within the one partition its text was dealt to.
 """
 
 from __future__ import annotations
@@ -16,17 +18,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..context import materialize
+from ..context import discard, materialize
 from ..operators.joins import sized
 
-#: Cells of the vocabulary: 2 ** 20 counts, a bit map of 128 KiB.
-CELL_BITS = 20
-#: The band: a cell belongs to the lexicon if this share of the documents, at least and at most, holds a term of it.
+#: The band: a term belongs to the lexicon if this share of the documents, at least and at most, holds it.
 BAND = (0.0002, 0.05)
 #: Subsets: of 2 ** bits parts of the lexicon, how many are fingerprinted.
 SUBSETS = ((3, 8), (6, 24), (8, 32), (10, 32))
-#: What an empty subset shows in a fingerprint.
-EMPTY = "-"
+#: Numbers that stand for no subset: all lexicon terms, and all terms of a text.
+WHOLE, EVERY = 254, 255
 #: Where rows without id stand in the order: before all others.
 LEAST = -(1 << 63)
 #: Fixed value: words are what stands between these.
@@ -40,71 +40,65 @@ def terms(text: Column) -> Column:
     return F.array_distinct(bare)
 
 
-def _cell(term: str) -> str:
-    return f"cast(shiftrightunsigned({term}, {64 - CELL_BITS}) as int)"
-
-
-def lexicon(held: DataFrame, documents: int, band: tuple[float, float] = BAND) -> Column:
-    """The bit map of the lexicon's cells, 64 to a number, as a constant.
-
-    ``held`` has an array ``terms`` for each of all ``documents`` documents.
-    """
-    cells = held.select(F.explode(F.expr(f"array_distinct(transform(terms, t -> {_cell('t')}))")).alias("cell"))
-    counted = cells.groupBy("cell").agg(F.count("*").alias("n"))
+def lexicon(rows: DataFrame, documents: int, band: tuple[float, float] = BAND) -> DataFrame:
+    """``lexicon_term``: the terms held by a share of all ``documents`` documents within the band."""
+    held = rows.select(F.explode(terms(F.col("text"))).alias("lexicon_term"))
     low, high = (share * documents for share in band)
-    inside = counted.filter((F.col("n") >= low) & (F.col("n") <= max(high, 1.0)))
-    numbers = inside.groupBy(F.expr("cell div 64").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cell % 64))").alias("bits"))
-    # 2 ** CELL_BITS / 64 rows at most, whatever the corpus.
-    found = dict(numbers.collect())
-    written = ",".join(str(found.get(at, 0)) for at in range((1 << CELL_BITS) // 64))
-    return F.split(F.lit(written), ",").cast("array<bigint>")
-
+    counted = held.groupBy("lexicon_term").agg(F.count("*").alias("n"))
+    return counted.filter((F.col("n") >= low) & (F.col("n") <= max(high, 1.0))).select("lexicon_term")
 
-def _part(term: Column, level: int) -> Column:
-    """Which part of the lexicon a term belongs to; each level has bits of the hash of its own."""
-    below = sum(bits for bits, _ in SUBSETS[:level])
-    return F.shiftrightunsigned(term, below).bitwiseAND(F.lit((1 << SUBSETS[level][0]) - 1))
 
+def _subsets(term: Column) -> Column:
+    """Numbers of the subsets a lexicon term is in, one of a level at most; each level has bits of the hash of its own."""
+    found, below, before = [F.lit(WHOLE)], 0, 0
+    for bits, count in SUBSETS:
+        part = F.shiftrightunsigned(term, below).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
+        found.append(F.when(part < count, part + before))
+        below, before = below + bits, before + count
+    return F.array_compact(F.array(*found))
 
-def _mark(members: Column) -> Column:
-    """A number for a set of sorted terms: odd, or 0 if there are none."""
-    return F.when(F.size(members) == 0, 0).otherwise(F.xxhash64(members).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").bitwiseOR(F.lit(1)))
 
+def fingerprints(rows: DataFrame, on: list[str], texts: dict[str, str], known: DataFrame) -> DataFrame:
+    """``on`` and, for each text column, a struct of that name: ``whole`` and the sorted ``marks`` of its subsets.
 
-def _marks(members: Column, level: int) -> Column:
-    """A mark for each subset of a level, from the sorted terms of all its subsets."""
-    subsets = F.sequence(F.lit(0), F.lit(SUBSETS[level][1] - 1))
-    return F.transform(subsets, lambda j: _mark(F.filter(members, lambda t: _part(t, level) == j)))
-
-
-def fingerprint(rows: DataFrame, text_col: str, lexicon_map: Column, name: str) -> DataFrame:
-    """``rows`` with ``name``: a struct of the hash of all lexicon terms (``whole``) and the subsets' ``marks``.
-
-    A text without lexicon terms is known by all its terms.
+    ``whole`` is the hash of all lexicon terms, or of all terms where a text has none
+    in the lexicon.  A mark is a subset's number, then 31 bits of the hash of its
+    terms.  ``rows`` has one row for each ``on`` and should be dealt by it: then
+    nothing is shuffled here but a lexicon too large to broadcast.  ``texts`` maps
+    result names to columns.
     """
-    def known(t: Column) -> Column:
-        number = F.get(lexicon_map, F.shiftrightunsigned(t, 64 - CELL_BITS + 6).cast("int"))
-        return F.getbit(number, F.shiftrightunsigned(t, 64 - CELL_BITS).bitwiseAND(F.lit(63)).cast("int")) == 1
-
-    step = rows.withColumn("_terms", F.sort_array(terms(F.col(text_col)))).withColumn("_found", F.filter("_terms", known))
-    whole = F.xxhash64(F.when(F.size("_found") > 0, F.col("_found")).otherwise(F.col("_terms")))
-    levels = {f"_level{i}": F.filter("_found", lambda t: _part(t, i) < SUBSETS[i][1]) for i in range(len(SUBSETS))}
-    marks = F.concat(*(_marks(F.col(f"_level{i}"), i) for i in range(len(SUBSETS))))
-    made = step.withColumns(levels).withColumn(name, F.struct(whole.alias("whole"), marks.alias("marks")))
-    return made.drop("_terms", "_found", *levels)
+    sides = F.array(*[F.struct(F.lit(i).alias("side"), F.col(c).alias("text")) for i, c in enumerate(texts.values())])
+    each = rows.select(*on, F.inline(sides)).select(*on, "side", F.sort_array(terms(F.col("text"))).alias("terms"))
+    # Behind the terms stands the hash of them all.
+    every = each.select(*on, "side", F.size("terms").alias("n"), F.concat("terms", F.array(F.xxhash64("terms"))).alias("terms"))
+    long = every.select(*on, "side", "n", F.posexplode("terms").alias("at", "term"))
+    last = F.col("at") == F.col("n")
+    met = long.join(sized(known), (F.col("term") == F.col("lexicon_term")) & ~last, "left").filter(last | F.col("lexicon_term").isNotNull())
+    dealt = met.select(*on, "side", "term", F.explode(F.when(last, F.array(F.lit(EVERY))).otherwise(_subsets(F.col("term")))).alias("subset"))
+    hashed = dealt.groupBy(*on, "side", "subset").agg(F.sort_array(F.collect_list("term")).alias("members"))
+    value = F.when(F.col("subset") == EVERY, F.get("members", F.lit(0))).otherwise(F.xxhash64("members"))
+    hashed = hashed.select(*on, "side", "subset", value.alias("hash"))
+    mark = F.shiftleft(F.col("subset").cast("long"), 32).bitwiseOR(F.col("hash").bitwiseAND(F.lit(0x7FFFFFFF)))
+    made = []
+    for i, name in enumerate(texts):
+        of = F.col("side") == i
+        whole, every_ = (F.max(F.when(of & (F.col("subset") == n), F.col("hash"))) for n in (WHOLE, EVERY))
+        marks = F.sort_array(F.collect_list(F.when(of & (F.col("subset") < WHOLE), mark)))
+        made.append(F.struct(F.coalesce(whole, every_).alias("whole"), marks.alias("marks")).alias(name))
+    return hashed.groupBy(*on).agg(*made)
 
 
 def written(print_: Column) -> Column:
     """A fingerprint as text."""
-    marks = F.transform(print_["marks"], lambda m: F.when(m == 0, EMPTY).otherwise(F.lpad(F.lower(F.hex(m)), 8, "0")))
+    marks = F.transform(print_["marks"], lambda m: F.lpad(F.lower(F.hex(m)), 10, "0"))
     return F.concat(F.lpad(F.lower(F.hex(print_["whole"])), 16, "0"), F.lit(":"), F.array_join(marks, ""))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """1 where all terms agree; else the share of the subsets with terms in either text that agree."""
-    both = F.zip_with(a["marks"], b["marks"], lambda x, y: F.when((x == 0) & (y == 0), 0).when(x == y, 1).otherwise(2))
-    same = F.size(F.filter(both, lambda v: v == 1))
-    either = F.size(F.filter(both, lambda v: v > 0))
+    subsets = lambda p: F.transform(p["marks"], lambda m: F.shiftright(m, 32))
+    same = F.size(F.array_intersect(a["marks"], b["marks"]))
+    either = F.size(F.array_union(subsets(a), subsets(b)))
     return F.when(a["whole"] == b["whole"], 1.0).when(either == 0, 0.0).otherwise(same / either)
 
 
@@ -155,7 +149,7 @@ def compare_with_edited(
     rows = docs.select(own_key, text.alias("text"), F.xxhash64(text).alias("version"))
     # The corpus: what every document holds.
     documents = rows.count()
-    lexicon_map = lexicon(rows.select(terms(F.col("text")).alias("terms")), documents, band)
+    known = materialize(lexicon(rows, documents, band), "lexicon")
     keys = rows.select("doc_key", "version", F.char_length("text").alias("n")).distinct()
     ring = materialize(_neighbours(keys), "ring")
     repeats = ring.count() < documents
@@ -171,14 +165,11 @@ def compare_with_edited(
         heads = heads.groupBy(*on).agg(F.min("head").alias("head"))
     edited = F.expr("concat(substring(text, 1, char_length(text) - cast(char_length(text) div 2 as int)), head)")
     made = placed.join(heads, on).select(*on, "next_key", "next_version", "text", edited.alias("edited"))
-    made = fingerprint(fingerprint(made, "text", lexicon_map, "print"), "edited", lexicon_map, "edited_print")
-    made = materialize(
-        made.select(
-            *on, "next_key", "next_version", F.char_length("text").cast("long").alias("n_chars"),
-            F.sha2("edited", 256).alias("edited_sha256"), "print", "edited_print",
-        ),
-        "fingerprints",
-    )
+    one = made.dropDuplicates(on) if repeats else made
+    prints = fingerprints(one, on, {"print": "text", "edited_print": "edited"}, known)
+    made = made.select(*on, "next_key", "next_version", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
+    made = materialize(made.join(prints, on), "fingerprints")
+    discard(known, ring)  # and the shuffled texts with them
     after = made.select(F.col("doc_key").alias("next_key"), F.col("version").alias("next_version"), F.col("print").alias("next_print"))
     if repeats:
         after = after.dropDuplicates(["next_key", "next_version"])

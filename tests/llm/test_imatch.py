@@ -33,23 +33,19 @@ def hash_all(numbers):
     return seed
 
 
-def cell(t):
-    return (t % (1 << 64)) >> (64 - imatch.CELL_BITS)
-
-
 def prints(texts, corpus):
-    held = Counter(c for t in corpus for c in {cell(x) for x in hash_words(t)})
+    held = Counter(t for text in corpus for t in hash_words(text))
     low, high = BAND[0] * len(corpus), max(1.0, BAND[1] * len(corpus))
     out = []
     for text in texts:
         terms = hash_words(text)
-        found = [t for t in terms if low <= held[cell(t)] <= high]
-        marks, shift = "", 0
+        found = [t for t in terms if low <= held[t] <= high]
+        marks, shift, number = "", 0, 0
         for bits, subsets in imatch.SUBSETS:
             for j in range(subsets):
                 members = [t for t in found if (t % (1 << 64)) >> shift & ((1 << bits) - 1) == j]
-                marks += f"{hash_all(members) & 0x7FFFFFFF | 1:08x}" if members else imatch.EMPTY
-            shift += bits
+                marks += f"{(number + j) << 32 | hash_all(members) & 0x7FFFFFFF:010x}" if members else ""
+            shift, number = shift + bits, number + subsets
         out.append(f"{hash_all(found or terms):016x}:{marks}")
     return out
 
@@ -99,10 +95,21 @@ def test_no_python_in_the_plan(spark, capsys):
     assert "Python" not in text and "Arrow" not in text
 
 
-@pytest.mark.parametrize(("a", "b", "expected"), [([0, 0], [0, 0], 0.0), ([3, 0], [3, 5], 0.5), ([3, 0], [5, 0], 0.0)])
+def test_no_term_outside_the_band_enters(spark):
+    r = random.Random(2)
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(r.choices(words[: 1 + i % 300], k=20)) for i in range(400)]
+    held = Counter(w for t in texts for w in set(t.split()))
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = {x[0] for x in imatch.lexicon(rows, 400, (0.01, 0.1)).collect()}
+    assert found == {signed(xxhash.xxh64_intdigest(w.encode(), seed=42)) for w, n in held.items() if 4 <= n <= 40}
+    assert 50 < len(found) < 300
+
+
+@pytest.mark.parametrize(("a", "b", "expected"), [([], [], 0.0), ([3], [3, 5 << 32], 0.5), ([3], [5], 0.0), ([3, 1 << 32], [5, 1 << 32], 0.5)])
 def test_likeness(spark, a, b, expected):
     from pyspark.sql import functions as F
 
-    rows = spark.createDataFrame([((1, a), (2, b))], "a struct<whole: long, marks: array<int>>, b struct<whole: long, marks: array<int>>")
+    rows = spark.createDataFrame([((1, a), (2, b))], "a struct<whole: long, marks: array<long>>, b struct<whole: long, marks: array<long>>")
     assert rows.select(imatch.likeness(F.col("a"), F.col("b"))).first()[0] == expected
     assert rows.select(imatch.likeness(F.col("a"), F.col("a"))).first()[0] == 1.0
