@@ -47,9 +47,10 @@ def haversine_km(lon1, lat1, lon2, lat2) -> Column:
     return 2 * F.asin(F.sqrt(F.when(a > 1, 1.0).otherwise(a))) * EARTH_RADIUS_KM
 
 
-def distance_km(lon1, lat1, lon2, lat2) -> Column:
-    """Great-circle distance in whole km, rounded up."""
-    return F.ceil(haversine_km(lon1, lat1, lon2, lat2)).cast("int")
+def distance_km(lon1, lat1, lon2, lat2, digits: int | None = None) -> Column:
+    """Great-circle distance in whole km, rounded up, or rounded to ``digits`` decimals."""
+    exact = haversine_km(lon1, lat1, lon2, lat2)
+    return F.ceil(exact).cast("int") if digits is None else F.round(exact, digits)
 
 
 def percent(text: Column | str) -> Column:
@@ -101,3 +102,8 @@ def buckets(layout: dict) -> dict[str, Column]:
 def hash_bucket(value: Column | str, count: int = 60) -> Column:
     """Hash bucket 0…count-1."""
     return F.pmod(F.hash(value), F.lit(count))
+
+
+def document(fields: dict[str, Column | str]) -> Column:
+    """A JSON document of some columns, in the given order; NULL fields are left out."""
+    return F.to_json(F.struct(*[_c(c).alias(name) for name, c in fields.items()]))

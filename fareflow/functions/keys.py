@@ -120,26 +120,6 @@ def resolve_depart_date(query: Column | str, month_day: Column | str, on_equal:
     return iso_date(F.concat(year.cast("string"), F.lit("-"), month_day))
 
 
-def resolve_symbolic(
-    df: DataFrame, names: DataFrame, text: str, query: str, out: str = "departDate"
-) -> DataFrame:
-    """Departure date of an id tail that is either ``MM-dd`` or a symbolic name.
-
-    ``names(dateDesc, date)`` maps a year-qualified name (``2018-Spring-8``) to
-    its date.  The year is put in front with the international rule first, the
-    same way for both kinds of tail, so names compare as text with ``MM-dd``.
-    """
-    from ..operators.joins import lookup_join
-
-    seen = F.date_format(query, "MM-dd")
-    year = F.year(query) + F.when(F.col(text) > seen, 0).otherwise(1)
-    described = df.withColumn("dateDesc", F.concat(year.cast("string"), F.lit("-"), F.col(text)))
-    joined = lookup_join(described, names.select("dateDesc", F.col("date").alias("_named")), ["dateDesc"], "left")
-    return joined.withColumn(
-        out, F.coalesce("_named", iso_date("dateDesc"))
-    ).drop("_named", "dateDesc")
-
-
 def admitted(id_col: Column | str) -> Column:
     """International ids worth reading: a date part, no detail pages, no commas."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col

@@ -77,7 +77,7 @@ def international(
     """
     priced = raw.filter(F.col("price") > 0).withColumn("price", F.col("price").cast("int"))
     parsed = ids.parse_international(priced).filter(F.col("cabin") == cabin)
-    dated = ids.resolve_symbolic(parsed, names, "depart_text", "predictDate")
+    dated = holiday_calendar.resolve_symbolic(parsed, names, "depart_text", "predictDate")
     return holiday_calendar.attach_international(
         dated.drop("flineId", "cabin", "depart_text"), calendar, "departDate"
     ).dropna()

@@ -12,6 +12,7 @@ from ..functions import dates, fares, keys as ids
 from ..schemas import MAX_PRICE
 from . import windows
 from .features import international_dates
+from .hot import DEFAULT, HotPolicy
 from .joins import lookup_join
 
 
@@ -135,6 +136,27 @@ def series(df: DataFrame, keys: list[str], order: list[str], value: str, part: C
     return df.groupBy(*keys, part.alias("part")).agg(content).select(*keys, "part", "content")
 
 
+#: Rows of one part of a series.
+PART_ROWS = 10_000
+
+
+def series_in_parts(
+    df: DataFrame, keys: list[str], order: list[str], value: str, rows: int = PART_ROWS, policy: HotPolicy = DEFAULT
+) -> DataFrame:
+    """:func:`series` in parts of ``rows`` rows, numbered from 0 for each key.
+
+    The places of rows come from :func:`~fareflow.operators.windows.position`, which
+    cuts hot keys, so no task and no array holds more than a part of a key however
+    long its series is; joined by ``part`` the arrays are the series.
+    """
+    placed = windows.position(df.select(*keys, *order, value), keys, order, "_place", policy)
+    part = F.floor(F.col("_place") / rows).cast("long").alias("part")
+    content = F.array_sort(F.collect_list(F.struct("_place", *order, value)))
+    whole = placed.groupBy(*keys, part).agg(content.alias("content"))
+    names = [*order, value]
+    return whole.withColumn("content", F.transform("content", lambda x: F.struct(*[x[n].alias(n) for n in names])))
+
+
 def publish_scores(df: DataFrame, run_date: date, threshold: float = 0.6, score: str = "rawPred") -> DataFrame:
     """Published form of scores: ``_id``, its parts, the run date and a 0/1 trend.
 

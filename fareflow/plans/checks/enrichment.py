@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ...functions import fares
 from ...operators import calendar as holiday_calendar
 from ...operators import enrich, features, forecast, hot, labels, windows
 from ...schemas import INDEXED, MODEL_COLUMNS, indexed_name
@@ -100,6 +101,22 @@ def geo_enrich(t):
     return enrich.with_distance(itineraries(t).select(*_LINE, "org", "dst"), airports(t))
 
 
+_EXACT_SQL = """2 * 6371 * asin(sqrt(least(1, pow(sin(radians(b.latitude - a.latitude) / 2), 2)
+    + cos(radians(a.latitude)) * cos(radians(b.latitude)) * pow(sin(radians(b.longitude - a.longitude) / 2), 2))))"""
+
+
+@query(
+    "q_distance_decimals",
+    f"""WITH {ITINERARIES_SQL}, {AIRPORTS_SQL}, pairs AS (SELECT DISTINCT org, dst FROM itineraries)
+SELECT org, dst, round({_EXACT_SQL}, 2) AS distance FROM pairs JOIN airports a ON org = a.code JOIN airports b ON dst = b.code""",
+)
+def distance_decimals(t):
+    """Distances of all routes to two decimals."""
+    located = enrich.with_distance(itineraries(t).select("org", "dst").distinct(), airports(t))
+    ends = ("org_longitude", "org_latitude", "dst_longitude", "dst_latitude")
+    return located.select("org", "dst", fares.distance_km(*ends, digits=2).alias("distance"))
+
+
 def _enriched_sql(rows: str) -> str:
     return f"""SELECT r.*, {_ENDS_SQL}, {DISTANCE_SQL} AS distance, "orgPrice",
     CASE WHEN "orgPrice" <> 0 THEN CAST(round(CAST(CAST(price / "orgPrice" AS VARCHAR) AS DECIMAL(38, 18)), 2) AS DOUBLE) END AS discount,

@@ -6,7 +6,11 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from ...context import RunContext, work_dir
 from ...operators import forecast
+from ...operators.hot import HotPolicy
+from ...sinks import manifests
+from .. import publication
 from .registry import ITINERARIES_SQL, RUN, RUN_SQL, Tables, itineraries, query
 
 
@@ -81,6 +85,46 @@ def collect_series(t):
     return found.withColumn("content", F.array_join(text, ","))
 
 
+_PART = 7
+
+
+@query(
+    "q_series_in_parts",
+    f"""WITH e AS (SELECT user_id % 5 AS u, CAST(ts AS DATE) AS day, event_id, CAST(trunc(value) AS INT) AS v FROM events),
+n AS (SELECT *, (row_number() OVER (PARTITION BY u ORDER BY day, event_id) - 1) // {_PART} AS part FROM e)
+SELECT u, part, count(*) AS rows, string_agg(day || '=' || v, ',' ORDER BY day, event_id) AS content FROM n GROUP BY u, part""",
+)
+def series_in_parts(t):
+    """Series of five users with all events, in parts of seven rows, with users cut into segments."""
+    seen = t.events.select((F.col("user_id") % 5).alias("u"), F.to_date("ts").alias("day"), "event_id", F.col("value").cast("int").alias("v"))
+    found = forecast.series_in_parts(seen, ["u"], ["day", "event_id"], "v", _PART, HotPolicy(rows_per_task=500))
+    text = F.transform("content", lambda x: F.concat_ws("=", x["day"].cast("string"), x["v"].cast("string")))
+    return found.select("u", "part", F.size("content").cast("long").alias("rows"), F.array_join(text, ",").alias("content"))
+
+
+@query(
+    "q_publication",
+    f"""WITH {ITINERARIES_SQL}, scored AS (SELECT fn || '_' || org || '_' || dst || '_' || "departDate" AS _id, fn, org, dst, l_linenumber,
+    max(CAST(("departDate" - "queryDate") / 50.0::DOUBLE > 0.6 AS INT)) AS trend, "departDate" FROM itineraries GROUP BY ALL),
+one AS (SELECT _id, fn, org, dst, {RUN_SQL} - 60 AS "queryDate", max(trend) AS trend, "departDate" FROM scored WHERE l_linenumber <= 4 GROUP BY ALL),
+two AS (SELECT _id, fn, org, dst, {RUN_SQL} AS "queryDate", max(trend) AS trend, "departDate" FROM scored WHERE l_linenumber >= 3 GROUP BY ALL),
+kept AS (SELECT * FROM two UNION ALL SELECT * FROM one WHERE "departDate" >= {RUN_SQL} - 60 AND _id NOT IN (SELECT _id FROM two))
+SELECT * EXCLUDE ("departDate"), 2 AS states FROM kept WHERE "departDate" >= {RUN_SQL}""",
+)
+def published(t):
+    """Two runs, sixty days apart: results replaced, departed ones gone, the first run's states expired."""
+    root = work_dir(t.spark, "publication")
+    scored = itineraries(t).withColumns({"city_code": F.concat_ws("_", "org", "dst"), "rawPred": F.datediff("departDate", "queryDate") / 50})
+    best = scored.groupBy("fn", "city_code", "departDate", "l_linenumber").agg(F.max("rawPred").alias("rawPred"))
+    for lines, back in ((F.col("l_linenumber") <= 4, 60), (F.col("l_linenumber") >= 3, 0)):
+        run = RunContext(RUN.shift(-back))
+        one = best.filter(lines).groupBy("fn", "city_code", "departDate").agg(F.max("rawPred").alias("rawPred"))
+        table = publication.publish_scores(root, one, run)
+    states = len(manifests.Folder(t.spark, root).numbers())
+    # The table was made by a state without a day, which stays.
+    return table.read().withColumn("states", F.lit(states - 1))
+
+
 @query(
     "q_publish_scores",
     f"""WITH {ITINERARIES_SQL}

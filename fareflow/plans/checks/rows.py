@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...functions import dates, fares, keys as ids
+from ...operators import calendar as holiday_calendar
 from ...operators import features, metrics
 from ...schemas import MISSING
 from .registry import (
@@ -130,7 +131,7 @@ def symbolic_dates(t):
         .otherwise(F.date_format(F.date_add("o_orderdate", 20), "MM-dd"))
     )
     seen = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("seen"), tail.alias("tail"))
-    return ids.resolve_symbolic(seen, named_dates(t), "tail", "seen")
+    return holiday_calendar.resolve_symbolic(seen, named_dates(t), "tail", "seen")
 
 
 @query(
@@ -281,12 +282,8 @@ def domestic_history(t):
 FROM supplier""",
 )
 def to_json(t):
-    doc = F.struct(
-        F.col("s_name").alias("name"),
-        F.col("s_nationkey").alias("nation"),
-        F.array("s_suppkey", F.col("s_nationkey").cast("long")).alias("pair"),
-    )
-    return t.supplier.select("s_suppkey", F.to_json(doc).alias("doc"))
+    pair = F.array("s_suppkey", F.col("s_nationkey").cast("long"))
+    return t.supplier.select("s_suppkey", fares.document({"name": "s_name", "nation": "s_nationkey", "pair": pair}).alias("doc"))
 
 
 @query("q_hash_bucket_rules", "SELECT p_name, 1::BIGINT AS buckets, true AS in_range FROM part GROUP BY p_name")

@@ -12,6 +12,7 @@ from ..operators import calendar as holiday_calendar
 from ..operators import encoding, enrich, features, forecast, labels, lifecycle
 from ..operators.hot import DEFAULT, HotPolicy
 from ..schemas import BASE_COLUMNS, INDEXED, MODEL_COLUMNS, indexed_name
+from ..sources import documents
 
 #: A sample is known by its itinerary and the day it was queried.
 SAMPLE_KEY = BASE_COLUMNS
@@ -106,3 +107,44 @@ def run_stored(
     table = lifecycle.append_stored(path, today, SAMPLE_KEY, ctx.run_date)
     history = features.clean_history(table.read().select(*today.columns))
     return history, *_tables(history, online_prices, dims, ctx)
+
+
+@dataclass(frozen=True)
+class Documents:
+    """The raw documents of one run, one JSON text per row in a column ``doc``, and the holiday table."""
+
+    low_prices: DataFrame
+    online_prices: DataFrame
+    airports: DataFrame
+    list_fares: DataFrame
+    seats: DataFrame
+    flight_info: DataFrame
+    holidays: DataFrame
+
+    def dimensions(self) -> Dimensions:
+        return Dimensions(
+            documents.airports(self.airports),
+            documents.list_fares(self.list_fares),
+            documents.seat_snapshots(self.seats),
+            documents.flight_info(self.flight_info),
+            self.holidays,
+        )
+
+
+def run_documents(path: str, raw: Documents, ctx: RunContext) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """:func:`run_stored` from the documents as they arrive.
+
+    Documents are parsed once: the prices and dimensions they hold are written down,
+    and the job reads those.
+    """
+    low = materialize(documents.low_prices(raw.low_prices), "low-prices")
+    online = materialize(documents.low_prices(raw.online_prices), "online-prices")
+    dims = raw.dimensions()
+    dims = Dimensions(
+        materialize(dims.airports, "airports"),
+        materialize(dims.list_fares, "list-fares"),
+        materialize(dims.seats, "seats"),
+        materialize(dims.flight_info, "flight-info"),
+        dims.holidays,
+    )
+    return run_stored(path, low, online, dims, ctx)

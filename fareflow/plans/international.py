@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..context import RunContext, materialize, work_dir
 from ..operators import calendar as holiday_calendar
-from ..operators import features, forecast, ml
+from ..operators import features, forecast, metrics, ml
 from ..operators.hot import DEFAULT, HotPolicy
 
 
@@ -44,3 +47,12 @@ def predictions(past: DataFrame, holidays: DataFrame, run: RunContext, order: li
 def forecast_summary(past: DataFrame, holidays: DataFrame, run: RunContext, order: list[str]) -> DataFrame:
     """Low, high and departure-day prediction of every itinerary ahead."""
     return forecast.summary(predictions(past, holidays, run, order))
+
+
+def evaluate(past: DataFrame, day: date) -> DataFrame:
+    """``rows, mape``: a model fitted on departures before ``day``, judged on the later ones it has not seen."""
+    train, held = features.time_split(past, "departDate", day, ">=")
+    encoder = ml.fit_price_encoder(train)
+    model = ml.fit_price(encoder.transform(train))
+    scored = materialize(model.transform(encoder.transform(held)).select("price", "prediction"), "evaluated")
+    return metrics.mape(scored, "price", "prediction").withColumn("rows", F.lit(scored.count())).select("rows", "mape")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fareflow.functions import dates, fares, keys
+from fareflow.operators import calendar
 
 
 def one(spark, value, *columns):
@@ -71,7 +72,7 @@ def test_symbolic_dates(spark, rows):
         [("Spring-8", date(2018, 1, 3)), ("Spring-8", date(2019, 1, 3)), ("01-03", date(2018, 1, 3)), ("02-01", date(2018, 1, 3))],
         "tail string, seen date",
     )
-    got = rows(keys.resolve_symbolic(df, names, "tail", "seen"), "tail", "seen", "departDate")
+    got = rows(calendar.resolve_symbolic(df, names, "tail", "seen"), "tail", "seen", "departDate")
     assert got == [
         ("01-03", date(2018, 1, 3), date(2019, 1, 3)),
         ("02-01", date(2018, 1, 3), date(2018, 2, 1)),

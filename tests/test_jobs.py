@@ -1,5 +1,6 @@
 """The composed daily jobs on a small hand-made world."""
 
+import json
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -65,6 +66,30 @@ def test_two_days_on_a_stored_history(spark, world, rows, tmp_path):
     assert rows(train) == rows(known)
 
 
+def test_a_run_from_documents(spark, world, rows, tmp_path):
+    low, online, dims = world
+    texts = lambda objects: spark.createDataFrame([(json.dumps(o),) for o in objects], "doc string")
+
+    def price_docs(df):
+        found = {}
+        for r in df.collect():
+            found.setdefault(r["id"], {"_id": r["id"], "dairport": r["org"], "aairport": r["dst"]})[str(r["queryDate"])] = str(r["price"])
+        return texts(found.values())
+
+    raw = domestic.Documents(
+        price_docs(low),
+        price_docs(online),
+        texts([{"_id": "AAA", "latitude": "30.67", "longitude": "104.071"}, {"_id": "BBB", "latitude": "28.765", "longitude": "104.622"}]),
+        texts([{"_id": "AAA_BBB_2019-03-02_fd", "XX": {"Y": {"price": "1200"}}}]),
+        texts([{"_id": "XX1_AAA_BBB_02-28", "fc": {"2019-02-10 09:00:00": "85%"}}]),
+        texts([{"_id": "AAA_BBB_XX1_2019-03-05", "origindeparttime": "08:15", "originarrivetime": "10:40", "isshare": "True"}]),
+        dims.holidays,
+    )
+    assert rows(raw.dimensions().airports) == rows(dims.airports)
+    history, train, ahead = domestic.run_documents(str(tmp_path / "d"), raw, RUN)
+    assert history.count() == 18 and train.count() == 18 and ahead.count() == 1
+
+
 def test_labels_of_equal_days_do_not_depend_on_the_input_order(spark, world, rows):
     low, _, dims = world
     doubled = low.unionByName(low.withColumn("price", F.col("price") + 1))
@@ -91,3 +116,6 @@ def test_international_forecast(spark):
     assert best["lowPriceDate"] == date(2019, 3, 9) and best["highPriceDate"] == date(2019, 3, 2)
     assert best["lowPrice"] == pytest.approx(1010, abs=5) and best["highPrice"] == pytest.approx(1080, abs=5)
     assert best["departPrice"] is None
+
+    held = international.evaluate(past, date(2019, 2, 20)).first()
+    assert held.rows > 50 and held.mape < 0.05
