@@ -142,3 +142,33 @@ def test_few_candidates_are_all_found(spark, monkeypatch):
         cosine = {i: np.dot(of[q], of[i]) / np.linalg.norm(of[q]) / np.linalg.norm(of[i]) for i in (q + 1, q + 2, q + 3)}
         got = sorted((x for x in found if x.query_id == q), key=lambda x: x["rank"])
         assert [x.vec_id for x in got] == sorted(cosine, key=lambda i: (-round(cosine[i], 12), i))
+
+
+def test_a_clustered_table_is_visited_in_part(spark):
+    """On near neighbours the fitted index visits few rows, and fewer of a larger table."""
+    r = np.random.default_rng(8)
+    shares = []
+    for n in (1500, 15_000):
+        centres = r.normal(size=(n // 50, 32))
+        vectors = centres[r.integers(0, len(centres), n)] + 0.25 * r.normal(size=(n, 32))
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+        rows = neighbours.usable(df, "vec_id", "embedding")
+        index = neighbours.fitted(rows, F.col("_id") % 100 == 0, 5)
+        units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+        seen, queries = 0, range(0, n, n // 15)
+        for table in range(index.tables):
+            cells = np.floor(index.positions(units, table)).astype(int)
+            for q in queries:
+                visited = set(index.visits(index.positions(units[q : q + 1], table)[0]))
+                seen += sum(tuple(c) in visited for c in cells.tolist())
+        shares.append(seen / n / len(queries) / index.tables)
+        found = defaultdict(set)
+        for x in neighbours.nearest(df, F.col("_id") % 100 == 0, 5).collect():
+            found[x.query_id].add(x.vec_id)
+        right = 0
+        for q in found:
+            scores = units @ units[q]
+            scores[q] = -2
+            right += len(found[q] & set(np.argsort(-scores)[:5].tolist()))
+        assert right >= 0.9 * 5 * len(range(0, n, 100))
+    assert shares[0] < 0.3 and shares[1] < shares[0]
