@@ -11,7 +11,7 @@ from ..context import materialize
 from ..functions import fares, keys as ids
 from . import windows
 from .hot import DEFAULT, HotPolicy
-from .joins import lookup_join
+from .joins import lookup_join, sized
 
 
 def nearest_future(
@@ -45,14 +45,14 @@ def latest_snapshot(df: DataFrame, keys: list[str], date_col: str) -> DataFrame:
 
 def with_distance(df: DataFrame, airports: DataFrame, org: str = "org", dst: str = "dst") -> DataFrame:
     """Add both ends' coordinates and ``distance`` in km; unknown airports drop out."""
-    located = airports.dropna()
+    located = sized(airports.dropna())  # measured once for both ends
     for side, code in (("org", org), ("dst", dst)):
         dim = located.select(
             F.col("Airport_code").alias(f"_{side}_code"),
             F.col("latitude").alias(f"{side}_latitude"),
             F.col("longitude").alias(f"{side}_longitude"),
         )
-        df = lookup_join(df, dim, F.col(code) == F.col(f"_{side}_code")).drop(f"_{side}_code")
+        df = df.join(dim, F.col(code) == F.col(f"_{side}_code")).drop(f"_{side}_code")
     return df.withColumn(
         "distance", fares.distance_km("org_longitude", "org_latitude", "dst_longitude", "dst_latitude")
     )

@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import date, datetime
 from types import SimpleNamespace
 
@@ -6,10 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from fareflow import schemas, sinks
-from fareflow.context import RunContext, clean_up, materialize, work_dir
+from fareflow.context import RunContext, clean_up, discard, materialize, scope, work_dir
 from fareflow.operators import joins, lifecycle
 from fareflow.sources import documents, files, quarantine
 
+DATA = "/root/testdata/sf0.001"
+
 
 def docs(spark, *objects):
     texts = [(o if isinstance(o, str) else json.dumps(o),) for o in objects]
@@ -168,6 +171,25 @@ def test_clean_up_removes_the_intermediate_tables(spark):
         made.count()
 
 
+def test_a_step_starts_without_the_tables_of_the_one_before(spark):
+    outside = materialize(spark.range(2), "outside")
+    with scope(spark, "steps"):
+        first = materialize(spark.range(3), "first")
+        assert "/steps/" in first.inputFiles()[0]
+    with scope(spark, "steps"):
+        second, third = materialize(spark.range(4), "second"), materialize(spark.range(5), "third")
+        with pytest.raises(Exception):
+            first.count()
+        discard(second)
+        with pytest.raises(Exception):
+            second.count()
+    assert third.count() == 5 and outside.count() == 2
+    elsewhere = spark.read.parquet(f"{DATA}/nation.parquet") if os.path.isdir(DATA) else None
+    if elsewhere is not None:
+        discard(elsewhere)  # no table of this application's
+        assert elsewhere.count() == 25
+
+
 def test_broadcast_follows_measured_bytes(spark):
     narrow, wide = spark.range(1000).selectExpr("id", "'x' AS t"), spark.range(1000).selectExpr("id", "repeat('x', 5000) AS t")
     assert joins.table_bytes(narrow) < 50_000 < 5_000_000 <= joins.table_bytes(wide)
