@@ -23,10 +23,10 @@ from ..operators.joins import sized
 
 #: The band: a term belongs to the lexicon if this share of the documents, at least and at most, holds it.
 BAND = (0.0002, 0.05)
-#: Subsets: of 2 ** bits parts of the lexicon, how many are fingerprinted.
+#: Subsets: of 2 ** bits parts of the lexicon, how many are fingerprinted.  The first level's hold the whole lexicon.
 SUBSETS = ((3, 8), (6, 24), (8, 32), (10, 32))
-#: Numbers that stand for no subset: all lexicon terms, and all terms of a text.
-WHOLE, EVERY = 254, 255
+#: The number that stands for no subset but for all terms of a text, in the lexicon or not.
+EVERY = 255
 #: Where rows without id stand in the order: before all others.
 LEAST = -(1 << 63)
 #: Fixed value: words are what stands between these.
@@ -50,7 +50,7 @@ def lexicon(rows: DataFrame, documents: int, band: tuple[float, float] = BAND) -
 
 def _subsets(term: Column) -> Column:
     """Numbers of the subsets a lexicon term is in, one of a level at most; each level has bits of the hash of its own."""
-    found, below, before = [F.lit(WHOLE)], 0, 0
+    found, below, before = [], 0, 0
     for bits, count in SUBSETS:
         part = F.shiftrightunsigned(term, below).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
         found.append(F.when(part < count, part + before))
@@ -61,8 +61,8 @@ def _subsets(term: Column) -> Column:
 def fingerprints(rows: DataFrame, on: list[str], texts: dict[str, str], known: DataFrame) -> DataFrame:
     """``on`` and, for each text column, a struct of that name: ``whole`` and the sorted ``marks`` of its subsets.
 
-    ``whole`` is the hash of all lexicon terms, or of all terms where a text has none
-    in the lexicon.  A mark is a subset's number, then 31 bits of the hash of its
+    ``whole`` stands for all lexicon terms, as the hash of the first level's hashes, or
+    is the hash of all terms where a text has none in the lexicon.  A mark is a subset's number, then 31 bits of the hash of its
     terms.  ``rows`` has one row for each ``on`` and should be dealt by it: then
     nothing is shuffled here but a lexicon too large to broadcast.  ``texts`` maps
     result names to columns.
@@ -82,9 +82,10 @@ def fingerprints(rows: DataFrame, on: list[str], texts: dict[str, str], known: D
     made = []
     for i, name in enumerate(texts):
         of = F.col("side") == i
-        whole, every_ = (F.max(F.when(of & (F.col("subset") == n), F.col("hash"))) for n in (WHOLE, EVERY))
-        marks = F.sort_array(F.collect_list(F.when(of & (F.col("subset") < WHOLE), mark)))
-        made.append(F.struct(F.coalesce(whole, every_).alias("whole"), marks.alias("marks")).alias(name))
+        whole = F.sort_array(F.collect_list(F.when(of & (F.col("subset") < SUBSETS[0][1]), F.col("hash"))))
+        every_ = F.max(F.when(of & (F.col("subset") == EVERY), F.col("hash")))
+        marks = F.sort_array(F.collect_list(F.when(of & (F.col("subset") < EVERY), mark)))
+        made.append(F.struct(F.when(F.size(whole) > 0, F.xxhash64(whole)).otherwise(every_).alias("whole"), marks.alias("marks")).alias(name))
     return hashed.groupBy(*on).agg(*made)
 
 

@@ -40,13 +40,14 @@ def prints(texts, corpus):
     for text in texts:
         terms = hash_words(text)
         found = [t for t in terms if low <= held[t] <= high]
-        marks, shift, number = "", 0, 0
+        marks, shift, number, first = "", 0, 0, []
         for bits, subsets in imatch.SUBSETS:
             for j in range(subsets):
                 members = [t for t in found if (t % (1 << 64)) >> shift & ((1 << bits) - 1) == j]
+                first += [signed(hash_all(members))] if members and not number else []
                 marks += f"{(number + j) << 32 | hash_all(members) & 0x7FFFFFFF:010x}" if members else ""
             shift, number = shift + bits, number + subsets
-        out.append(f"{hash_all(found or terms):016x}:{marks}")
+        out.append(f"{hash_all(sorted(first) or terms):016x}:{marks}")
     return out
 
 
