@@ -2,10 +2,10 @@
 
 A vector is cut into equal parts and each part is replaced by the index of the
 nearest of a few codebook entries.  To find it without comparing all entries,
-the entries' coordinates are sorted in each dimension, and every place in that
-order carries a *prefix mask*: one bit for each entry before it.  The distance
-to one entry, taken from the widest dimension, is the initial radius.  In each
-dimension the entries within the radius are a slice of the sorted coordinates,
+their coordinates are sorted in each dimension, and every place in that order
+carries a *prefix mask*: one bit for each entry before it.  The distance to the
+nearest of a few entries, neighbours in the widest dimensions, is the initial
+radius.  In each dimension the entries within the radius are a slice of the sorted coordinates,
 and two prefix masks give the slice as one uint64; all dimensions' masks ANDed
 leave exactly the entries of a box that holds the ball, so the nearest entry and
 all its ties are among them.  Only these are compared.
@@ -36,6 +36,8 @@ from . import common
 MAX_ENTRIES = 64
 #: Columns that :func:`compress` adds.
 ADDED = ("codes", "errors")
+#: Dimensions in which a near entry is looked for, for the initial radius.
+GUESSES = 3
 #: Rows a task turns into numbers at a time.
 ROWS = 4096
 
@@ -47,21 +49,30 @@ class Slices:
     entries: np.ndarray  # (entries, width)
     order: np.ndarray  # coordinates ascending, (width, entries)
     masks: np.ndarray  # prefix masks, (width, entries + 1), uint64
-    widest: int  # the dimension in which the entries are spread most
+    widest: list[int]  # the dimensions in which the entries are spread most
 
     @staticmethod
     def of(entries: np.ndarray) -> "Slices":
         places = np.argsort(entries, axis=0, kind="stable").T
         bits = np.uint64(1) << places.astype(np.uint64)
         masks = np.concatenate([np.zeros((len(bits), 1), np.uint64), np.bitwise_or.accumulate(bits, axis=1)], axis=1)
-        spread = entries.max(axis=0) - entries.min(axis=0) if entries.shape[1] else np.zeros(1)
-        return Slices(entries, np.sort(entries, axis=0).T, masks, int(np.argmax(spread)))
-
-    def first_guess(self, parts: np.ndarray) -> np.ndarray:
-        """An entry near each part: its neighbour in the widest dimension."""
-        order = np.argsort(self.entries[:, self.widest], kind="stable")
-        at = np.searchsorted(self.order[self.widest], parts[:, self.widest])
-        return order[np.minimum(at, len(order) - 1)]
+        spread = entries.max(axis=0) - entries.min(axis=0)
+        return Slices(entries, np.sort(entries, axis=0).T, masks, np.argsort(-spread, kind="stable")[:GUESSES].tolist())
+
+    def first_guess(self, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """An entry near each part and its squared distance: the best of its neighbours in the widest dimensions."""
+        best = error = None
+        for d in self.widest:
+            order = np.argsort(self.entries[:, d], kind="stable")
+            at = np.searchsorted(self.order[d], parts[:, d])
+            guess = order[np.minimum(at, len(order) - 1)].astype(np.int64)
+            found = _distance(parts, self.entries[guess])
+            if best is None:
+                best, error = guess, found
+            else:
+                better = found < error
+                best[better], error[better] = guess[better], found[better]
+        return best, error
 
     def candidates(self, parts: np.ndarray, radius: np.ndarray) -> np.ndarray:
         """Masks of the entries that lie within ``radius`` in every dimension."""
@@ -75,21 +86,21 @@ class Slices:
         """Index of the nearest entry, the smaller one of ties, and its squared distance."""
         if not parts.shape[1]:
             return np.zeros(len(parts), np.int64), np.zeros(len(parts), parts.dtype)
-        best, error = _distance(parts, self.entries, self.first_guess(parts))
+        best, error = self.first_guess(parts)
         masks = self.candidates(parts, _root(error))
         for entry in range(len(self.entries)):
             rows = np.flatnonzero(masks >> np.uint64(entry) & np.uint64(1))
             if not len(rows):
                 continue
-            _, found = _distance(parts[rows], self.entries, np.full(len(rows), entry))
+            found = _distance(parts[rows], self.entries[entry])
             better = (found < error[rows]) | ((found == error[rows]) & (entry < best[rows]))
             best[rows[better]], error[rows[better]] = entry, found[better]
         return best, error
 
 
-def _distance(parts: np.ndarray, entries: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    apart = parts - entries[of]
-    return of.astype(np.int64).copy(), (apart * apart).sum(axis=1)
+def _distance(parts: np.ndarray, entries: np.ndarray) -> np.ndarray:
+    apart = parts - entries
+    return (apart * apart).sum(axis=1)
 
 
 def _root(squares: np.ndarray) -> np.ndarray:
