@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -51,13 +52,19 @@ def work_dir(spark: SparkSession, purpose: str = "run") -> str:
     """A fresh folder for intermediate tables that every executor can reach.
 
     The parent is the application's own folder in ``spark.checkpoint.dir``, or in the
-    warehouse where that is not set.
+    warehouse where that is not set.  A warehouse on a machine's own disk serves only
+    a session whose tasks run inside the driver.
     """
     return "/".join(filter(None, [_own_root(spark), _SCOPE.get(), f"fareflow-{purpose}-{uuid.uuid4().hex}"]))
 
 
 def _own_root(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
+        own_disk = root.startswith(("file:", "/"))
+        if own_disk and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return f"{root.rstrip('/')}/fareflow-{spark.sparkContext.applicationId}"
 
 

@@ -28,7 +28,7 @@ SET, REPLACE, DELETE = 0, 1, 2
 #: Up to so many keys are named in the filter that reaches the files; more are joined.
 NAMED_KEYS = 1_000
 
-_SEQ, _KIND, _BUCKET = "_seq", "_kind", "_bucket"
+_SEQ, _KIND, _BUCKET, _GEN = "_seq", "_kind", "_bucket", "_gen"
 
 
 class KeyedTable:
@@ -45,7 +45,7 @@ class KeyedTable:
 
     def create(self, schema: T.StructType, keys: list[str], buckets: int, day: date | None = None) -> "KeyedTable":
         """An empty table; a table that is there already stays as it is."""
-        taken = {_SEQ, _KIND, _BUCKET} & set(schema.names)
+        taken = {_SEQ, _KIND, _BUCKET, _GEN} & set(schema.names)
         if taken:
             raise ValueError(f"names that the table uses itself: {sorted(taken)}")
         if not self.exists():

@@ -124,14 +124,16 @@ def test_work_dir(spark):
     assert RunContext.of("2019-03-01").yesterday == date(2019, 2, 28)
 
 
-def test_only_a_local_session_falls_back_to_a_temporary_folder():
-    def session(master):
-        conf = SimpleNamespace(get=lambda name, default: default)
+def test_only_a_local_session_works_in_a_warehouse_on_its_own_disk():
+    def session(master, warehouse="file:/w"):
+        conf = SimpleNamespace(get=lambda name, default=None: warehouse if name == "spark.sql.warehouse.dir" else default)
         return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId="app-1"))
 
-    assert "fareflow-" in work_dir(session("local[2]"))
-    with pytest.raises(RuntimeError):
-        work_dir(session("yarn"))
+    assert work_dir(session("local[2]")).startswith("file:/w/_work/fareflow-app-1/fareflow-")
+    assert work_dir(session("yarn", "hdfs://store/w")).startswith("hdfs://store/w/_work/")
+    for own in ("file:/w", "/w"):
+        with pytest.raises(RuntimeError):
+            work_dir(session("yarn", own))
 
 
 @pytest.mark.parametrize("names", [schemas.FEATURE_COLUMNS, schemas.MODEL_COLUMNS])
