@@ -174,3 +174,56 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = found.rows.select("vec_id", "label", code.alias("code"), F.aggregate("errors", F.lit(0).cast("long"), lambda a, x: a + x).alias("error"))
     rows = codes.total_by(materialize(rows, "vector-codes"), "label", "error", "label_error")
     return rows.select("vec_id", "code", "error", "label_error", F.lit(found.digest()).alias("codebooks_sha256"))
+
+
+_FRAMED = " || ".join(
+    f"coalesce(CAST(strlen(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", "n_chars", "{text}")
+)
+ORACLE["op12_merkle_manifest"] = f"""
+WITH RECURSIVE rest AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, _: xor(c >> 1, 3988292384 * (c & 1))) ORDER BY i) AS crc FROM range(256) r(i)),
+marked AS (SELECT d.*, list_reduce(list_concat([4294967295], [CAST(ascii(x) AS BIGINT) FOR x IN string_split(CAST(doc_id AS VARCHAR), '')]),
+    lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])) AS code FROM documents d, rest),
+leaves AS (SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, sha256({_FRAMED.format(text="text")}) AS leaf,
+    sha256({_FRAMED.format(text="CASE WHEN code % 2 = 1 THEN replace(text, chr(10), '') ELSE text END")}) AS held FROM marked),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS place FROM leaves),
+small AS (SELECT tree, 0 AS level, place, count(*) OVER (PARTITION BY tree) AS n, leaf AS digest FROM placed UNION ALL
+  SELECT tree, level + 1, place // 3, max((n + 2) // 3), sha256(string_agg(digest, '' ORDER BY place)) FROM small WHERE n > 1 GROUP BY tree, level, place // 3),
+tops AS (SELECT tree, digest FROM small WHERE n = 1),
+large AS (SELECT 0 AS level, tree AS place, (SELECT count(*) FROM tops) AS n, digest FROM tops UNION ALL
+  SELECT level + 1, place // 3, max((n + 2) // 3), sha256(string_agg(digest, '' ORDER BY place)) FROM large WHERE n > 1 GROUP BY level, place // 3),
+paths AS (SELECT p.doc_id, s.level, s.place AS spot, p.place // CAST(pow(3, s.level) AS BIGINT) AS own, s.digest
+  FROM placed p JOIN small s ON s.tree = p.tree AND s.n > 1 AND s.place // 3 = p.place // CAST(pow(3, s.level + 1) AS BIGINT) UNION ALL
+  SELECT p.doc_id, 100 + l.level, l.place, p.tree // CAST(pow(3, l.level) AS BIGINT), l.digest
+  FROM placed p JOIN large l ON l.n > 1 AND l.place // 3 = p.tree // CAST(pow(3, l.level + 1) AS BIGINT)),
+steps AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY level) AS step, coalesce(string_agg(digest, '' ORDER BY spot) FILTER (spot < own), '') AS a,
+    coalesce(string_agg(digest, '' ORDER BY spot) FILTER (spot > own), '') AS b FROM paths GROUP BY doc_id, level),
+folds AS (SELECT doc_id, 0 AS step, held AS digest FROM placed UNION ALL
+  SELECT f.doc_id, f.step + 1, sha256(a || f.digest || b) FROM folds f JOIN steps s ON s.doc_id = f.doc_id AND s.step = f.step + 1),
+ends AS (SELECT doc_id, arg_max(digest, step) AS folded_root FROM folds GROUP BY doc_id),
+proofs AS (SELECT doc_id, sha256(string_agg(a || b, '' ORDER BY step)) AS proof_sha256 FROM steps GROUP BY doc_id)
+SELECT p.doc_id, leaf, t.digest AS subroot, r.digest AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = r.digest AS verified
+FROM placed p JOIN tops t ON t.tree = p.tree JOIN (SELECT digest FROM large WHERE n = 1) r ON true JOIN ends e ON e.doc_id = p.doc_id
+  LEFT JOIN proofs q ON q.doc_id = p.doc_id"""
+
+
+def _codes_sql(rounds: int = 6) -> str:
+    found = """near{r} AS (SELECT vec_id, part, min(d * 64 + entry) AS best FROM (
+    SELECT vec_id, part, entry, CAST(sum((c.x - b.x) * (c.x - b.x)) AS BIGINT) AS d FROM c JOIN b{r} b USING (part, spot) GROUP BY ALL) GROUP BY ALL)"""
+    moved = """m{r} AS (SELECT part, best % 64 AS entry, spot, CAST(floor(CAST(sum(x) AS DOUBLE) / count(*)) AS BIGINT) AS x FROM near{r} JOIN c USING (vec_id, part) GROUP BY ALL),
+b{n} AS (SELECT part, entry, spot, coalesce(m.x, b.x) AS x FROM b{r} b LEFT JOIN m{r} m USING (part, entry, spot))"""
+    chain = ",\n".join(f"{found.format(r=r)},\n{moved.format(r=r, n=r + 1)}" for r in range(rounds))
+    return f"""WITH v AS (SELECT * FROM embeddings WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+w AS (SELECT min(len(embedding)) // 8 AS w FROM v),
+long AS (SELECT vec_id, unnest(embedding) AS e, generate_subscripts(embedding, 1) - 1 AS i FROM v),
+c AS (SELECT vec_id, i // w AS part, i % w AS spot, CAST(floor(4096 * CAST(e AS DOUBLE)) AS BIGINT) AS x FROM long, w),
+seeds AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v QUALIFY entry < 16),
+b0 AS (SELECT part, entry, spot, x FROM seeds JOIN c USING (vec_id)),
+{chain},
+{found.format(r=rounds)},
+coded AS (SELECT vec_id, string_agg(format('{{:02x}}', CAST(best % 64 AS INT)), '' ORDER BY part) AS code, CAST(sum(best // 64) AS BIGINT) AS error FROM near{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, spot)) FROM b{rounds}) AS codebooks_sha256
+FROM coded JOIN v USING (vec_id)"""
+
+
+ORACLE["op13_vector_codes"] = _codes_sql()

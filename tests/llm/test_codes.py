@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 
 from fareflow.llm import codes
-from fareflow.llm.queries import QUERIES
+from fareflow.llm.queries import ORACLE, QUERIES
 
 DATA = "/root/testdata/sf0.01"
 COLUMNS = ["vec_id", "code", "error", "label_error", "codebooks_sha256"]
@@ -131,3 +131,15 @@ def test_few_entries_are_compared():
 def test_query(spark):
     rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{DATA}/embeddings.parquet").collect()]
     assert asked(spark, DATA) == plain(rows)
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="driver tables not here")
+def test_sql_says_the_same_as_the_plain_version(spark):
+    db = pytest.importorskip("duckdb").connect()
+    db.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{DATA}/embeddings.parquet'")
+    cursor = db.execute(ORACLE["op13_vector_codes"])
+    names = [c[0] for c in cursor.description]
+    order = [names.index(n) for n in [*COLUMNS]]
+    rows = spark.read.parquet(f"{DATA}/embeddings.parquet").collect()
+    expected = plain([(r.vec_id, r.embedding, r.label) for r in rows])
+    assert sorted((tuple(r[i] for i in order) for r in cursor.fetchall()), key=str) == expected

@@ -10,7 +10,7 @@ from helpers import AWKWARD, CLASHING, awkward, prose
 from pyspark.sql import functions as F
 
 from fareflow.llm import merkle
-from fareflow.llm.queries import QUERIES
+from fareflow.llm.queries import ORACLE, QUERIES
 
 DATA = "/root/testdata/sf0.01"
 
@@ -133,3 +133,15 @@ def test_clashing_names(spark):
     docs = awkward(spark, AWKWARD).withColumns({c: F.lit("x") for c in ("source", "tree", "place", "digest", "block", "lefts", "_piece", "_local")})
     found = merkle.manifest(docs, merkle.digest(merkle.framed(F.col("text"))), keep={c: F.col(c) for c in ("digest", "tree", *CLASHING.split()[:2])})
     assert found.count() == len(AWKWARD) and found.select("tree", "digest").distinct().collect() == [("x", "x")]
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="driver tables not here")
+def test_sql_says_the_same_as_the_plain_version(spark):
+    db = pytest.importorskip("duckdb").connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    cursor = db.execute(ORACLE["op12_merkle_manifest"])
+    names = [c[0] for c in cursor.description]
+    order = [names.index(n) for n in ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]]
+    rows = spark.read.parquet(f"{DATA}/documents.parquet").collect()
+    expected = expected_query([r.asDict() for r in rows])
+    assert sorted((tuple(r[i] for i in order) for r in cursor.fetchall()), key=str) == expected
