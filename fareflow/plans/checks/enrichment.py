@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...functions import fares
-from ...operators import calendar as holiday_calendar
 from ...operators import enrich, features, forecast, hot, labels, windows
-from ...schemas import INDEXED, MODEL_COLUMNS, indexed_name
+from ...schemas import INDEXED, MODEL_COLUMNS
 from .. import domestic
 from .registry import (
     AIRPORTS_SQL,
