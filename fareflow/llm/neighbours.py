@@ -193,7 +193,7 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 #: An index is fitted on so many rows and queries, those whose ids have the least hashes.
 SAMPLE_ROWS, SAMPLE_QUERIES = 2048, 128
 #: Rows that a bucket has on average, as far as the number of lines goes.
-BUCKET_ROWS = 32
+BUCKET_ROWS = 512
 #: Lines of a table: fewer do not part the rows, more would have more buckets than can be visited.
 LINES = (4, 8)
 

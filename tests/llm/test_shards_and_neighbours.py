@@ -144,8 +144,9 @@ def test_few_candidates_are_all_found(spark, monkeypatch):
         assert [x.vec_id for x in got] == sorted(cosine, key=lambda i: (-round(cosine[i], 12), i))
 
 
-def test_a_clustered_table_is_visited_in_part(spark):
+def test_a_clustered_table_is_visited_in_part(spark, monkeypatch):
     """On near neighbours the fitted index visits few rows, and fewer of a larger table."""
+    monkeypatch.setattr(neighbours, "BUCKET_ROWS", 32)  # more lines for few rows
     r = np.random.default_rng(8)
     shares = []
     for n in (1500, 15_000):
