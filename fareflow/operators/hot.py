@@ -7,6 +7,9 @@ cut into *segments*: consecutive pieces of the group's order, each small enough
 for one task.  An operator then works inside (keys, segment) and brings over
 from the neighbouring segments a summary of one row per segment.
 
+Segments are not tasks: however short the policy makes them, they are cut by as
+many tasks as the rows ask for, since each task samples, writes and reports.
+
 Hot keys and summaries are tables: they are broadcast only where their size is
 checked, and joined by shuffle beyond that.
 """
@@ -23,6 +26,8 @@ from .joins import sized
 
 SEGMENT = "_segment"
 TIE = "_tie"
+#: The bits of Spark's increasing ids that count the rows of a partition.
+_WITHIN = (1 << 33) - 1
 
 
 @dataclass(frozen=True)
@@ -69,8 +74,9 @@ def split(
     more than that count.  A larger one is counted per key, combined before the
     shuffle.  Only where a hot group exists are the rows written down once, so what
     ``df`` is made of runs twice, and those of hot groups range-partitioned by
-    (keys, order) and written to the shared work folder with their segment
-    number, so that a lost executor cannot shift a segment border later.
+    (keys, order), sorted, cut every ``rows_per_task`` rows and written to the
+    shared work folder with their segment number, so that a lost executor cannot
+    shift a segment border later.  Segment numbers rise with the order; they have gaps.
     With no ``keys`` the whole table is the group.  Rows equal in ``order`` are
     told apart by their other columns, whatever the size of the table.
     """
@@ -91,15 +97,25 @@ def split(
         hot = df.join(few, match, "left_semi")
     else:
         normal, hot, size = None, df, total
-    pieces = max(2, -(-size // policy.rows_per_task))
+    by = [*keys, *order, TIE]
+    # Inside a task's range the rows are sorted, so every rows_per_task of them are a segment.
+    at = F.monotonically_increasing_id()
+    within = at.bitwiseAND(F.lit(_WITHIN))
     cut = (
         hot.withColumn(TIE, F.monotonically_increasing_id())
-        .repartitionByRange(pieces, *keys, *order, TIE)
-        .withColumn(SEGMENT, F.spark_partition_id())
+        .repartitionByRange(_tasks(df, size, policy), *by)
+        .sortWithinPartitions(*by)
+        .withColumn(SEGMENT, at - within % policy.rows_per_task)
     )
     return Parts(normal, materialize(cut, "segments"), order, [*order, TIE])
 
 
+def _tasks(df: DataFrame, size: int, policy: HotPolicy) -> int:
+    """Tasks to cut ``size`` rows in: one per segment, but no more than a shuffle has unless they would get too many rows."""
+    enough = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // DEFAULT.rows_per_task))
+    return max(2, min(-(-size // policy.rows_per_task), enough))
+
+
 def _hot_keys(df: DataFrame, keys: list[str], policy: HotPolicy) -> DataFrame:
     """All groups above ``rows_per_task`` with their rows ``_n``, written down."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > policy.rows_per_task)

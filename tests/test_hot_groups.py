@@ -136,6 +136,17 @@ def test_every_hot_key_is_split(spark):
     assert max(sizes) <= 60 and len(sizes) >= 80
 
 
+def test_short_segments_do_not_make_more_tasks(spark):
+    """The tasks that cut a hot group follow its rows; a segment is no longer than asked for, however few they are."""
+    data = [("hot", d % 28, d, float(d)) for d in range(3_000)]
+    parts = hot.split(spark.createDataFrame(data, SCHEMA), ["k"], ["day", "seq"], HotPolicy(rows_per_task=25))
+    assert len(parts.hot.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    segments = parts.hot.groupBy(hot.SEGMENT).agg(F.min(F.struct("day", "seq")).alias("a"), F.max(F.struct("day", "seq")).alias("b"), F.count("*").alias("n"))
+    found = segments.orderBy(hot.SEGMENT).collect()
+    assert max(r["n"] for r in found) <= 25 and 120 <= len(found) <= 124
+    assert all(before["b"] < after["a"] for before, after in zip(found, found[1:]))
+
+
 def test_ties_fall_alike_at_every_size(spark, rows):
     data = [("k", 1, s, float(s * 7 % 60)) for s in range(60)]
     df = spark.createDataFrame(data, SCHEMA)
