@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..context import materialize
-from . import encoding
+from . import encoding, factorisation
+from .factorisation import spread
 
 #: Columns of the international price model.
 CATEGORIES = ["org", "dst", "isReturn_type", "isDirect_type", "departYear", "is_vacation", "vacation_days", "day_of_vacation"]
@@ -192,6 +193,7 @@ def assemble(df: DataFrame, columns: list[str], out: str = "features") -> DataFr
 def fit_forest(train: DataFrame, label: str = "trend", variant: str = "wide", seed: int = 42):
     """Random-forest trend model: ``wide`` (50 trees on 80 % of the rows) or
     ``shallow`` (100 trees of depth 6)."""
+    train = spread(train.select(label, "features"))
     if variant == "wide":
         forest = RandomForestClassifier(numTrees=50, featureSubsetStrategy="auto", subsamplingRate=0.8)
     else:
@@ -206,8 +208,12 @@ def importances(model, columns: list[str]) -> list[tuple[str, float]]:
 
 
 def fit_trend(train: DataFrame, label: str = "trend", factors: int = 8, iterations: int = 50, seed: int = 42):
-    """Factorisation-machine trend model: first and second order feature terms."""
-    return FMClassifier(labelCol=label, factorSize=factors, maxIter=iterations, stepSize=0.05, seed=seed).fit(train)
+    """Factorisation-machine trend model: first and second order feature terms.
+
+    The model of ``FMClassifier``, trained in blocks of rows, see :mod:`fareflow.operators.factorisation`.
+    """
+    machine = FMClassifier(labelCol=label, factorSize=factors, maxIter=iterations, stepSize=0.05, seed=seed)
+    return factorisation.fit(machine, train)
 
 
 def score_trend(model, df: DataFrame) -> DataFrame:

@@ -302,5 +302,6 @@ def fm_trend(t):
     columns = ["dayofweek", "discountBucket", "distanceBucket", "seatLeftBucket", "isShare", "intervalDays"]
     frame = _ranking_frame(t)
     coded = ml.price_pipeline(columns[:1] + columns[4:5], columns[1:4] + columns[5:]).fit(frame).transform(frame)
+    coded = materialize(coded.select("l_partkey", "departDate", "trend", "features"), "coded")
     model = ml.fit_trend(coded, iterations=20)
     return ml.score_trend(model, coded).select("l_partkey", "departDate", "trend", "prediction", "rawPred")

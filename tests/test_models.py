@@ -7,7 +7,7 @@ from pyspark.ml.feature import UnivariateFeatureSelector
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import functions as F
 
-from fareflow.operators import encoding, ml
+from fareflow.operators import encoding, factorisation, ml
 
 
 def test_sparse_vectors_without_python(spark, capsys):
@@ -39,6 +39,33 @@ def test_a_column_of_120_000_values_is_encoded(spark, tmp_path):
     assert {n: r.features for n, r in rows.items()} == before
 
 
+def test_the_machine_is_that_of_spark(spark, tmp_path):
+    """Dense, sparse and empty vectors; rows dealt to several tasks; a stored model says the same."""
+    from pyspark.ml.classification import FMClassificationModel, FMClassifier
+
+    slots = F.transform(F.array(F.col("id") % 5, 5 + F.col("id") % 7, F.lit(12)), lambda i: F.struct(i.cast("int").alias("idx"), F.when(i < 12, 1.0).otherwise(F.sin("id")).alias("val")))
+    rows = spark.range(3_000).select((F.col("id") % 5 * (F.col("id") % 7) > 8).cast("int").alias("y"), ml.sparse_vector(F.when(F.col("id") % 97 == 0, F.array().cast("array<struct<idx:int,val:double>>")).otherwise(slots), 13).alias("features"))
+    model = ml.fit_trend(rows, "y", factors=3, iterations=12)
+    theirs = FMClassifier(labelCol="y", factorSize=3, maxIter=12, stepSize=0.05, seed=42).fit(rows)
+    assert model.factors.toArray() == pytest.approx(theirs.factors.toArray(), abs=1e-8)
+    assert model.linear.toArray() == pytest.approx(theirs.linear.toArray(), abs=1e-8)
+    assert model.intercept == pytest.approx(theirs.intercept, abs=1e-8)
+    ml.save_model(model, str(tmp_path / "fm"))
+    known = ml.score_trend(FMClassificationModel.load(str(tmp_path / "fm")), rows).select("rawPred", "prediction").collect()
+    assert known == ml.score_trend(model, rows).select("rawPred", "prediction").collect()
+    with pytest.raises(Exception, match="(?i)labels"):
+        ml.fit_trend(rows.withColumn("y", F.col("y") * 2), "y", iterations=1)
+
+
+def test_training_rows_are_dealt_by_their_number(spark):
+    """However small the files are, no task trains on more rows than one should."""
+    rows = spark.range(1000).coalesce(1)
+    sizes = lambda df: [r[0] for r in df.groupBy(F.spark_partition_id()).agg(F.count("*")).select("count(1)").collect()]
+    dealt = sizes(factorisation.spread(rows, 100))
+    assert len(dealt) == 10 and sum(dealt) == 1000 and max(dealt) <= 130
+    assert sizes(factorisation.spread(rows, 1000)) == [1000]
+
+
 def test_p_values_of_many_values(spark):
     df = spark.range(60_000).select((F.col("id") % 12_000).alias("wide"), (F.xxhash64("id") % 2 == 0).cast("int").alias("y"), (F.col("id") % 2).alias("even"), F.lit(1).alias("one"))
     found = {r.feature: r for r in ml.rank_by_chi_square(df, ["wide", "even", "one"], "y").collect()}
