@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from ...context import RunContext, work_dir
+from ...context import RunContext, materialize, work_dir
 from ...operators import forecast
 from ...operators.hot import HotPolicy
 from ...sinks import manifests
@@ -102,6 +102,17 @@ def series_in_parts(t):
     return found.select("u", "part", F.size("content").cast("long").alias("rows"), F.array_join(text, ",").alias("content"))
 
 
+#: Days before the run date that a run of the publication is made, and the lines it scores.
+_RUNS = {60: "l_linenumber <= 4", 0: "l_linenumber >= 3"}
+
+
+def _best(scored):
+    """Best scores of every run in one shuffle; a run has the groups that any of its lines is in."""
+    best = {f"best{back}": F.max(F.when(F.expr(lines), F.col("rawPred"))) for back, lines in _RUNS.items()}
+    some = {f"in{back}": F.bool_or(F.expr(lines)) for back, lines in _RUNS.items()}
+    return scored.groupBy("fn", "city_code", "departDate").agg(*[a.alias(name) for name, a in (best | some).items()])
+
+
 @query(
     "q_publication",
     f"""WITH {ITINERARIES_SQL}, scored AS (SELECT fn || '_' || org || '_' || dst || '_' || "departDate" AS _id, fn, org, dst, l_linenumber,
@@ -115,11 +126,10 @@ def published(t):
     """Two runs, sixty days apart: results replaced, departed ones gone, the first run's states expired."""
     root = work_dir(t.spark, "publication")
     scored = itineraries(t).withColumns({"city_code": F.concat_ws("_", "org", "dst"), "rawPred": F.datediff("departDate", "queryDate") / 50})
-    best = scored.groupBy("fn", "city_code", "departDate", "l_linenumber").agg(F.max("rawPred").alias("rawPred"))
-    for lines, back in ((F.col("l_linenumber") <= 4, 60), (F.col("l_linenumber") >= 3, 0)):
-        run = RunContext(RUN.shift(-back))
-        one = best.filter(lines).groupBy("fn", "city_code", "departDate").agg(F.max("rawPred").alias("rawPred"))
-        table = publication.publish_scores(root, one, run)
+    best = materialize(_best(scored), "best")
+    for back in _RUNS:
+        one = best.filter(f"in{back}").select("fn", "city_code", "departDate", F.col(f"best{back}").alias("rawPred"))
+        table = publication.publish_scores(root, one, RunContext(RUN.shift(-back)))
     states = len(manifests.Folder(t.spark, root).numbers())
     # The table was made by a state without a day, which stays.
     return table.read().withColumn("states", F.lit(states - 1))

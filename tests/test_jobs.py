@@ -119,3 +119,16 @@ def test_international_forecast(spark):
 
     held = international.evaluate(past, date(2019, 2, 20)).first()
     assert held.rows > 50 and held.mape < 0.05
+
+
+def test_scores_of_both_runs_take_one_shuffle(spark, capsys):
+    """A group without a line of a run is not in it; one whose scores are all NULL is."""
+    from fareflow.plans.checks import forecasts
+
+    lines = [("f", "c", 1, 0.5), ("f", "c", 3, 0.9), ("f", "c", 7, 0.2), ("g", "c", 2, None), ("h", "c", 5, 0.1), ("i", "c", None, 0.3)]
+    scored = spark.createDataFrame(lines, "fn string, city_code string, l_linenumber int, rawPred double")
+    best = forecasts._best(scored.withColumn("departDate", F.lit("2000-01-01").cast("date")))
+    best.explain()
+    assert capsys.readouterr().out.count("Exchange hashpartitioning") == 1
+    found = {r.fn: (r.in60, r.best60, r.in0, r.best0) for r in best.collect()}
+    assert found == {"f": (True, 0.9, True, 0.9), "g": (True, None, False, None), "h": (False, None, True, 0.1), "i": (None, None, None, None)}
