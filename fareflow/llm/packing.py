@@ -26,6 +26,8 @@ from . import common
 WIDTH = 4
 #: Partitions whose open windows are merged in one task.
 FAN_IN = 64
+#: Texts encoded at a time; the ids of all their words are held in several arrays.
+TEXTS = 512
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -186,7 +188,7 @@ def _first_pass(path: str, end_id: int, capacity: int, windows: int, schema: pa.
         encoder = common.kept(("words", path), lambda: WordEncoder(path))
         end = end_id.to_bytes(WIDTH, "little")
         packer, number = Packer(capacity, windows), _Numbers(0, part)
-        for some in common.slices(batches, 2048):
+        for some in common.slices(batches, TEXTS):
             for doc_id, ids in zip(some.column("_id").to_pylist(), encoder.encode_all(some.column("_text")), strict=True):
                 packer.add(doc_id, 0, ids.tobytes() + end, len(ids) + 1)
             yield _rows(packer.take_closed(), number, False, part, schema)
@@ -233,7 +235,7 @@ def pack(
     empty table gives no rows.  A task holds ``windows`` open windows, a merge
     task those of ``FAN_IN`` partitions; sequence ids are unique, not gapless.
     """
-    common.ship(docs.sparkSession, 2048)
+    common.ship(docs.sparkSession, TEXTS)
     schema = common.arrow_schema(PIECES)
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
     made = materialize(rows.mapInArrow(_first_pass(tokenizer, end_id, capacity, windows, schema), PIECES), "pack")

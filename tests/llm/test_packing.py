@@ -100,3 +100,9 @@ def test_best_fit_and_top_up():
     packer.add(4, 0, bytes(4 * 6), 6)
     assert [[(p[0], len(p[2]) // 4) for p in w] for w in packer.take_closed()] == [[(0, 6), (4, 4)]]
     assert [sum(len(p[2]) // 4 for p in w) for w in packer.leftovers()] == [7]
+
+
+def test_few_texts_are_encoded_at_a_time(spark):
+    """A worker holds the ids of one slice in several arrays, so slices are small."""
+    assert packing.pack(spark.createDataFrame([(i, "a b") for i in range(600)], "doc_id long, text string"), PATH).count() >= 600
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 512
