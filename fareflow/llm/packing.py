@@ -44,7 +44,7 @@ class WordEncoder:
     encoded whole.
     """
 
-    def __init__(self, path: str, word_end: str = "</w>", limit: int = 1_000_000):
+    def __init__(self, path: str, word_end: str = "</w>", limit: int = 300_000):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
@@ -185,6 +185,8 @@ def _first_pass(path: str, end_id: int, capacity: int, windows: int, schema: pa.
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
+        # Workers live on: what jobs before this one have freed goes back to the machine.
+        pa.default_memory_pool().release_unused()
         encoder = common.kept(("words", path), lambda: WordEncoder(path))
         end = end_id.to_bytes(WIDTH, "little")
         packer, number = Packer(capacity, windows), _Numbers(0, part)
