@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ WIDTH = 4
 FAN_IN = 64
 #: Texts encoded at a time; the ids of all their words are held in several arrays.
 TEXTS = 512
+#: Signs often found behind a word; no letter before them or mark behind them joins them.
+SIGNS = ".,;:!?#$%&*"
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -39,19 +42,23 @@ class WordEncoder:
     """Ids of whole texts, word by word, equal to encoding the text at once.
 
     The tokenizer drops white space and never joins across it, so each distinct
-    word is encoded once.  Words of letters are encoded together and told apart
-    by the tokens that end a word.  A text that may spell a special token is
-    encoded whole.
+    word is encoded once.  It takes a run of letters, and a run of signs, as one
+    stretch, and leaves lower-case ASCII letters as they are, so such a stretch
+    goes to its model at once.  Other letters, with a run of signs behind them or
+    not, are encoded many words at a time and told apart by the tokens that end a
+    stretch.  A text that may spell a special token is encoded whole.
     """
 
     def __init__(self, path: str, word_end: str = "</w>", limit: int = 300_000):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
         self._final = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self._final[[i for token, i in vocabulary.items() if token.endswith(word_end)]] = True
         self._pool = common.IdPool(limit)
+        self._signs = common.Memo(lambda signs: self._ids(signs).tolist(), 10_000)
 
     def encode_all(self, texts: pa.Array) -> list[np.ndarray]:
         # Case differs for nothing but the words remembered: the tokenizer lowers them anyway.
@@ -65,31 +72,39 @@ class WordEncoder:
 
     def _learn(self, new: list[str]) -> None:
         """Encode words not seen before, many at a time."""
-        letters = [w for w in new if w.isalpha() and "İ" not in w]
-        ends = [w for w in new if w[-1:] and w[-1] in ".," and w[:-1].isalpha() and "İ" not in w]
-        mixed = list(set(new).difference(letters, ends))
-        for at in range(0, len(letters), 4096):
-            some = letters[at : at + 4096]
-            ids = self._ids(" ".join(some))
-            self._keep(some, ids, np.flatnonzero(self._final[ids]) + 1)
-        for at in range(0, len(ends), 4096):  # a word and one sign: two stretches
-            some = ends[at : at + 4096]
-            ids = self._ids(" ".join(some))
-            self._keep(some, ids, np.flatnonzero(self._final[ids])[1::2] + 1)
-        for word in mixed:
-            ids = self._ids(word)
-            self._pool.add([word], ids, np.array([len(ids)]))
+        ascii_words, each, letters, ends, mixed = [], [], [], [], []
+        for word in new:
+            stem = word.rstrip(SIGNS)
+            if not stem.isalpha() or "İ" in stem:
+                mixed.append(word)
+            elif stem.isascii():
+                ids = [token.id for token in self._model.tokenize(stem)]
+                if len(stem) < len(word):
+                    ids += self._signs[word[len(stem) :]]
+                ascii_words.append(word)
+                each.append(ids)
+            else:
+                (letters if stem == word else ends).append(word)
+        self._add(ascii_words, each)
+        for words, stretches in ((letters, 1), (ends, 2)):
+            for at in range(0, len(words), 4096):
+                some = words[at : at + 4096]
+                ids = self._ids(" ".join(some))
+                self._keep(some, ids, np.flatnonzero(self._final[ids])[stretches - 1 :: stretches] + 1)
+        self._add(mixed, [self._ids(word).tolist() for word in mixed])
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
+    def _add(self, words: list[str], each: list[list[int]]) -> None:
+        ids = np.fromiter(chain.from_iterable(each), "<u4")
+        self._pool.add(words, ids, np.cumsum([len(some) for some in each], dtype=np.int64))
+
     def _keep(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
         if len(ends) == len(words):
             self._pool.add(words, ids, ends)
-            return
-        for word in words:
-            ids = self._ids(word)
-            self._pool.add([word], ids, np.array([len(ids)]))
+        else:
+            self._add(words, [self._ids(word).tolist() for word in words])
 
 
 class Packer:
@@ -186,7 +201,7 @@ def _first_pass(path: str, end_id: int, capacity: int, windows: int, schema: pa.
 
         part = TaskContext.get().partitionId()
         # Workers live on: what jobs before this one have freed goes back to the machine.
-        pa.default_memory_pool().release_unused()
+        common.release()
         encoder = common.kept(("words", path), lambda: WordEncoder(path))
         end = end_id.to_bytes(WIDTH, "little")
         packer, number = Packer(capacity, windows), _Numbers(0, part)

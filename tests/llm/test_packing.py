@@ -106,3 +106,27 @@ def test_few_texts_are_encoded_at_a_time(spark):
     """A worker holds the ids of one slice in several arrays, so slices are small."""
     assert packing.pack(spark.createDataFrame([(i, "a b") for i in range(600)], "doc_id long, text string"), PATH).count() >= 600
     assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 512
+
+
+def test_frequent_words_stay_when_the_pool_is_full(tokenizer):
+    """A stream of words that come once must not push out those of every batch."""
+    encoder, asked = packing.WordEncoder(PATH, limit=200), []
+    learn = encoder._learn
+    encoder._learn = lambda new: (asked.extend(new), learn(new))
+    often = [f"word{'abcdefghij'[i]}" for i in range(10)]
+    for batch in range(30):
+        once = [prose(1000 * batch + i, 1).lower() + "xyzuvw"[batch % 6] * (1 + batch // 6) for i in range(40)]
+        text = " ".join(["Often", "often,", "été", "ÉTÉ;!", "e\u0301,", "x1,", *often, *once])
+        assert encoder.encode_all(pa.array([text]))[0].tolist() == encoded(tokenizer, text)[:-1]
+        assert len(encoder._pool._slots) <= 200 + 60
+    assert all(asked.count(word) == 1 for word in often)
+
+
+def test_words_of_letters_and_signs_are_learnt_together(tokenizer):
+    """No call of the tokenizer for each word with signs behind it."""
+    encoder = packing.WordEncoder(PATH)
+    calls, ids = [], encoder._ids
+    encoder._ids = lambda text: (calls.append(text), ids(text))[1]
+    text = " ".join(prose(i, 1).strip(".").lower() + sign for i in range(500) for sign in ("", "***", "!!", ",.", "é$$$"))
+    assert encoder.encode_all(pa.array([text]))[0].tolist() == encoded(tokenizer, text)[:-1]
+    assert len(calls) < 20
