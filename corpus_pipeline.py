@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow.context import discard, materialize, scope
-from fareflow.llm import lines, packing, passages, simhash, toxicity
+from fareflow.llm import common, lines, packing, passages, simhash, toxicity
 from fareflow.llm.queries import TOXIC, toxicity_model
 from fareflow.operators.joins import sized
 
@@ -67,6 +67,7 @@ def _tidy(stage):
     """The stage, starting without the intermediate tables of the one before, whose result is written by then."""
 
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        common.release()
         with scope(spark, "pipeline"):
             return stage(spark, docs, sf_dir)
 

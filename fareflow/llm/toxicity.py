@@ -41,6 +41,8 @@ WINDOW = 2
 #: The sample a model is fitted on: rows of each class, and characters of a row.
 MAX_ROWS_PER_CLASS = 1_500
 MAX_CHARS = 10_000
+#: Words whose n-grams are made, or gathered by bucket, at a time.
+BLOCK = 4096
 #: An n-gram counts from this many texts (times its words in them) on; weight of the squared embeddings in the loss.
 MIN_TEXTS = 6
 DECAY = 6e-5
@@ -54,8 +56,15 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the n-grams of words with their borders, one word behind the other, and how many each word has.
 
-    Words too short for an n-gram have themselves as one.
+    Words too short for an n-gram have themselves as one.  Computed block by block:
+    what it takes on the way is many times the result.
     """
+    buckets, counts = zip(*(_grams(words[at : at + BLOCK]) for at in range(0, max(1, len(words)), BLOCK)))
+    return np.concatenate(buckets), np.concatenate(counts)
+
+
+def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`grams` of one block."""
     marked = [f"<{w}>" for w in words]
     sizes = np.array([len(m) for m in marked], np.int64)
     chars = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
@@ -77,6 +86,27 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return buckets[order].astype(np.int32), counts
 
 
+def _blocks(counts: np.ndarray) -> list[tuple[slice, slice]]:
+    """Words of each block, and where the n-grams of these words lie."""
+    ends = np.concatenate(([0], np.cumsum(counts)))
+    cuts = [*range(0, len(counts), BLOCK), len(counts)]
+    return [(slice(a, b), slice(ends[a], ends[b])) for a, b in zip(cuts, cuts[1:])]
+
+
+def _by_word(gram_values: np.ndarray, flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Mean of the values of each word's n-grams."""
+    found = [np.add.reduceat(gram_values[flat[g]], np.cumsum(counts[w]) - counts[w]) for w, g in _blocks(counts)]
+    return np.concatenate(found) / counts
+
+
+def _by_gram(word_values: np.ndarray, flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sum of the values of the words by n-gram, added up in the order of the n-grams."""
+    total = np.zeros(BUCKETS)
+    for w, g in _blocks(counts):
+        np.add.at(total, flat[g], np.repeat(word_values[w], counts[w]))
+    return total
+
+
 @dataclass(frozen=True)
 class Model:
     """Score of each n-gram (its embedding times the weight difference), and the bias."""
@@ -134,12 +164,12 @@ def train(texts: list[str], labels: list[int], epochs: int = 30, warm_up: int =
     lengths = np.array([len(rows[i]) for i in used])
     begins = np.concatenate(([0], np.cumsum(lengths)))[:-1]
     flat, gram_count = grams([*ids])
-    gram_begin = np.concatenate(([0], np.cumsum(gram_count)))[:-1]
     # An n-gram seen in few texts would only learn those by heart.
     text_of = np.repeat(np.arange(len(used)), lengths)
     pairs = np.unique(text_of * len(ids) + codes)
     in_texts = np.bincount(pairs % len(ids), minlength=len(ids))
-    seen = np.bincount(flat, np.repeat(in_texts, gram_count), BUCKETS) >= MIN_TEXTS
+    seen = _by_gram(in_texts, flat, gram_count) >= MIN_TEXTS
+    del text_of, pairs
 
     # Passages: every run of WINDOW words, or the whole of a shorter text.
     size = np.minimum(lengths, WINDOW)
@@ -157,7 +187,7 @@ def train(texts: list[str], labels: list[int], epochs: int = 30, warm_up: int =
     }
     first, second = ({k: np.zeros_like(v) for k, v in state.items()} for _ in range(2))
     for step in range(1, epochs + 1):
-        scores = np.add.reduceat((state["table"] @ state["vector"])[flat], gram_begin) / gram_count
+        scores = _by_word(state["table"] @ state["vector"], flat, gram_count)
         total = np.concatenate(([0.0], np.cumsum(scores[codes], dtype=float)))
         if step <= warm_up:
             start, count = begins, lengths
@@ -174,7 +204,7 @@ def train(texts: list[str], labels: list[int], epochs: int = 30, warm_up: int =
         np.add.at(delta, start, error / count)
         np.add.at(delta, start + count, -error / count)
         by_word = np.bincount(codes, np.cumsum(delta)[:-1], len(ids))
-        by_gram = np.bincount(flat, np.repeat(by_word / gram_count, gram_count), BUCKETS).astype(np.float32)
+        by_gram = _by_gram(by_word / gram_count, flat, gram_count).astype(np.float32)
         slope = {
             "table": (by_gram * seen)[:, None] * state["vector"] + DECAY * state["table"],
             "vector": by_gram @ state["table"],

@@ -108,3 +108,26 @@ def test_query_on_the_held_out_third(spark):
     )
     row = rows.first()
     assert row.toxic > row.clean + 0.2 and row.false < 0.05
+
+
+def test_fit_takes_little_memory_beside_its_ngrams():
+    """The driver fits, beside the JVM: what a step takes on the way must not be many times the n-grams."""
+    import tracemalloc
+
+    r = random.Random(3)
+    words = ["".join(r.choice(SYLLABLES) for _ in range(5)) for _ in range(60_000)]
+    texts = [" ".join(words[at : at + 100]) for at in range(0, len(words), 100)]
+    kept = 4 * int(toxicity.grams(sorted(set(words)))[1].sum())
+    tracemalloc.start()
+    toxicity.train(texts, [i % 2 for i in range(len(texts))], epochs=12)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * kept + (40 << 20), (peak, kept)
+
+
+def test_blocks_do_not_change_a_bit(monkeypatch):
+    texts, labels = corpus(60, 5)
+    whole = toxicity.train(texts, labels, epochs=12)
+    monkeypatch.setattr(toxicity, "BLOCK", 7)
+    parts = toxicity.train(texts, labels, epochs=12)
+    assert whole.bias == parts.bias and whole.gram_scores.tobytes() == parts.gram_scores.tobytes()
