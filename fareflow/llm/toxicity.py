@@ -41,6 +41,8 @@ WINDOW = 2
 #: The sample a model is fitted on: rows of each class, and characters of a row.
 MAX_ROWS_PER_CLASS = 1_500
 MAX_CHARS = 10_000
+#: The order of the rows of a sample; rows equal in it are equal.
+SAMPLE_ORDER = ("label", "id", "text")
 #: Words whose n-grams are made, or gathered by bucket, at a time.
 BLOCK = 4096
 #: An n-gram counts from this many texts (times its words in them) on; weight of the squared embeddings in the loss.
@@ -266,6 +268,19 @@ def fit(texts: list[str], labels: list[int], share: float | None = None) -> Mode
     return Model((slope * model.gram_scores).astype(np.float32), slope * model.bias + offset)
 
 
+def _sample_rows(documents: DataFrame, labels: DataFrame, max_rows: int, max_chars: int) -> tuple[DataFrame, float]:
+    """The sample as ``id, text, label``, in its order, and the share of class 1, see :func:`sample`."""
+    known = labels.filter("id is not null and label in (0, 1)").select("id", F.col("label").cast("int").alias("label"))
+    known = known.groupBy("id", "label").count()
+    share = known.agg(F.avg("label")).first()[0]
+    order = [F.xxhash64("id"), F.col("id")]
+    chosen = [known.filter(F.col("label") == c).orderBy(*order).limit(max_rows) for c in (0, 1)]
+    chosen = chosen[0].unionByName(chosen[1]).select("id", "label")
+    # Bounded by the two limits.
+    read = documents.select("id", "text").join(F.broadcast(chosen), "id").filter(F.length("text") <= max_chars)
+    return read.orderBy(*SAMPLE_ORDER).limit(2 * max_rows), float(share or 0.0)
+
+
 def sample(
     documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS_PER_CLASS, max_chars: int = MAX_CHARS
 ) -> tuple[list[str], list[int], float]:
@@ -276,16 +291,31 @@ def sample(
     its texts that are longer, NULL or not there.  Labels other than 0 and 1 and
     NULL ids are left out; of rows that repeat an id at most ``max_rows`` in all stay.
     """
-    known = labels.filter("id is not null and label in (0, 1)").select("id", F.col("label").cast("int").alias("label"))
-    known = known.groupBy("id", "label").count()
-    share = known.agg(F.avg("label")).first()[0]
-    order = [F.xxhash64("id"), F.col("id")]
-    chosen = [known.filter(F.col("label") == c).orderBy(*order).limit(max_rows) for c in (0, 1)]
-    chosen = chosen[0].unionByName(chosen[1]).select("id", "label")
-    # Bounded by the two limits.
-    read = documents.select("id", "text").join(F.broadcast(chosen), "id").filter(F.length("text") <= max_chars)
-    rows = read.orderBy("label", "id", "text").limit(2 * max_rows).collect()
-    return [r["text"] for r in rows], [r["label"] for r in rows], float(share or 0.0)
+    rows, share = _sample_rows(documents, labels, max_rows, max_chars)
+    rows = rows.collect()
+    return [r["text"] for r in rows], [r["label"] for r in rows], share
+
+
+def _fit_rows(batches, share: float, schema: pa.Schema):
+    texts, labels = [], []
+    for batch in batches:
+        texts += batch.column("text").to_pylist()
+        labels += batch.column("label").to_pylist()
+    model = fit(texts, labels, share)
+    yield common.arrow_batch([[model.gram_scores.tobytes()], [model.bias]], schema)
+    common.release()
+
+
+def fit_sample(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS_PER_CLASS, max_chars: int = MAX_CHARS) -> Model:
+    """:func:`fit` on the :func:`sample`, in one task: the driver gets the finished model only."""
+    common.ship(documents.sparkSession)
+    rows, share = _sample_rows(documents, labels, max_rows, max_chars)
+    rows = rows.repartition(1).sortWithinPartitions(*SAMPLE_ORDER).select("text", "label")
+    ddl = "gram_scores binary, bias double"
+    schema = common.arrow_schema(ddl)
+    found = rows.mapInArrow(lambda batches: _fit_rows(batches, share, schema), ddl).collect()
+    # A sample that Spark knows to be empty has no partition, so no task either.
+    return Model(np.frombuffer(found[0]["gram_scores"], np.float32), found[0]["bias"]) if found else fit([], [], share)
 
 
 def _score(part, model: Model) -> list:

@@ -1,11 +1,13 @@
 """Components against union-find, SimHash against all pairs."""
 
+import os
 import random
 
 import pytest
 import xxhash
 from helpers import AWKWARD, awkward, prose
 
+from fareflow import context
 from fareflow.llm import simhash
 from fareflow.llm.components import components
 
@@ -38,6 +40,15 @@ def test_components(spark, kind):
     assert {x.node: x.root for x in found.collect()} == union_find(nodes, links)
 
 
+def test_components_keep_one_round(spark):
+    """Tables of earlier rounds go, and what Spark holds for them."""
+    with context.scope(spark, "rounds"):
+        found = components(spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long"))
+        folder = context.work_dir(spark).rsplit("/", 1)[0]
+    assert len(os.listdir(folder.removeprefix("file:"))) == 1
+    assert {x.root for x in found.collect()} == {0}
+
+
 def plain_fingerprint(text, size=3):
     words = (text or "").encode().lower().split()
     shingles = [b" ".join(words[i : i + size]) for i in range(len(words) - size + 1)] or ([b" ".join(words)] if words else [])

@@ -8,7 +8,7 @@ import pytest
 from helpers import AWKWARD, SYLLABLES, awkward, prose
 from pyspark.sql import functions as F
 
-from fareflow.llm import toxicity
+from fareflow.llm import queries, toxicity
 from fareflow.llm.queries import QUERIES
 
 DATA = "/root/testdata/sf0.01"
@@ -131,3 +131,22 @@ def test_blocks_do_not_change_a_bit(monkeypatch):
     monkeypatch.setattr(toxicity, "BLOCK", 7)
     parts = toxicity.train(texts, labels, epochs=12)
     assert whole.bias == parts.bias and whole.gram_scores.tobytes() == parts.gram_scores.tobytes()
+
+
+def test_model_is_fitted_in_a_task(spark, monkeypatch):
+    """The driver's memory does not hold the sample: it gets the finished model."""
+    texts, labels = corpus(200, 6)
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    known = spark.createDataFrame([(i, c) for i, c in enumerate(labels)], "doc_id long, toxic int")
+    of = known.filter("crc32(cast(cast(doc_id as string) as binary)) % 3 <> 1").toDF("id", "label")
+    here = toxicity.fit(*toxicity.sample(documents.toDF("id", "text"), of))
+    empty = queries.toxicity_model(documents.limit(0), known)
+    assert scores(empty, ["a"]).tolist() == scores(toxicity.fit([], [], 0.25), ["a"]).tolist()
+
+    def fit(*args):
+        raise AssertionError("fitted on the driver")
+
+    monkeypatch.setattr(toxicity, "fit", fit)
+    model = queries.toxicity_model(documents, known)
+    assert scores(model, texts) == pytest.approx(scores(here, texts), abs=1e-3)
+    assert max(scores(model, texts)) > 0.7
