@@ -59,14 +59,14 @@ def fit(machine: FMClassifier, train: DataFrame) -> FMClassificationModel:
     width, size = start.numFeatures, machine.getFactorSize()
     weights = np.concatenate([start.factors.toArray().ravel(), start.linear.toArray(), [start.intercept]])
     blocks = materialize(spread(train).mapInArrow(_blocks, _BLOCKS), "training-blocks")
-    with _batches_of(train.sparkSession, BLOCKS_PER_BATCH):
+    with batches_of(train.sparkSession, BLOCKS_PER_BATCH):
         weights = _descend(blocks, weights, width, size, machine.getMaxIter(), machine.getStepSize(), machine.getTol())
     discard(blocks)
     return _model(machine, start, weights, width, size)
 
 
 @contextmanager
-def _batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(setting)
     spark.conf.set(setting, str(rows))

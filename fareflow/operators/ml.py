@@ -27,8 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..context import materialize
-from . import encoding, factorisation
-from .factorisation import spread
+from . import encoding, factorisation, forest
 
 #: Columns of the international price model.
 CATEGORIES = ["org", "dst", "isReturn_type", "isDirect_type", "departYear", "is_vacation", "vacation_days", "day_of_vacation"]
@@ -192,13 +191,16 @@ def assemble(df: DataFrame, columns: list[str], out: str = "features") -> DataFr
 
 def fit_forest(train: DataFrame, label: str = "trend", variant: str = "wide", seed: int = 42):
     """Random-forest trend model: ``wide`` (50 trees on 80 % of the rows) or
-    ``shallow`` (100 trees of depth 6)."""
-    train = spread(train.select(label, "features"))
+    ``shallow`` (100 trees of depth 6).
+
+    The model of ``RandomForestClassifier``, trained in blocks of rows where they are
+    more than one task's, see :mod:`fareflow.operators.forest`.
+    """
     if variant == "wide":
-        forest = RandomForestClassifier(numTrees=50, featureSubsetStrategy="auto", subsamplingRate=0.8)
+        classifier = RandomForestClassifier(numTrees=50, featureSubsetStrategy="auto", subsamplingRate=0.8)
     else:
-        forest = RandomForestClassifier(numTrees=100, maxDepth=6)
-    return forest.setSeed(seed).setLabelCol(label).fit(train)
+        classifier = RandomForestClassifier(numTrees=100, maxDepth=6)
+    return forest.fit(classifier.setSeed(seed).setLabelCol(label), train.select(label, "features"))
 
 
 def importances(model, columns: list[str]) -> list[tuple[str, float]]:

@@ -2,12 +2,14 @@
 
 import math
 
+import numpy as np
 import pytest
-from pyspark.ml.feature import UnivariateFeatureSelector
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.feature import StringIndexer, UnivariateFeatureSelector
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import functions as F
 
-from fareflow.operators import encoding, factorisation, ml
+from fareflow.operators import encoding, factorisation, forest, ml
 
 
 def test_sparse_vectors_without_python(spark, capsys):
@@ -57,6 +59,74 @@ def test_the_machine_is_that_of_spark(spark, tmp_path):
         ml.fit_trend(rows.withColumn("y", F.col("y") * 2), "y", iterations=1)
 
 
+def _votes(spark, n=9_000, classes=2):
+    """Rows of several partitions whose label depends on some features: few and many values, zeros, a constant."""
+    noise = lambda m: F.pmod(F.xxhash64("id", F.lit(m)), F.lit(m))
+    rows = spark.range(0, n, 1, 5).select(
+        (F.col("id") % 7).alias("few"), (F.col("id") % 90 / 9).alias("many"), F.when(F.col("id") % 5 == 0, F.col("id") % 11).otherwise(0).alias("zeros"), F.lit(3).alias("one"), noise(50).alias("noise"), noise(9).alias("_n")
+    )
+    label = F.pmod((F.col("few") * F.col("many") + F.col("noise") / 9 + F.col("zeros") + F.col("_n") / 3).cast("int"), F.lit(3))
+    return ml.assemble(rows.withColumn("y", F.least(label, F.lit(classes - 1)).cast("double")), ["few", "many", "zeros", "one", "noise"]).select("y", "features")
+
+
+@pytest.mark.parametrize("classes", [2, 3])
+def test_the_forest_is_that_of_spark_where_nothing_is_drawn(spark, classes):
+    rows = _votes(spark, classes=classes)
+    one = RandomForestClassifier(numTrees=1, maxDepth=6, bootstrap=False, seed=5, labelCol="y")
+    ours, theirs = forest.fit(one, rows, rows_per_task=1_000), one.fit(rows)
+    tree = lambda m: m.toDebugString.split("\n")[1:]
+    assert tree(ours) == tree(theirs) and len(tree(ours)) > 20
+    assert ours.featureImportances == theirs.featureImportances
+    said = lambda m: m.transform(rows).select("probability", "rawPrediction", "prediction").collect()
+    assert said(ours) == said(theirs)
+
+
+def test_a_drawn_forest_is_as_near_to_spark_as_another_seed(spark, tmp_path, monkeypatch):
+    rows = _votes(spark, 6_000).withColumn("id", F.monotonically_increasing_id())
+    many = RandomForestClassifier(numTrees=30, maxDepth=4, subsamplingRate=0.8, seed=5, labelCol="y")
+    said = lambda m: [r.rawPred for r in ml.score_trend(m, rows).orderBy("id").select("rawPred").collect()]
+    apart = lambda a, b: sum(abs(x - y) for x, y in zip(a, b)) / len(a)
+    model = forest.fit(many, rows, rows_per_task=1_000)
+    ours, theirs, other = said(model), said(many.fit(rows)), said(many.copy({many.seed: 6}).fit(rows))
+    assert 0 < apart(ours, theirs) < 2 * apart(theirs, other) < 0.1
+    ml.save_model(model, str(tmp_path / "forest"))
+    assert said(RandomForestClassificationModel.load(str(tmp_path / "forest"))) == ours
+    # Nodes whose counts do not fit at once are counted one after another.
+    monkeypatch.setattr(forest, "SUMS", 8 * 3 * 32 * 2 * 100)
+    assert said(forest.fit(many, rows, rows_per_task=1_000)) == ours
+    with pytest.raises(Exception, match="(?i)labels"):
+        forest.fit(many, rows.withColumn("y", F.col("y") - 1), rows_per_task=1_000)
+
+
+def test_drawn_rows():
+    counts = np.bincount(forest._drawn(np.random.default_rng(1), 50_000, 0.8, True), minlength=50_000)
+    assert [np.mean(counts == k) for k in range(4)] == pytest.approx([math.exp(-0.8) * 0.8**k / math.factorial(k) for k in range(4)], abs=0.01)
+    once = forest._drawn(np.random.default_rng(1), 50_000, 0.8, False)
+    assert len({*once}) == len(once) and len(once) == pytest.approx(40_000, rel=0.02)
+    assert len(forest._drawn(np.random.default_rng(1), 50, 1.0, False)) == 50
+
+
+def test_categories_are_left_to_spark(spark):
+    rows = spark.range(20).select(F.concat(F.lit("v"), F.col("id") % 3).alias("v"), F.col("id").alias("binary"), (F.col("id") % 2).alias("y"))
+    coded = StringIndexer(inputCol="v", outputCol="i").fit(rows).transform(rows)
+    assert forest._nominal(ml.assemble(coded, ["i", "binary"]), "features") and forest._nominal(coded, "i")
+    assert not forest._nominal(ml.assemble(coded, ["binary"]), "features") and not forest._nominal(coded, "y")
+
+
+def test_many_training_rows_are_not_kept_one_by_one(spark, monkeypatch):
+    """Rows beyond one task's are not trained on as objects, which take many times their size and are walked for each tree."""
+    n = factorisation.ROWS_PER_TASK + 20_000
+    rows = spark.range(n).select(F.col("id"), (F.col("id") % 10).alias("tell"), (F.col("id") % 3).alias("noise"), (F.col("id") % 10 > 3).cast("int").alias("y"))
+
+    def never(*_):
+        raise AssertionError("trained row by row")
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", never)
+    model = ml.fit_forest(ml.assemble(rows, ["tell", "noise"]), "y", "wide")
+    assert model.getNumTrees == 50 and ml.importances(model, ["tell", "noise"])[0][0] == "tell"
+    assert ml.score_trend(model, ml.assemble(rows, ["tell", "noise"])).filter(F.col("y") != F.col("prediction")).count() == 0
+
+
 def test_training_rows_are_dealt_by_their_number(spark):
     """However small the files are, no task trains on more rows than one should."""
     rows = spark.range(1000).coalesce(1)
